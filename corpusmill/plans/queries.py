@@ -1,0 +1,9 @@
+"""Registry of the queries of the corpus operators: name -> (spark, folder) -> DataFrame."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
