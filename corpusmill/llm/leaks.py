@@ -81,13 +81,18 @@ class Items:
         return c
 
     def rare(self, counts: dict[int, int]) -> set[int]:
-        """The rarest n-gram of each run, by its count in the corpus. One that no document has needs no seed: then no document has the run."""
+        """The n-gram of each run that joins the fewest pairs: its count in the corpus times the items it stands in.
+
+        Runs that stand in other items too need a seed only where an item has no run of its own, so phrases
+        that many items share make no candidates. An n-gram no document has needs no seed: then no document
+        has the run.
+        """
         out = set()
         for k, s in enumerate(self.seq):
             n = min(self.seed, len(s))
             gs = [self.grams[tuple(s[i : i + n].tolist())] for i in range(len(s) - n + 1)]
-            for i in range(len(s) - self.run[k] + 1):
-                out.add(min(gs[i : i + self.run[k] - n + 1], key=lambda g: (counts.get(g, 0), g)))
+            for i in self.unique[k] or range(len(s) - self.run[k] + 1):
+                out.add(min(gs[i : i + self.run[k] - n + 1], key=lambda g: (counts.get(g, 0) * len(self.places[g]), g)))
         return {g for g in out if counts.get(g)}
 
 
