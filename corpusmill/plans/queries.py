@@ -1,9 +1,742 @@
-"""Registry of the queries of the corpus operators: name -> (spark, folder) -> DataFrame."""
+"""Registry of the queries of the corpus operators: name -> (spark, folder) -> DataFrame.
+
+Every query runs over whole tables. Nested results are flattened to text or numbers, and whole numbers are
+bigint, so that the results compare with plain SQL.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusmill.functions import text as X
+from corpusmill.operators import cleaners, decontam, dedup, freeze, identity, ingest, normalize, quality, reports, segment, splits, stats, tokens, views
+from corpusmill.session import table, written
+from corpusmill.sources import adapters
+from corpusmill.sources import files
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+#: Words of the bounded scan over all sources, and of the pools and quotas.
+SCAN_WORDS, POOL_WORDS = 20_000, 60_000
+SHARES = {"validation": 0.04, "test": 0.04, "trajectory_holdout": 0.02}
+VOCAB = 32_768
+
+
+def query(f: Query) -> Query:
+    """Registers a query; its whole numbers become bigint."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        df = f(spark, d)
+        return df.withColumns({n: F.col(n).cast("bigint") for n, t in df.dtypes if t in ("int", "smallint", "tinyint")})
+
+    run.__name__, run.__doc__ = f.__name__, f.__doc__
+    QUERIES[f.__name__] = run
+    return f
+
+
+def docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents")
+
+
+def config(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "source_config")
+
+
+def shares(spark: SparkSession, d: str) -> DataFrame:
+    c = config(spark, d)
+    return c.select(F.lower(F.trim("name")).alias("source"), F.coalesce("share", F.col("quota_3b_tokens") / F.lit(3e9)).alias("share")).distinct()
+
+
+def spans_text(c: Column) -> Column:
+    return F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def ids_text(c: Column) -> Column:
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+
+
+def with_priority(df: DataFrame) -> DataFrame:
+    return df.withColumn("priority", identity.priority(F.coalesce("source", F.lit("")), F.col("doc_id")))
+
+
+def categorised(spark: SparkSession, d: str) -> DataFrame:
+    return quality.with_source_limits(docs(spark, d), config(spark, d))
+
+
+def tokenized(spark: SparkSession, d: str) -> DataFrame:
+    """tokenized_docs once per document_id, with plain split labels; rows without a split are left out."""
+    t = table(spark, d, "tokenized_docs")
+    s = F.nullif(F.lower(F.trim("split")), F.lit(""))
+    t = t.withColumn("split", F.when(s == "val", "validation").otherwise(s)).where("split is not null")
+    return t.groupBy("document_id").agg(F.min(F.struct("parent_document_id", "source", "split", "token_ids", "paragraph_token_spans")).alias("x")).select("document_id", "x.*")
+
+
+# --- identity
+
+
+@query
+def doc_priority(spark, d):
+    return with_priority(docs(spark, d)).select("doc_id", "source", "priority")
+
+
+@query
+def doc_identity(spark, d):
+    return identity.document_identity(docs(spark, d), "doc_id", "text", "source").select("doc_id", "raw_text_hash", "document_id")
+
+
+@query
+def token_counts_by_source(spark, d):
+    return docs(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(X.word_count("text")).alias("n_tokens"))
+
+
+@query
+def source_quotas(spark, d):
+    return identity.quotas(config(spark, d), 3_000_000)
+
+
+@query
+def revision_status(spark, d):
+    return config(spark, d).select("name", "revision", identity.revision_status(F.col("revision")).alias("status")).distinct()
+
+
+@query
+def sanitized_keys(spark, d):
+    return docs(spark, d).select("source", identity.safe_key(F.col("source")).alias("key")).distinct()
+
+
+# --- ingest and pools
+
+
+def _scanned(spark, d):
+    src = docs(spark, d).withColumn("source", F.lower(F.trim("source")))
+    return ingest.bounded_scan(src, shares(spark, d), SCAN_WORDS, idx="doc_id", max_oversized=5)
+
+
+@query
+def bounded_scan_kept(spark, d):
+    kept = _scanned(spark, d).where("status in ('balanced', 'probe')")
+    return kept.select("doc_id", "source", "n_tokens", "status")
+
+
+@query
+def bounded_scan_counters(spark, d):
+    return ingest.scan_counters(_scanned(spark, d))
+
+
+def _pooled(spark, d):
+    src = with_priority(docs(spark, d)).withColumn("source", F.lower(F.trim("source"))).withColumn("n_tokens", X.word_count("text").cast("long"))
+    return ingest.select_pool(src, identity.quotas(config(spark, d), POOL_WORDS), tie="doc_id")
+
+
+@query
+def select_pool(spark, d):
+    return _pooled(spark, d).select("doc_id", "source", "priority", "n_tokens", "before")
+
+
+@query
+def pool_counters(spark, d):
+    return _pooled(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+
+
+@query
+def raw_text_fallback(spark, d):
+    c = table(spark, d, "canonical_docs")
+    return c.select("document_id", X.first_of(F.col("source_record_id"), F.col("document_id")).alias("record_id"), F.md5(X.first_of(F.col("normalized_text"), F.col("title"), F.lit("-"))).alias("text_md5")).distinct()
+
+
+# --- normalisation
+
+
+@query
+def normalize_text(spark, d):
+    return normalize.clean_text(docs(spark, d)).select("doc_id", F.md5("normalized_text").alias("text_md5"), F.length("normalized_text").alias("n_chars"))
+
+
+@query
+def ufffd_reject(spark, d):
+    r = normalize.fffd_ratio(F.col("text"))
+    return docs(spark, d).select("doc_id", F.round(r, 6).alias("ratio"), (r > normalize.MAX_FFFD).alias("rejected"))
+
+
+def _redacted(kind):
+    def run(spark, d):
+        patterns, mark = next((p, m) for k, p, m in normalize.KINDS if k == kind)
+        t = F.col("text")
+        n = sum((F.coalesce(F.regexp_count(t, F.lit(p)), F.lit(0)) for p in patterns[:1]), F.lit(0))
+        for p in patterns:
+            t = F.regexp_replace(t, p, mark)
+        for i, p in enumerate(patterns[1:], 1):
+            before = F.col("text")
+            for q in patterns[:i]:
+                before = F.regexp_replace(before, q, mark)
+            n = n + F.coalesce(F.regexp_count(before, F.lit(p)), F.lit(0))
+        return docs(spark, d).select("doc_id", n.alias("n"), F.md5(t).alias("text_md5"))
+
+    run.__name__ = f"redact_{kind}"
+    return query(run)
+
+
+for _kind in ("api_key", "email", "ip", "phone"):
+    _redacted(_kind)
+
+
+@query
+def pii_counts(spark, d):
+    return normalize.normalize(docs(spark, d)).select("doc_id", "n_api_key", "n_email", "n_ip", "n_phone")
+
+
+@query
+def normalize_verdict(spark, d):
+    return normalize.normalize(docs(spark, d)).select("doc_id", "rejection", F.md5("normalized_text").alias("text_md5"))
+
+
+@query
+def pii_density_reject(spark, d):
+    return normalize.normalize(docs(spark, d)).where("rejection in ('excessive_email', 'excessive_phone')").select("doc_id", "rejection")
+
+
+@query
+def private_key_reject(spark, d):
+    return docs(spark, d).select("doc_id", F.coalesce(F.col("text").rlike(normalize.PRIVATE_KEY), F.lit(False)).alias("rejected"))
+
+
+# --- quality
+
+
+@query
+def quality_metrics(spark, d):
+    m = quality.with_metrics(docs(spark, d))
+    r = [F.round(c, 6).alias(c) for c in ("printable_ratio", "alphabetic_ratio", "english_ratio", "unique_line_ratio", "junk_line_ratio")]
+    return m.select("doc_id", "n_words", "n_lines", *r)
+
+
+@query
+def median_word_length(spark, d):
+    return quality.with_metrics(docs(spark, d)).select("doc_id", "median_word_length")
+
+
+@query
+def duplicate_lines(spark, d):
+    return docs(spark, d).select("doc_id", (F.size(X.lines("text")) - F.size(F.array_distinct(X.lines("text")))).alias("n_duplicates")).where("n_duplicates > 0")
+
+
+@query
+def junk_lines(spark, d):
+    return docs(spark, d).select("doc_id", F.size(F.filter(X.lines("text"), quality.is_junk)).alias("n_junk")).where("n_junk > 0")
+
+
+@query
+def quality_verdict(spark, d):
+    return quality.judge(docs(spark, d), config(spark, d)).select("doc_id", "category", "rule")
+
+
+@query
+def rejections_by_rule(spark, d):
+    return quality.judge(docs(spark, d), config(spark, d)).groupBy("rule").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+# --- cleaners
+
+
+@query
+def hostname_extract(spark, d):
+    return docs(spark, d).select("doc_id", cleaners.hostname(F.coalesce("url", F.lit(""))).alias("host"))
+
+
+@query
+def hostname_quota(spark, d):
+    return cleaners.quota_rule(docs(spark, d), "site", "doc_id", X.word_count("text"), F.lit(True), 2000).select("doc_id", "site", "over_quota")
+
+
+@query
+def site_quota(spark, d):
+    q = cleaners.quota_rule(docs(spark, d).where("source is not null"), "source", "doc_id", X.word_count("text"), X.word_count("text") >= 96, 5000)
+    return q.groupBy("source").agg(F.count_if("over_quota").alias("n_over"), F.count(F.lit(1)).alias("n_docs"))
+
+
+@query
+def web_metrics(spark, d):
+    w = cleaners.with_web_metrics(docs(spark, d))
+    return w.select("doc_id", "prose_paragraphs", F.round("short_line_ratio", 6).alias("short_line_ratio"), F.round("link_ratio", 6).alias("link_ratio"))
+
+
+@query
+def web_rules(spark, d):
+    return cleaners.web_clean(docs(spark, d), "doc_id", cap=1500).select("doc_id", "host", "rule")
+
+
+@query
+def wiki_rules(spark, d):
+    t = F.col("text")
+    return docs(spark, d).where("text is not null").select("doc_id", cleaners.wiki_title_rule(F.col("title")).alias("rule"), F.md5(cleaners.wiki_strip(t)).alias("text_md5"))
+
+
+@query
+def book_strip(spark, d):
+    t = F.concat(F.lit("Front\n*** START OF THE PROJECT GUTENBERG EBOOK X ***\n"), "text", F.lit("\n*** END OF THIS PROJECT GUTENBERG EBOOK X ***\nlicence"))
+    return docs(spark, d).where("text is not null").select("doc_id", F.md5(cleaners.book_strip(F.col("text"))).alias("plain_md5"), F.md5(cleaners.book_strip(t)).alias("marked_md5"))
+
+
+@query
+def ocr_rules(spark, d):
+    t = cleaners.rejoin_words(F.col("text"))
+    return docs(spark, d).where("text is not null").select("doc_id", F.md5(t).alias("text_md5"), F.round(cleaners.inner_digit_ratio(t), 6).alias("inner_digit_ratio"))
+
+
+@query
+def boilerplate_strip(spark, d):
+    return docs(spark, d).where("text is not null").select("doc_id", *(F.md5(cleaners.boilerplate_strip(F.col("text"), k)).alias(f"{k}_md5") for k in cleaners.BOILERPLATE))
+
+
+@query
+def section_removal(spark, d):
+    return docs(spark, d).where("text is not null").select("doc_id", F.md5(cleaners.science_strip(F.col("text"))).alias("text_md5"))
+
+
+@query
+def equation_tags(spark, d):
+    return docs(spark, d).where("text is not null").select("doc_id", F.md5(cleaners.tag_equations(F.col("text"))).alias("text_md5"))
+
+
+@query
+def catalogue_stubs(spark, d):
+    return docs(spark, d).where("text is not null").select("doc_id", cleaners.catalogue_rule(F.col("text")).alias("rule"))
+
+
+@query
+def clean_by_category(spark, d):
+    c = cleaners.clean_by_category(categorised(spark, d))
+    return c.select("doc_id", "category", "n_words_clean", "rule")
+
+
+@query
+def cleaning_counters(spark, d):
+    c = cleaners.clean_by_category(categorised(spark, d))
+    return c.groupBy("source").agg(F.count_if(F.col("rule").isNull()).alias("n_kept"), F.count_if(F.col("rule").isNotNull()).alias("n_rejected"), F.sum(F.when(F.col("rule").isNull(), F.col("n_words_clean")).otherwise(0)).alias("n_words"))
+
+
+def _inside(tag: str) -> Column:
+    return F.regexp_extract_all("text", F.lit(rf"(?s)<{tag}>\n(.*?)\n</{tag}>"), F.lit(1))
+
+
+def question_threads(spark, d):
+    """The question threads of documents, taken apart again."""
+    x = docs(spark, d).where(F.contains("text", F.lit("<QUESTION_BODY>")))
+    answers = F.transform(_inside("ANSWER"), lambda b, i: F.struct(b.alias("body"), F.length(b).alias("score"), (i == 1).alias("is_accepted"), F.array(F.struct(F.lit("this comment has just enough words to stay").alias("text")), F.struct(F.lit("too short").alias("text"))).alias("comments")))
+    return x.select("doc_id", F.get(_inside("QUESTION_TITLE"), F.lit(0)).alias("title"), F.get(_inside("QUESTION_BODY"), F.lit(0)).alias("question_body"), answers.alias("answers"), "license", "url", F.col("site").alias("site_name"), "text")
+
+
+def issue_threads(spark, d):
+    x = docs(spark, d).where(F.contains("text", F.lit("<ISSUE_BODY>")) | F.contains("text", F.lit("<PULL_REQUEST_BODY>")))
+    pr = F.contains("text", F.lit("<PULL_REQUEST_BODY>"))
+    comments = F.transform(F.concat(_inside("COMMENT"), _inside("REVIEW_COMMENT")), lambda b, i: F.struct(b.alias("body"), F.when(i == 2, "dependabot").otherwise("someone").alias("author")))
+    get = lambda a, b: F.coalesce(F.get(_inside(a), F.lit(0)), F.get(_inside(b), F.lit(0)))
+    return x.select("doc_id", get("ISSUE_TITLE", "PULL_REQUEST_TITLE").alias("title"), get("ISSUE_BODY", "PULL_REQUEST_BODY").alias("body"), comments.alias("comments"), pr.alias("is_pull_request"), "license", "url")
+
+
+def debates(spark, d):
+    x = docs(spark, d).where(F.contains("text", F.lit("<UTTERANCE>")))
+    said = F.arrays_zip(_inside("SPEAKER").alias("speaker"), _inside("UTTERANCE").alias("text"))
+    return x.select("doc_id", F.col("title").alias("session_title"), F.transform(said, lambda u: F.struct(u["speaker"].alias("speaker"), u["text"].alias("text"))).alias("utterances"), "license")
+
+
+@query
+def thread_clean(spark, d):
+    return cleaners.answer_thread(question_threads(spark, d)).select("doc_id", F.md5("thread_text").alias("text_md5"), "n_answers", "rule")
+
+
+@query
+def issue_clean(spark, d):
+    return cleaners.issue_thread(issue_threads(spark, d)).select("doc_id", F.md5("thread_text").alias("text_md5"), "n_turns", "n_words", F.round("code_ratio", 6).alias("code_ratio"), "rule")
+
+
+@query
+def utterance_clean(spark, d):
+    return cleaners.debate(debates(spark, d)).select("doc_id", F.md5("debate_text").alias("text_md5"), "n_speeches", "rule")
+
+
+# --- adapters
+
+
+@query
+def adapter_dispatch(spark, d):
+    names = ("stackexchange_posts", "GitHub_archive", "arXiv_abstracts", "peS2o", "pre_1929_books", "wikimedia", "cccc", "LibreTexts", "uk_hansard")
+    n = F.array(*map(F.lit, names))
+    s = docs(spark, d).select("doc_id", F.element_at(n, F.pmod("doc_id", F.lit(len(names))).cast("int") + 1).alias("name"))
+    return s.select("doc_id", "name", adapters.adapter_of(F.col("name")).alias("adapter"), adapters.adapter_of(F.col("name"), ignore_case=False).alias("adapter_exact"))
+
+
+@query
+def license_fallback(spark, d):
+    x = docs(spark, d)
+    return x.select("doc_id", adapters.license_of(x).alias("license"))
+
+
+def _adapted(df, adapter, extra):
+    a = adapters.adapt(df, adapter)
+    return a.select("doc_id", F.md5("raw_text").alias("text_md5"), "license_status", *(F.coalesce(a["metadata"][k], F.lit("")).alias(k) for k in extra))
+
+
+@query
+def thread_assembly(spark, d):
+    return _adapted(question_threads(spark, d), "thread", ("title", "url"))
+
+
+@query
+def issue_assembly(spark, d):
+    return _adapted(issue_threads(spark, d), "technical", ("title", "url"))
+
+
+@query
+def utterance_assembly(spark, d):
+    return _adapted(debates(spark, d), "government_legal", ())
+
+
+@query
+def web_records(spark, d):
+    return _adapted(docs(spark, d), "web", ("url", "title"))
+
+
+# --- segments
+
+
+@query
+def paragraph_spans(spark, d):
+    return docs(spark, d).select("doc_id", spans_text(segment.paragraph_spans(F.col("text"))).alias("spans"))
+
+
+@query
+def sentence_spans(spark, d):
+    return docs(spark, d).select("doc_id", spans_text(segment.sentence_spans(F.col("text"))).alias("spans"))
+
+
+@query
+def turn_spans(spark, d):
+    return docs(spark, d).select("doc_id", spans_text(segment.turn_spans(F.col("text"))).alias("spans")).where("spans <> ''")
+
+
+@query
+def equation_spans(spark, d):
+    t = cleaners.tag_equations(F.col("text"))
+    return docs(spark, d).where("text is not null").select("doc_id", spans_text(segment.equation_spans(t)).alias("spans")).where("spans <> ''")
+
+
+def _segments(spark, d):
+    return segment.segments(docs(spark, d), most=150, target=100, least=20)
+
+
+@query
+def segment_pack(spark, d):
+    return _segments(spark, d).select("doc_id", "segment_index", F.md5("segment_text").alias("text_md5"), X.word_count("segment_text").alias("n_words"))
+
+
+@query
+def segment_adjacency(spark, d):
+    return _segments(spark, d).select("segment_id", "segment_index", "segment_count", "previous_segment_id", "next_segment_id")
+
+
+# --- deduplication
+
+
+def _scored(spark, d):
+    return with_priority(categorised(spark, d))
+
+
+@query
+def exact_dedup(spark, d):
+    x = _scored(spark, d)
+    return dedup.exact_duplicates(x, "text", dedup.category_score(F.coalesce("category", F.lit("web"))), F.col("priority"), "doc_id")
+
+
+@query
+def dedup_scores(spark, d):
+    return _scored(spark, d).select("doc_id", F.round(dedup.category_score(F.coalesce("category", F.lit("web")), F.contains(F.coalesce("text", F.lit("")), F.lit("\n\n"))), 6).alias("score"))
+
+
+def _texts(spark, d):
+    """The texts of canonical_docs, each document once."""
+    return table(spark, d, "canonical_docs").where("normalized_text is not null").groupBy("document_id").agg(F.min("normalized_text").alias("text"))
+
+
+@query
+def paragraph_df(spark, d):
+    return dedup.paragraph_frequency(_texts(spark, d), "document_id", "text", "\n", 5, 10)
+
+
+@query
+def paragraph_strip(spark, d):
+    s = dedup.strip_frequent_paragraphs(_texts(spark, d), "document_id", "text", "\n", 5, 10)
+    return s.select("document_id", F.md5("stripped_text").alias("text_md5"), "paragraphs_removed", "too_short")
+
+
+@query
+def shingle_counts(spark, d):
+    return docs(spark, d).select("doc_id", F.size(dedup.shingles(F.col("text"))).alias("n_shingles"))
+
+
+@query
+def fuzzy_pairs(spark, d):
+    sets, _ = dedup.shingle_classes(docs(spark, d), "doc_id", "text")
+    return dedup.similar_pairs(sets).select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+def _near(spark, d):
+    return dedup.near_duplicates(docs(spark, d), "doc_id", "text")
+
+
+@query
+def fuzzy_clusters(spark, d):
+    return _near(spark, d)
+
+
+@query
+def fuzzy_dedup(spark, d):
+    """The winner of each cluster, by category score, priority and id."""
+    x = _scored(spark, d).select(F.col("doc_id").alias("document_id"), dedup.winner_key(dedup.category_score(F.coalesce("category", F.lit("web"))), F.col("priority"), F.col("doc_id")).alias("k"))
+    c = _near(spark, d).join(x, "document_id").groupBy("cluster").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("n_docs"))
+    return c.select("cluster", F.col("k.id").alias("winner"), "n_docs")
+
+
+@query
+def minhash_links(spark, d):
+    return dedup.band_links(written(dedup.minhash(docs(spark, d), "doc_id", "text"), "signatures"))
+
+
+@query
+def family_groups(spark, d):
+    c = table(spark, d, "canonical_docs").where("normalized_text is not null and split_group_id is not null")
+    return dedup.family_groups(c.select(F.lower(F.trim("split_group_id")).alias("g"), F.md5("normalized_text").alias("h")), "g", "h")
+
+
+@query
+def dedup_metrics(spark, d):
+    x = docs(spark, d).where("text is not null")
+    exact = x.agg(F.count(F.lit(1)).alias("n_docs"), F.count_distinct(F.sha2("text", 256)).alias("n_texts"))
+    near = _near(spark, d).agg(F.count_distinct("cluster").alias("n_clusters"), F.count_distinct("class_id").alias("n_classes"))
+    n = lambda df: df.select(F.lit(1).alias("one"), "*")
+    return n(exact).join(n(near), "one").drop("one")
+
+
+# --- decontamination
+
+
+@query
+def contam_exact(spark, d):
+    return decontam.containing(docs(spark, d), decontam.registry(table(spark, d, "benchmark")))
+
+
+@query
+def contam_overlap(spark, d):
+    return decontam.overlapping(docs(spark, d), decontam.registry(table(spark, d, "benchmark")))
+
+
+@query
+def contam_first_match(spark, d):
+    return decontam.contamination_log(docs(spark, d), table(spark, d, "benchmark"))
+
+
+@query
+def decontaminate(spark, d):
+    log = decontam.contamination_log(docs(spark, d), table(spark, d, "benchmark"))
+    return decontam.decontaminated(docs(spark, d), log, "doc_id", "url").select("doc_id")
+
+
+# --- splits
+
+
+def _split(spark, d):
+    c = table(spark, d, "canonical_docs").select("document_id", F.coalesce("split_group_id", "parent_document_id").alias("g"), "parent_document_id", "normalized_text").dropDuplicates(["document_id"])
+    return c.withColumn("split", splits.hash_split(F.lower(F.trim("g")), SHARES))
+
+
+@query
+def assign_splits(spark, d):
+    return _split(spark, d).select("document_id", "split")
+
+
+@query
+def split_metrics(spark, d):
+    return splits.split_metrics(_split(spark, d).withColumn("n", X.word_count("normalized_text")), table(spark, d, "split_config"), "g", "n")
+
+
+# --- tokenizers
+
+
+@query
+def tokenizer_sample(spark, d):
+    return tokens.sample_per_source(docs(spark, d), "source", "doc_id", 20).select("doc_id", "source")
+
+
+@query
+def pretoken_counts(spark, d):
+    return tokens.pretoken_counts(docs(spark, d), "text")
+
+
+@query
+def char_to_token_spans(spark, d):
+    x = docs(spark, d).where("text is not null")
+    words = segment.matches(F.col("text"), X.WORD)
+    return x.select("doc_id", spans_text(tokens.token_spans(segment.paragraph_spans(F.col("text")), words)).alias("spans"))
+
+
+# --- selection and freezing
+
+
+def _selected(spark, d):
+    t = tokenized(spark, d).withColumn("source", F.lower(F.trim("source"))).withColumn("priority", identity.priority(F.coalesce("source", F.lit("")), F.col("document_id")))
+    return ingest.select_quota(t, identity.quotas(config(spark, d), POOL_WORDS))
+
+
+@query
+def quota_select(spark, d):
+    return _selected(spark, d).select("document_id", "source", "n_taken", "truncated", F.md5(ids_text(F.col("token_ids"))).alias("ids_md5"))
+
+
+@query
+def quota_tolerance(spark, d):
+    return ingest.quota_deviation(_selected(spark, d), identity.quotas(config(spark, d), POOL_WORDS))
+
+
+@query
+def trim_spans(spark, d):
+    return tokenized(spark, d).select("document_id", spans_text(ingest.trim_spans(F.col("paragraph_token_spans"), F.lit(100))).alias("spans"))
+
+
+@query
+def ab_alignment(spark, d):
+    return freeze.alignment(table(spark, d, "canonical_docs"), table(spark, d, "tokenized_docs")).groupBy("side").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@query
+def token_mismatch(spark, d):
+    t = tokenized(spark, d)
+    other = t.withColumn("token_ids", F.when(F.size("token_ids") > 700, F.slice("token_ids", 1, 700)).otherwise(F.col("token_ids")))
+    return freeze.first_mismatch(t, other, "document_id", "token_ids")
+
+
+@query
+def split_isolation(spark, d):
+    return freeze.split_violations(table(spark, d, "view_records"), table(spark, d, "tokenized_docs"))
+
+
+@query
+def shard_checksums(spark, d):
+    return freeze.checksums(spark, d)
+
+
+# --- views
+
+
+@query
+def causal_shift_mask(spark, d):
+    t = tokenized(spark, d).where(F.size("token_ids") > 0)
+    v = views.shifted(F.concat(F.array(F.lit(views.BOS)), "token_ids", F.array(F.lit(views.EOS))), 512)
+    total = lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b)
+    return t.select("document_id", F.md5(ids_text(v["input_token_ids"])).alias("input_md5"), F.md5(ids_text(v["target_token_ids"])).alias("target_md5"), total(v["loss_mask"]).alias("n_loss"), total(v["attention_mask"]).alias("n_attention"))
+
+
+@query
+def causal_packing(spark, d):
+    p = views.packed(tokenized(spark, d), 512)
+    return p.select("split", "view", F.size("source_document_ids").alias("n_docs"), F.md5(ids_text(F.col("input_token_ids"))).alias("input_md5"))
+
+
+@query
+def single_doc_crop(spark, d):
+    c = views.crops(tokenized(spark, d), 256)
+    return c.select("document_id", "start_idx", F.md5(ids_text(F.col("input_token_ids"))).alias("input_md5"))
+
+
+@query
+def prefix_suffix(spark, d):
+    p = views.prefix_suffix(tokenized(spark, d))
+    return p.select("document_id", "prefix_len", "horizon", F.md5(ids_text(F.col("input_token_ids"))).alias("input_md5"), F.md5(ids_text(F.col("target_token_ids"))).alias("target_md5"))
+
+
+@query
+def bridge_mask(spark, d):
+    b = views.bridges(tokenized(spark, d), 512)
+    return b.select("document_id", "p_idx", F.md5(ids_text(F.col("input_token_ids"))).alias("input_md5"), F.md5(ids_text(F.col("target_token_ids"))).alias("target_md5"))
+
+
+@query
+def view_union(spark, d):
+    t = tokenized(spark, d)
+    kinds = {"causal_single_doc": views.crops(t, 256), "prefix_suffix": views.prefix_suffix(t), "bridge_masked_span": views.bridges(t, 512)}
+    out = None
+    for name, v in kinds.items():
+        v = v.groupBy("split").agg(F.count(F.lit(1)).alias("n_views")).select(F.lit(name).alias("view_type"), "split", views.usage(F.col("split")).alias("usage"), "n_views")
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+# --- statistics and reports
+
+
+def _counts(spark, d):
+    return stats.token_counts(tokenized(spark, d).where("split = 'train'"), VOCAB)
+
+
+@query
+def unigram_counts(spark, d):
+    return _counts(spark, d)
+
+
+@query
+def unigram_log_probs(spark, d):
+    p = stats.log_probabilities(written(_counts(spark, d), "counts"), VOCAB)
+    return p.groupBy("scope").agg(F.count(F.lit(1)).alias("n_ids"), F.round(F.sum(F.col("log_p").cast("double")), 1).alias("sum_log_p"), F.round(F.max("log_p").cast("double"), 4).alias("max_log_p"))
+
+
+@query
+def unigram_consistency(spark, d):
+    return stats.consistency(_counts(spark, d))
+
+
+@query
+def report_source(spark, d):
+    return reports.by_source(table(spark, d, "canonical_docs"), table(spark, d, "tokenized_docs"))
+
+
+@query
+def report_quality(spark, d):
+    return reports.by_rule(quality.judge(docs(spark, d), config(spark, d)))
+
+
+@query
+def report_pii(spark, d):
+    return reports.redactions(normalize.normalize(docs(spark, d)))
+
+
+@query
+def report_dedup(spark, d):
+    return reports.duplicates(docs(spark, d), "text")
+
+
+@query
+def report_structure(spark, d):
+    return reports.structure(table(spark, d, "canonical_docs"))
+
+
+@query
+def report_tokenizer(spark, d):
+    return reports.token_totals(tokenized(spark, d))
+
+
+@query
+def report_split(spark, d):
+    return reports.by_split(tokenized(spark, d), table(spark, d, "split_config"))
+
+
+@query
+def report_benchmark(spark, d):
+    return reports.first_matches(decontam.contamination_log(docs(spark, d), table(spark, d, "benchmark")), 50)
+
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+@query
+def input_files(spark, d):
+    return files.shards(table(spark, d, "documents"))
