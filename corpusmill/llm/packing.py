@@ -202,6 +202,9 @@ def pack(df: DataFrame, capacity: int = CAPACITY, group_items: int = 2000, max_n
         name = pdf["split"] + "_" + pdf["group"].astype(str) + "_" + pd.Series(record).astype(str)
         return pd.DataFrame({"item": pdf["item"], "piece": pdf["piece"], "record": name, "place": place})
 
+    # groups are few bytes but much work: a stated number of partitions, which is not merged by size at run time
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = keyed.repartition(tasks, "split", "group")
     placed = keyed.groupBy("split", "group").applyInPandas(solve, "item string, piece int, record string, place int")
     return it.join(placed, ["item", "piece"]).select(it["*"], "record", "place")
 
