@@ -80,20 +80,23 @@ class Items:
             c = c * (len(self.vocab) + 1) + x
         return c
 
-    def rare(self, counts: dict[int, int]) -> set[int]:
-        """The n-gram of each run that joins the fewest pairs: its count in the corpus times the items it stands in.
+    def rare(self, counts: dict[int, int], spread: int = 8) -> set[int]:
+        """The n-grams of each run that join the fewest pairs: by their count in the corpus times the items they stand in.
 
-        Runs that stand in other items too need a seed only where an item has no run of its own, so phrases
-        that many items share make no candidates. An n-gram no document has needs no seed: then no document
-        has the run.
+        Besides the rarest of a run, which an exact copy needs, those up to `spread` times as frequent serve too, so that an
+        edited copy is met as well. Runs that stand in other items too need a seed only where an item has no
+        run of its own, so phrases that many items share make no candidates. An n-gram that no document has needs no seed.
         """
         out = set()
         for k, s in enumerate(self.seq):
             n = min(self.seed, len(s))
             gs = [self.grams[tuple(s[i : i + n].tolist())] for i in range(len(s) - n + 1)]
+            cost = [counts.get(g, 0) * len(self.places[g]) for g in gs]
             for i in self.unique[k] or range(len(s) - self.run[k] + 1):
-                out.add(min(gs[i : i + self.run[k] - n + 1], key=lambda g: (counts.get(g, 0) * len(self.places[g]), g)))
-        return {g for g in out if counts.get(g)}
+                there = range(i, i + self.run[k] - n + 1)
+                most = spread * max(1, min(cost[j] for j in there))
+                out.update(gs[j] for j in there if 0 < cost[j] <= most)
+        return out
 
 
 def find_grams(docs: list[list[str]], items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
