@@ -14,11 +14,11 @@ def alignment(a: DataFrame, b: DataFrame, id_col: str = "document_id") -> DataFr
 
 
 def first_mismatch(a: DataFrame, b: DataFrame, id_col: str, ids: str) -> DataFrame:
-    """(document_id, at) of documents whose id arrays differ; at is the first index, or the shorter length."""
+    """(document_id, first_index) of documents whose id arrays differ: the first index, or the shorter length."""
     d = a.select(id_col, F.col(ids).alias("_x")).join(b.select(id_col, F.col(ids).alias("_y")), id_col).where(~F.col("_x").eqNullSafe(F.col("_y")))
     same = F.zip_with("_x", "_y", lambda p, q: F.coalesce(p == q, F.lit(False)))
     at = F.array_position(same, False).cast("int") - 1
-    return d.select(id_col, at.alias("at"))
+    return d.select(id_col, at.alias("first_index"))
 
 
 def checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:

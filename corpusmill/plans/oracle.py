@@ -344,7 +344,7 @@ SQL["quota_tolerance"] = f"WITH {_SEL}, g AS (SELECT source, sum(n_taken)::BIGIN
 SQL["trim_spans"] = f"""WITH {TOK} SELECT document_id, coalesce(array_to_string(list_transform(list_filter(paragraph_token_spans, lambda s: s.start < 100), lambda s: s.start || '-' || least(s."end", 100)), ','), '') AS spans FROM tok"""
 SQL["ab_alignment"] = """WITH a AS (SELECT DISTINCT document_id FROM canonical_docs), b AS (SELECT DISTINCT document_id FROM tokenized_docs)
 SELECT side, count(*) AS n_docs FROM (SELECT 'a_only' AS side FROM a ANTI JOIN b USING (document_id) UNION ALL SELECT 'b_only' FROM b ANTI JOIN a USING (document_id)) GROUP BY 1"""
-SQL["token_mismatch"] = f"WITH {TOK} SELECT document_id, 700::BIGINT AS at FROM tok WHERE len(token_ids) > 700"
+SQL["token_mismatch"] = f"WITH {TOK} SELECT document_id, 700::BIGINT AS first_index FROM tok WHERE len(token_ids) > 700"
 SQL["split_isolation"] = """SELECT DISTINCT view_id, v.document_id, view_split, document_split FROM (SELECT view_id, nullif(lower(trim(split)), '') AS view_split, unnest(source_document_ids) AS document_id FROM view_records) v
 JOIN (SELECT DISTINCT document_id, nullif(lower(trim(split)), '') AS document_split FROM tokenized_docs) d ON v.document_id = d.document_id WHERE view_split <> document_split"""
 
