@@ -83,7 +83,7 @@ def overlapping(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: s
     it = it.select("item_id", "item_shingles", F.explode("sh").alias("s"))
     docs = df.select(F.col(id_col).alias("doc_id"), F.explode(shingle_hashes(F.col(text), n)).alias("s"))
     if is_small(items, MAX_ITEM_BYTES):
-        it = broadcast_if_small(it, 1 << 62)  # at most as many shingles as the items have words
+        it = F.broadcast(it)  # at most as many shingles as the items have words
     hits = docs.join(it, "s").groupBy("doc_id", "item_id", "item_shingles").agg(F.count_distinct("s").alias("shared"))
     return hits.where(F.col("shared") >= F.col("item_shingles") * least).select("doc_id", "item_id", F.col("shared").cast("int").alias("shared"), "item_shingles")
 

@@ -32,6 +32,12 @@ def category_score(category: Column, structured: Column | None = None) -> Column
     return rank * RANK_WEIGHT + s * STRUCTURE_WEIGHT + BASE_SCORE
 
 
+def measured_score(category: Column, structured: Column, language: Column, final: Column) -> Column:
+    """The score of a document whose language probability and final quality were measured (0 where null)."""
+    base = category_score(category, structured) - BASE_SCORE
+    return base + (F.coalesce(language, F.lit(0.0)) + F.coalesce(final, F.lit(0.0))) * (BASE_SCORE / 2)
+
+
 def winner_key(score: Column, priority: Column, id_: Column) -> Column:
     """The smallest wins: best score, then lowest priority, then lowest id."""
     return F.struct((-score).alias("score"), priority.alias("priority"), id_.alias("id"))

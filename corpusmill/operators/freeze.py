@@ -2,9 +2,40 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators.tokens import file_sha256
+
+
+def same_artifact(**hashes: str | None) -> str:
+    """The hash that all places state; ValueError names the places if one differs or is missing."""
+    if len(set(hashes.values())) != 1 or None in hashes.values():
+        raise ValueError("the artifact hashes differ: " + ", ".join(f"{k}={v}" for k, v in sorted(hashes.items())))
+    return next(iter(hashes.values()))
+
+
+def special_ids(vocabulary: dict[str, int], *names: str) -> dict[str, int]:
+    """The ids of special tokens; ValueError if one is missing or two are the same."""
+    ids = {n: vocabulary[n] for n in names if n in vocabulary}
+    if len(ids) < len(names) or len(set(ids.values())) < len(ids):
+        raise ValueError(f"special tokens are missing or not distinct: {ids}")
+    return ids
+
+
+def cached_digests(folder: str, known: dict[str, tuple] | None = None) -> dict[str, tuple]:
+    """By file (size, time of change, sha256); files whose size and time are known are not read again."""
+    out = {}
+    for name in sorted(os.listdir(folder)):
+        path = os.path.join(folder, name)
+        if os.path.isfile(path):
+            st = os.stat(path)
+            old = (known or {}).get(name)
+            out[name] = old if old and tuple(old[:2]) == (st.st_size, st.st_mtime_ns) else (st.st_size, st.st_mtime_ns, file_sha256(path))
+    return out
+
 
 def alignment(a: DataFrame, b: DataFrame, id_col: str = "document_id") -> DataFrame:
     """(document_id, side) of ids that only one layer has: a_only or b_only."""

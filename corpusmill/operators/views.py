@@ -54,7 +54,7 @@ def next_fit(docs: DataFrame, context: int = CONTEXT, group_docs: int = 4096) ->
     """
     d = docs.select("document_id", "split", F.size("token_ids").alias("n")).where((F.col("n") > 0) & (F.col("n") < context - 1))
     groups = d.groupBy("split").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / group_docs)).cast("int").alias("g"))
-    d = d.join(F.broadcast(groups), d["split"].eqNullSafe(groups["split"])).select(d["*"], F.pmod(F.xxhash64("document_id"), "g").cast("int").alias("part"))
+    d = d.join(groups, d["split"].eqNullSafe(groups["split"])).select(d["*"], F.pmod(F.xxhash64("document_id"), "g").cast("int").alias("part"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("document_id", kind="stable")

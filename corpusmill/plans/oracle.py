@@ -274,6 +274,7 @@ _SCORE = f"{_RANK} * 0.35::DOUBLE + 1.0::DOUBLE * 0.25::DOUBLE + 0.40::DOUBLE"
 SQL["exact_dedup"] = f"""WITH {CONF}, s AS (SELECT doc_id, sha256(text) AS text_hash, {_SCORE} AS score, {priority('source', 'doc_id')} AS priority FROM cat WHERE text IS NOT NULL)
 SELECT text_hash, doc_id AS winner, n AS copies FROM (SELECT *, row_number() OVER (PARTITION BY text_hash ORDER BY score DESC, priority, doc_id) AS r, count(*) OVER (PARTITION BY text_hash) AS n FROM s) WHERE r = 1"""
 SQL["dedup_scores"] = f"WITH {CONF} SELECT doc_id, round({_RANK} * 0.35::DOUBLE + CASE WHEN contains(coalesce(text, ''), {NL2}) THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END * 0.25::DOUBLE + 0.40::DOUBLE, 6) AS score FROM cat"
+SQL["measured_scores"] = f"SELECT DISTINCT document_id, round({_RANK.replace('category', 'domain')} * 0.35::DOUBLE + CASE WHEN coalesce(len(structure.paragraph_spans), 0) > 0 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END * 0.25::DOUBLE + (coalesce(quality.language_probability, 0) + coalesce(quality.final_quality_score, 0)) * 0.2::DOUBLE, 6) AS score FROM canonical_docs"
 _FREQ = f"""tx AS (SELECT document_id AS doc_id, min(normalized_text) AS text FROM canonical_docs WHERE normalized_text IS NOT NULL GROUP BY 1),
 pl AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM tx),
 ph AS (SELECT doc_id, i, {strip('x')} AS p, CASE WHEN {nw('x')} >= 5 THEN md5({strip('x')}) END AS h FROM pl),

@@ -462,6 +462,14 @@ def _texts(spark, d):
     return table(spark, d, "canonical_docs").where("normalized_text is not null").groupBy("document_id").agg(F.min("normalized_text").alias("text"))
 
 
+@query
+def measured_scores(spark, d):
+    c = table(spark, d, "canonical_docs")
+    q = lambda k: F.col(f"quality.{k}")
+    s = dedup.measured_score(F.coalesce("domain", F.lit("web")), F.coalesce(F.size("structure.paragraph_spans"), F.lit(0)) > 0, q("language_probability"), q("final_quality_score"))
+    return c.select("document_id", F.round(s, 6).alias("score")).distinct()
+
+
 @query
 def paragraph_df(spark, d):
     return dedup.paragraph_frequency(_texts(spark, d), "document_id", "text", "\n", 5, 10)

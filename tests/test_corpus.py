@@ -4,6 +4,7 @@ import os
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators import decontam, dedup, freeze, identity, ingest, segment, splits, stats, tokens, views
@@ -204,6 +205,18 @@ def test_freeze(spark, tmp_path):
     assert [r["document_id"] for r in freeze.split_violations(v, docs).collect()] == ["y"]
 
 
+def test_artifacts(tmp_path):
+    assert freeze.same_artifact(a="x", b="x") == "x" and freeze.special_ids({"<s>": 0, "</s>": 1}, "<s>", "</s>") == {"<s>": 0, "</s>": 1}
+    for bad in (lambda: freeze.same_artifact(a="x", b="y"), lambda: freeze.same_artifact(a=None), lambda: freeze.special_ids({"a": 1, "b": 1}, "a", "b"), lambda: freeze.special_ids({}, "a")):
+        with pytest.raises(ValueError):
+            bad()
+    (tmp_path / "f").write_text("one")
+    first = freeze.cached_digests(str(tmp_path))
+    assert freeze.cached_digests(str(tmp_path), {"f": (*first["f"][:2], "kept")})["f"][2] == "kept"
+    (tmp_path / "f").write_text("three")
+    assert freeze.cached_digests(str(tmp_path), first)["f"][2] != first["f"][2]
+
+
 def tok(spark, rows):
     return spark.createDataFrame(rows, "document_id string, parent_document_id string, source string, split string, token_ids array<int>, paragraph_token_spans array<struct<start:int,end:int>>")
 
@@ -215,7 +228,7 @@ def test_views(spark):
     t = tok(spark, [("a", "a", "s", "train", [3] * 100, [(0, 50), (50, 100)]), ("b", "b", "s", "train", [4] * 20, []), ("c", "c", "s", "train", [5, 6, 7], []), ("d", "d", "s", "train", [8, 9, 9], []), ("e", "e", "s", "test", [8, 9, 9], []), ("f", "f", "s", "test", [], None)])
     p = views.packed(t, 32).collect()
     assert {d for r in p for d in r["source_document_ids"]} == {"b", "c", "d", "e"} and all(len(r["input_token_ids"]) == 32 for r in p)
-    assert all(r["split"] == "test" for r in p if "e" in r["source_document_ids"]) and [r["source_document_ids"] for r in p if r["split"] == "train"] == [["b", "c", "d"]] and [r["source_document_ids"] for r in views.packed(t, 27).collect() if r["split"] == "train"] == [["b", "c"], ["d"]]
+    assert all(r["split"] == "test" for r in p if "e" in r["source_document_ids"]) and [r["source_document_ids"] for r in p if r["split"] == "train"] == [["b", "c", "d"]] and sorted(r["source_document_ids"] for r in views.packed(t, 27).collect() if r["split"] == "train") == [["b", "c"], ["d"]]
     c = views.crops(t, 32).collect()
     assert [r["document_id"] for r in c] == ["a"] and len(c[0]["input_token_ids"]) == 32
     long = tok(spark, [("L", "L", "s", "train", list(range(2000)), [(0, 500), (500, 900), (900, 2000)])])
