@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import encoding, leaks, mixing, packing, pii, related_splits, repeated_lines, repetition, sampling
-from corpusmill.session import table
+from corpusmill.session import table, written
 
 #: Share of each source's identifiers that the sample query selects.
 SAMPLE_RATE = 0.1
@@ -93,7 +93,7 @@ def p9_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_fertility(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.fertility_rejects(repetition.fertility(table(spark, d, "documents")))
+    return repetition.fertility_rejects(written(repetition.fertility(table(spark, d, "documents")), "fertility"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_report, p2_found, p2_records, p3_found, p3_cleaned, p4_found, p4_redacted, p5_found, p5_mixture, p5_report, p6_sample, p7_ids, p7_round_trip, p8_found, p8_scores, p9_found, p9_share, p9_fertility)}

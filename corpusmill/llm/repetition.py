@@ -9,6 +9,9 @@ share is found by comparing the runs themselves. Both are narrow maps over whole
 from __future__ import annotations
 
 import itertools
+import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +24,7 @@ from corpusmill.llm.words import words
 
 RUN = 8
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+_ASCII_LETTER, _NOT_ASCII = re.compile(r"[A-Za-z]"), re.compile(r"[^\x00-\x7f]")
 
 
 def repeated_words(docs: list[list[str]], run: int = RUN) -> np.ndarray:
@@ -88,13 +92,23 @@ def _pieces(path: str):
     return sp, np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
 
 
-def script() -> F.Column:
-    """The script most letters of `text` belong to, of latin, cyrillic, greek, han, other; none without letters."""
-    names = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}", "han": r"\p{IsHan}"}
-    total = F.regexp_count("text", F.lit(r"\p{L}"))
-    counts = F.array(*(F.struct(F.regexp_count("text", F.lit(p)).alias("n"), F.lit(n).alias("name")) for n, p in names.items()))
-    most = F.array_max(counts)
-    return F.when(F.coalesce(total, F.lit(0)) == 0, "none").when(most["n"] * 2 < total, "other").otherwise(most["name"])
+@lru_cache(maxsize=100_000)
+def _script_of(c: str) -> str | None:
+    """The script of a character by its Unicode name; None if it is no letter."""
+    if not c.isalpha():
+        return None
+    first = unicodedata.name(c, "OTHER").split()[0].lower()
+    return {"cjk": "han", "fullwidth": "latin", "halfwidth": "kana", "hiragana": "kana", "katakana": "kana"}.get(first, first)
+
+
+def script(text: str) -> str:
+    """The script that most letters of a text belong to, the first by name among equals; none without letters."""
+    counts = Counter({"latin": len(_ASCII_LETTER.findall(text))})
+    for c, n in Counter(_NOT_ASCII.findall(text)).items():
+        if s := _script_of(c):
+            counts[s] += n
+    best = min(counts, key=lambda s: (-counts[s], s))
+    return best if counts[best] else "none"
 
 
 def fertility(df: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = PIECES) -> DataFrame:
@@ -103,7 +117,6 @@ def fertility(df: DataFrame, id_col: str = "doc_id", text: str = "text", path: s
     A text without tokens (null, empty) has 0 in all numbers.
     """
     d = df.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    d = d.withColumn("script", script())
     id_type = d.schema["doc_id"].dataType.simpleString()
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,15 +127,15 @@ def fertility(df: DataFrame, id_col: str = "doc_id", text: str = "text", path: s
             for i in range(0, len(texts), 128):
                 for x, ids in zip(texts[i : i + 128], sp.encode(texts[i : i + 128], num_threads=1), strict=True):
                     if not ids:
-                        rows.append((len(x), 0, 0.0, 0.0, 0.0))
+                        rows.append((script(x), len(x), 0, 0.0, 0.0, 0.0))
                         continue
                     a = np.array(ids)
                     c = np.bincount(a)
                     p = c[c > 0] / len(a)
-                    rows.append((len(x), len(a), len(x) / len(a), float(is_byte[a].mean()), float(-(p * np.log2(p)).sum())))
-            cols = list(zip(*rows, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("script"), *(pa.array(x, k) for x, k in zip(cols, kinds, strict=True))], names=["doc_id", "script", "n_chars", "n_tokens", "chars_per_token", "byte_share", "entropy"])
+                    rows.append((script(x), len(x), len(a), len(x) / len(a), float(is_byte[a].mean()), float(-(p * np.log2(p)).sum())))
+            cols = list(zip(*rows, strict=True)) or [[]] * 6
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(x, k) for x, k in zip(cols, kinds, strict=True))], names=["doc_id", "script", "n_chars", "n_tokens", "chars_per_token", "byte_share", "entropy"])
 
     return d.mapInArrow(go, f"doc_id {id_type}, script string, n_chars long, n_tokens long, chars_per_token double, byte_share double, entropy double")
 
@@ -134,7 +147,10 @@ def fertility_bands(measured: DataFrame, tail: float = 0.005) -> DataFrame:
 
 
 def fertility_rejects(measured: DataFrame, tail: float = 0.005) -> DataFrame:
-    """measured with `rejected`: outside a band of its script. Texts without tokens are not rejected."""
+    """measured with `rejected`: outside a band of its script. Texts without tokens are not rejected.
+
+    measured is read twice, so it should be a written table.
+    """
     bands = F.broadcast(fertility_bands(measured, tail).drop("documents"))  # a row per script
     out = (F.col("chars_per_token") < F.col("low")) | (F.col("chars_per_token") > F.col("high")) | (F.col("byte_share") > F.col("byte_high")) | (F.col("entropy") < F.col("entropy_low"))
     return measured.join(bands, "script", "left").select(*measured.columns, (F.coalesce(out, F.lit(False)) & (F.col("n_tokens") > 0)).alias("rejected"))
