@@ -22,6 +22,11 @@ def let(value: Column, f) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+def once(c: Column) -> Column:
+    """c, computed where it stands: a later filter on it is not pushed down as a second evaluation of costly patterns."""
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def word_count(text: Column | str) -> Column:
     """White-space separated words, the token approximation; 0 for null."""
     return F.coalesce(F.regexp_count(_c(text), F.lit(WORD)), F.lit(0))

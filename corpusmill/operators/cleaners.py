@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import SPACE, WORD, lines, ratio, strip, word_count
-from corpusmill.operators.running import running
+from corpusmill.operators.running import even_buckets, running
 
 # The patterns of what is stripped or rejected.
 WIKI_NAMESPACE = r"(?i)^(?:talk|user|wikipedia|file|mediawiki|template|help|category|portal|draft|timedtext|module|talk_page|disambiguation):"
@@ -46,7 +46,7 @@ def hostname(url: Column) -> Column:
 def quota_rule(df: DataFrame, key: str, order: str, size: Column, passes: Column, cap: int, out: str = "over_quota") -> DataFrame:
     """df with `out`: whether the rows of key before this one, in order (a whole number), that pass already sum up to cap."""
     n = F.when(passes, size).otherwise(0)
-    d = running(df, key, F.floor(F.col(order) / 4096), [order], {"_before": ("sum", n)})
+    d = running(df, key, even_buckets(df, order), [order], {"_before": ("sum", n)})
     return d.withColumn(out, F.col("_before") >= cap).drop("_before")
 
 

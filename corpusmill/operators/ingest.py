@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import word_count
-from corpusmill.operators.running import running
+from corpusmill.operators.running import even_buckets, running
 
 OVERSAMPLE = 1.35
 LEAST_CAP = 2048
@@ -24,7 +24,7 @@ def bounded_scan(df: DataFrame, config: DataFrame, total: int, source: str = "so
     cap = F.least(F.col("_budget"), F.greatest(F.lit(LEAST_CAP).cast("long"), F.floor(F.col("_budget") * 0.5).cast("long")))
     c = config.select(F.col("source").alias(source), budget.alias("_budget"))
     d = df.join(F.broadcast(c), source).withColumn("_cap", cap).withColumn("n_tokens", word_count(text).cast("long"))  # a row per configured source
-    n, bucket = F.col("n_tokens"), F.floor(F.col(idx) / 4096)
+    n, bucket = F.col("n_tokens"), even_buckets(df, idx)
     good, over = (n > 0) & (n <= F.col("_cap")), n > F.col("_cap")
     flag = lambda c: c.cast("long")
     d = running(d, source, bucket, [idx], {"_scan": ("sum", F.lit(1).cast("long")), "_over": ("sum", flag(over)), "_tok": ("sum", F.when(good, n).otherwise(0)), "_acc": ("sum", flag(good))})

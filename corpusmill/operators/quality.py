@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import lines, ratio, word_count, words
+from corpusmill.functions.text import lines, once, ratio, word_count, words
 
 # The limits of the rules.
 MIN_PRINTABLE, MAX_DUPLICATE_LINES, MAX_MEDIAN_WORD, MAX_JUNK_LINES = 0.98, 0.20, 15, 0.30
@@ -73,4 +73,4 @@ def with_source_limits(df: DataFrame, config: DataFrame, source: str = "source")
 def judge(df: DataFrame, config: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
     """df with the metrics, category, min_words, min_english and `rule`, null for a text that passes."""
     out = with_metrics(with_source_limits(df, config, source), text)
-    return out.withColumn("rule", rule(F.col("category"), F.col("min_words"), F.col("min_english")))
+    return out.withColumn("rule", once(rule(F.col("category"), F.col("min_words"), F.col("min_english"))))

@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def even_buckets(df: DataFrame, order: str, rows: int = 1 << 16) -> Column:
+    """Buckets of a whole-number column of equal width, about `rows` rows each if its values are spread evenly.
+
+    The width follows from the column's range and count, so there are never more than count / rows buckets. The
+    buckets shape the plan of running(), not its result.
+    """
+    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    width = max(1, -(-(hi - lo + 1) * rows // n)) if n else 1
+    return F.floor((F.col(order) - F.lit(lo or 0)) / F.lit(width))
+
+
 def running(df: DataFrame, key: str, bucket: Column, order: list[str], values: Mapping[str, tuple[str, Column]]) -> DataFrame:
     """df with, per entry of values, the sum or max of a column over the rows of key before this one in order.
 

@@ -96,7 +96,8 @@ _CLEAN0 = rsub(rsub(f"regexp_replace(nfc_normalize(text), '\\r\\n?', chr(10), 'g
 _CLEAN = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CLEAN0}, {q(r'[\x0b-\r\x1c-\x1f \x85\p{Z}]+')}, ' ', 'g'), '[ \\t]*\\n[ \\t]*', chr(10), 'g'), '\\A[ \\t]+|[ \\t]+\\z', '', 'g'), '\\n{{4,}}', chr(10) || chr(10) || chr(10), 'g')"
 SQL["normalize_text"] = f"SELECT doc_id, md5(t) AS text_md5, length(t)::BIGINT AS n_chars FROM (SELECT doc_id, {_CLEAN} AS t FROM documents)"
 SQL["ufffd_reject"] = f"SELECT doc_id, round(r, 6) AS ratio, r > 0.001 AS rejected FROM (SELECT doc_id, CASE WHEN length(text) > 0 THEN {count('text', r'\x{fffd}')}::DOUBLE / length(text) ELSE 0.0 END AS r FROM documents)"
-for _k, _ps, _m in normalize.KINDS:
+_KINDS = [(k, [normalize.EMAIL if p == normalize.EMAIL_ONCE else p for p in ps], m) for k, ps, m in normalize.KINDS]
+for _k, _ps, _m in _KINDS:
     _n = count("text", _ps[0])
     _t = rsub("text", _ps[0], _m)
     if len(_ps) > 1:

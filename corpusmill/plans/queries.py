@@ -165,15 +165,9 @@ def ufffd_reject(spark, d):
 def _redacted(kind):
     def run(spark, d):
         patterns, mark = next((p, m) for k, p, m in normalize.KINDS if k == kind)
-        t = F.col("text")
-        n = sum((F.coalesce(F.regexp_count(t, F.lit(p)), F.lit(0)) for p in patterns[:1]), F.lit(0))
+        t, n = F.col("text"), F.lit(0)
         for p in patterns:
-            t = F.regexp_replace(t, p, mark)
-        for i, p in enumerate(patterns[1:], 1):
-            before = F.col("text")
-            for q in patterns[:i]:
-                before = F.regexp_replace(before, q, mark)
-            n = n + F.coalesce(F.regexp_count(before, F.lit(p)), F.lit(0))
+            n, t = n + F.coalesce(F.regexp_count(t, F.lit(p)), F.lit(0)), F.regexp_replace(t, p, mark)
         return docs(spark, d).select("doc_id", n.alias("n"), F.md5(t).alias("text_md5"))
 
     run.__name__ = f"redact_{kind}"
