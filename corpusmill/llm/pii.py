@@ -77,12 +77,14 @@ _PHONE = re.compile(
     rf")(?![\w]){_EXT}",
 )
 #: Words before a number that is no phone.
-_NOT_PHONE = re.compile(r"(?:isbn|issn|catalogue|catalog|docket|grant|invoice|order|version|no\.|nr\.|#|doi|id|ref\.?|number|serial|host|ip)[\s:]*$", re.I)
+_NOT_PHONE = re.compile(r"(?<![a-z])(?:isbn|issn|catalogue|catalog|docket|grant|invoice|order|version|(?<!phone )(?<!fax )(?<!mobile )(?:no\.|nr\.|number)|#|doi|id|ref\.?|serial|host|ip)[\s:]*$", re.I)
 
 _TITLE_WORDS = frozenset("The A An This That These Those In On At By To Of For From With And Or But If When While Mr Mrs Ms Miss Dr Prof Sir Dame Selon Según Nach Von Der Die Das Ein Eine Le La Les El Los Las Un Une Una According Thanks Regards Sincerely Signed Dear Under Near After Before Every Each Some Many Most Neither Nobody Whoever Although Perhaps Because Later Filed Copyright Share Read Page".split())
 _INSTITUTION = re.compile(rf"[\-'’]?{_S}(?:institute|street|st|road|avenue|lane|drive|square|medal|prize|award|university|college|school|foundation|society|museum|library|hospital|cent(?:re|er)|trust|hall|park|bridge|company|ltd|inc|gmbh|laboratory|laboratories|academy|station|house|institut|stiftung|universität|université)(?!\w)", re.I)
 _INITIALS = rf"(?:{_S}?[A-Z]\.)*"
 _BEFORE_FAMILY = re.compile(rf"(?<![\w'’.\-@/+])((?:[A-Z]\.{_S}?)+|([A-ZÀ-Þ][\w'’\-]+){_S}(?:[A-Z]\.{_S}?)*)$")
+#: What stands before a person: a title, an attribution, the mark of a signature.
+_PERSON_NEXT = re.compile(rf"(?:\b(?:Mrs|Mr|Ms|Miss|Dr|Prof)\.?|\b(?:by|By|BY|to|von|Selon|Según|with|and)|[:,—–])[ \t\n    ]+$")
 _AFTER_FAMILY = re.compile(rf",{_S}((?:[A-Z]\.(?:{_S}?[A-Z]\.)*)|([A-ZÀ-Þ][\w’'\-]+){_INITIALS})(?!\w)")
 _AFTER_GIVEN = re.compile(rf"{_INITIALS}{_S}([A-ZÀ-Þ][\w’'\-]+)")
 
@@ -274,6 +276,9 @@ class Finder:
         if m := _BEFORE_FAMILY.search(text, max(0, s - 60), s):
             if m[2] is None or self._is_given(m[2], weak):
                 return m.start(1), e
+            unlisted = not weak and len(m[2]) > 2 and m[2].isupper() == text[s:e].isupper() and m[2].capitalize() not in _TITLE_WORDS and m[2].lower() not in self.family
+            if unlisted and _PERSON_NEXT.search(text, max(0, m.start(1) - 12), m.start(1)):
+                return m.start(1), e
             if (i := re.search(rf"((?:[A-Z]\.{_S}?)+)$", m[1])) and m[2] is not None:  # a word that is no given name, then initials
                 return m.start(1) + i.start(1), e
         if m := _AFTER_FAMILY.match(text, e, min(n, e + 60)):

@@ -30,6 +30,9 @@ def values(finder, text):
         ("tel. 01 99 00 33 37, weekdays", "phone", "01 99 00 33 37"),
         ("Call 00442079460355 and", "phone", "00442079460355"),
         ("or 773‑555‑0137 there", "phone", "773‑555‑0137"),
+        ("my phone number 735-555-0185 here", "phone", "735-555-0185"),
+        ("the turnip: 219-555-0164.", "phone", "219-555-0164"),
+        ("by Mrs Wepho Unknownova after", "name", "Wepho Unknownova"),
         ("SSN 955-08-8669, one", "id", "955-08-8669"),
         ("national insurance number QQ 83 00 96 C when", "id", "QQ 83 00 96 C"),
         ("shows NI no. QQ138213B beside", "id", "QQ138213B"),
