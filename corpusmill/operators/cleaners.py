@@ -157,6 +157,49 @@ def clean_by_category(df: DataFrame, text: str = "text", title: str = "title", c
     return d.withColumn("rule", why)
 
 
+#: Parts of source names, in the order they are tried, the strip they call for and the words a text must keep.
+SOURCE_CLEANERS = (
+    (("wikimedia",), "wiki", 64),
+    (("gutenberg",), "book", 1024),
+    (("pre_1929",), "ocr", 1024),
+    (("doab", "pressbooks"), "books", 512),
+    (("arxiv",), "equations", 512),
+    (("pes2o",), "science", 512),
+    (("pubmed",), "science", 256),
+    (("libretexts",), "educational", 512),
+    (("oercommons",), "none", 256),
+    (("usgpo", "regulations", "caselaw"), "government_legal", 256),
+    (("pep", "python_enhancement"), "technical", 256),
+)
+MAX_INNER_DIGITS = 0.15
+
+
+def clean_by_source(df: DataFrame, text: str = "text", title: str = "title", source: str = "source") -> DataFrame:
+    """df with cleaned_text, n_words_clean and `rule` by parts of the source's name, case aside; other sources pass as they are."""
+    t, name = F.coalesce(F.col(text), F.lit("")), F.lower(F.coalesce(source, F.lit("")))
+    strips = {
+        "wiki": wiki_strip(t), "book": book_strip(t), "ocr": rejoin_words(t), "equations": tag_equations(science_strip(t)), "science": science_strip(t), "none": t,
+        **{k: boilerplate_strip(t, k) for k in BOILERPLATE},
+    }
+    kind, cleaned, least = F.lit("other"), t, F.lit(0)
+    for parts, strip_, n in reversed(SOURCE_CLEANERS):
+        hit = F.lit(False)
+        for p in parts:
+            hit = hit | F.contains(name, F.lit(p))
+        cleaned, least = F.when(hit, strips[strip_]).otherwise(cleaned), F.when(hit, n).otherwise(least)
+        kind = F.when(hit, "catalogue" if strip_ == "none" else strip_).otherwise(kind)
+    d = df.withColumn("_kind", kind).withColumn("cleaned_text", cleaned).withColumn("n_words_clean", word_count("cleaned_text"))
+    stub = F.when(F.col("_kind") == "catalogue", catalogue_rule(F.col("cleaned_text")))
+    why = (
+        F.when(t == "", "empty_text")
+        .when((F.col("_kind") == "wiki") & wiki_title_rule(F.col(title)).isNotNull(), wiki_title_rule(F.col(title)))
+        .when((F.col("_kind") == "ocr") & (inner_digit_ratio(F.col("cleaned_text")) > MAX_INNER_DIGITS), "inner_digits_exceeded")
+        .when(stub == "catalogue_stub", "catalogue_stub")
+        .when(F.col("n_words_clean") < least, "below_min_length")
+    )
+    return d.withColumn("rule", why).drop("_kind")
+
+
 # --- threads
 
 

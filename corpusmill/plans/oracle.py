@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusmill.operators import cleaners, dedup, normalize, quality, tokens
-from corpusmill.plans.queries import POOL_WORDS, SCAN_WORDS, SHARES, VOCAB
+from corpusmill.plans.queries import POOL_WORDS, SCAN_WORDS, SHARES, SOURCE_NAMES, VOCAB
 
 SP = r"\t-\r\x1c-\x1f \x85\p{Z}"
 WORD = rf"[^{SP}]+"
@@ -178,6 +178,19 @@ SQL["clean_by_category"] = f"WITH {_BYCAT} SELECT doc_id, category, n_words_clea
 SQL["cleaning_counters"] = f"WITH {_BYCAT} SELECT source, count(*) FILTER (rule IS NULL) AS n_kept, count(*) FILTER (rule IS NOT NULL) AS n_rejected, sum(CASE WHEN rule IS NULL THEN n_words_clean ELSE 0 END)::BIGINT AS n_words FROM bycat GROUP BY 1"
 
 
+_BY_NAME = {
+    "Wikimedia_dump": (strip(rsub("t", cleaners.WIKI_TAIL, "")), 64), "gutenberg_books": (strip("t"), 1024), "Pre_1929_scans": (f"regexp_replace(t, {q(cleaners.BROKEN_WORD)}, '\\1\\2', 'g')", 1024),
+    "doab": (rsub("t", cleaners.BOILERPLATE["books"], ""), 512), "pressbooks_x": (rsub("t", cleaners.BOILERPLATE["books"], ""), 512), "arXiv_abstracts": (_tag_eq(rsub("t", cleaners.SCIENCE_TAIL, "")), 512),
+    "peS2o": (rsub("t", cleaners.SCIENCE_TAIL, ""), 512), "PubMed": (rsub("t", cleaners.SCIENCE_TAIL, ""), 256), "LibreTexts": (rsub("t", cleaners.BOILERPLATE["educational"], ""), 512), "oercommons": ("t", 256),
+    "USGPO": (rsub("t", cleaners.BOILERPLATE["government_legal"], ""), 256), "caselaw": (rsub("t", cleaners.BOILERPLATE["government_legal"], ""), 256), "python_enhancement_proposals": (rsub("t", cleaners.BOILERPLATE["technical"], ""), 256), "other": ("t", 0),
+}
+_DIGITS = f"{nw('c')} > 0 AND len(list_filter({ws('c')}, lambda x: regexp_matches(x, {q(cleaners.INNER_DIGIT)})))::DOUBLE / {nw('c')} > 0.15::DOUBLE"
+SQL["clean_by_source"] = f"""WITH n0 AS (SELECT doc_id, coalesce(title, '') AS title, coalesce(text, '') AS t, [{', '.join(map(q, SOURCE_NAMES))}][doc_id % {len(SOURCE_NAMES)} + 1] AS source FROM documents),
+n1 AS (SELECT *, CASE source {' '.join(f"WHEN '{k}' THEN {c}" for k, (c, _) in _BY_NAME.items())} END AS c, CASE source {' '.join(f"WHEN '{k}' THEN {n}" for k, (_, n) in _BY_NAME.items())} END AS least FROM n0)
+SELECT doc_id, source, md5(c) AS text_md5, {nw('c')} AS n_words_clean, CASE WHEN t = '' THEN 'empty_text' WHEN source = 'Wikimedia_dump' AND {_WIKI_RULE} IS NOT NULL THEN {_WIKI_RULE} WHEN source = 'Pre_1929_scans' AND {_DIGITS} THEN 'inner_digits_exceeded'
+  WHEN source = 'oercommons' AND (contains(t, 'Catalog Record') OR contains(t, 'Resource Description:')) AND {nw('t')} < 300 THEN 'catalogue_stub' WHEN {nw('c')} < least THEN 'below_min_length' END AS rule FROM n1"""
+
+
 def inside(tag: str, x: str = "text") -> str:
     return f"regexp_extract_all({x}, {q(f'(?s)<{tag}>{chr(92)}n(.*?){chr(92)}n</{tag}>')}, 1)"
 

@@ -307,6 +307,16 @@ def clean_by_category(spark, d):
     return c.select("doc_id", "category", "n_words_clean", "rule")
 
 
+#: Names of sources of every kind, for the dispatch by name.
+SOURCE_NAMES = ("Wikimedia_dump", "gutenberg_books", "Pre_1929_scans", "doab", "pressbooks_x", "arXiv_abstracts", "peS2o", "PubMed", "LibreTexts", "oercommons", "USGPO", "caselaw", "python_enhancement_proposals", "other")
+
+
+@query
+def clean_by_source(spark, d):
+    x = docs(spark, d).withColumn("source", F.element_at(F.array(*map(F.lit, SOURCE_NAMES)), F.pmod("doc_id", F.lit(len(SOURCE_NAMES))).cast("int") + 1))
+    return cleaners.clean_by_source(x).select("doc_id", "source", F.md5("cleaned_text").alias("text_md5"), "n_words_clean", "rule")
+
+
 @query
 def cleaning_counters(spark, d):
     c = cleaners.clean_by_category(categorised(spark, d))

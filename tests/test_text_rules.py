@@ -85,6 +85,14 @@ def test_strips(spark):
     assert get(lambda c: cleaners.boilerplate_strip(c, "educational"), "Keep\nDownload PDF now\nKeep too") == "Keep\nKeep too"
 
 
+def test_clean_by_source(spark):
+    body = "plain words of a long enough text here " * 200
+    rows = [("arXiv", body + "\nReferences\n[1]", ""), ("PRE_1929_x", "w0rd " * 1100, ""), ("OERCommons", "Catalog Record " + "w " * 260, ""), ("wikimedia", body, "Talk:x"), ("wikimedia", "short", "T"), ("unknown", "x", ""), ("pubmed", None, None)]
+    out = cleaners.clean_by_source(spark.createDataFrame(rows, "source string, text string, title string")).collect()
+    assert [r["rule"] for r in out] == [None, "inner_digits_exceeded", "catalogue_stub", "disallowed_namespace", "below_min_length", None, "empty_text"]
+    assert out[0]["cleaned_text"] == body
+
+
 def test_answer_thread(spark):
     q, a = "why " * 25, "because of the long and winding road that leads there " * 12
     schema = "title string, question_body string, answers array<struct<body:string,score:int,is_accepted:boolean,comments:array<struct<text:string>>>>, site_name string"
