@@ -4,7 +4,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusmill.llm.packing import best_fit_decreasing, bin_completion, broken_items, pack, records
+from corpusmill.llm.packing import best_fit_decreasing, bin_completion, broken_items, lower_bound, pack, records
 
 SCHEMA = "document_id string, split string, token_ids array<int>, token_count int, record string, place int, item string"
 
@@ -45,6 +45,14 @@ def test_every_item_is_placed_once(sizes):
     assert len(got) <= len(best_fit_decreasing(counts, 64))
 
 
+def test_lower_bound():
+    assert lower_bound({}, 10) == 0 and lower_bound({6: 3}, 10) == 3 and lower_bound({5: 4}, 10) == 2 and lower_bound({7: 2, 4: 3}, 10) == 4
+    rng = random.Random(8)
+    for _ in range(40):
+        sizes = [rng.randint(1, 20) for _ in range(rng.randint(1, 7))]
+        assert lower_bound({s: sizes.count(s) for s in sizes}, 20) <= optimum(sizes, 20)
+
+
 def test_beats_best_fit():
     sizes = [6, 6, 6, 5, 5, 5, 4, 4, 4] * 2 + [7, 3, 8, 2]
     assert len(bin_completion(sizes, 10)) <= len(best_fit_decreasing({s: sizes.count(s) for s in sizes}, 10))
