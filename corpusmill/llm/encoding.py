@@ -19,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.words import parts
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
-#: Texts that are encoded at once, which bounds the memory of their encodings.
-AT_ONCE = 128
+#: Texts and characters that are encoded at once, which bounds the memory of their encodings.
+AT_ONCE, CHARS_AT_ONCE = 128, 1_000_000
 
 
 @lru_cache(maxsize=4)
@@ -72,8 +74,8 @@ def decode(ids: Iterable[int], path: str = TOKENIZER, whole_characters: bool = F
 
 def _encodings(texts: list[str | None], path: str) -> Iterator[list]:
     t = tokenizer(path)
-    for i in range(0, len(texts), AT_ONCE):
-        yield t.encode_batch([x or "" for x in texts[i : i + AT_ONCE]], add_special_tokens=False)
+    for i, e in parts(texts, AT_ONCE, CHARS_AT_ONCE):
+        yield t.encode_batch([x or "" for x in texts[i:e]], add_special_tokens=False)
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = TOKENIZER, offsets: bool = False) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.words import words
+from corpusmill.llm.words import parts, words
 from corpusmill.session import written
 
 RUN, SEED = 13, 4
@@ -222,9 +222,10 @@ def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, list
 def _finder(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in range(0, b.num_rows, 2000):
-                part = b.slice(s, 2000)
-                docs = [words(x) for x in part.column("text").to_pylist()]
+            texts = b.column("text").to_pylist()
+            for s, e in parts(texts, 2000, 4_000_000):
+                part = b.slice(s, e - s)
+                docs = [words(x) for x in texts[s:e]]
                 doc, pos, gram = find_grams(docs, items)
                 which, first = np.unique(doc, return_index=True)
                 ends = [*first.tolist(), len(doc)]

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.words import words
+from corpusmill.llm.words import parts, words
 
 RUN = 8
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -74,9 +74,10 @@ def repeated_share(df: DataFrame, id_col: str = "doc_id", text: str = "text", ru
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in range(0, b.num_rows, 2000):
-                part = b.slice(s, 2000)
-                docs = [words(x) for x in part.column("text").to_pylist()]
+            texts = b.column("text").to_pylist()
+            for s, e in parts(texts, 2000, 4_000_000):
+                part = b.slice(s, e - s)
+                docs = [words(x) for x in texts[s:e]]
                 n = np.array([len(x) for x in docs], dtype=np.int64)
                 r = repeated_words(docs, run)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(r), pa.array(r / np.maximum(n, 1))], names=["doc_id", "n_words", "repeated", "share"])
@@ -124,8 +125,8 @@ def fertility(df: DataFrame, id_col: str = "doc_id", text: str = "text", path: s
         for b in batches:
             texts = [x or "" for x in b.column("text").to_pylist()]
             rows = []
-            for i in range(0, len(texts), 128):
-                for x, ids in zip(texts[i : i + 128], sp.encode(texts[i : i + 128], num_threads=1), strict=True):
+            for i, e in parts(texts, 128, 1_000_000):
+                for x, ids in zip(texts[i:e], sp.encode(texts[i:e], num_threads=1), strict=True):
                     if not ids:
                         rows.append((script(x), len(x), 0, 0.0, 0.0, 0.0))
                         continue

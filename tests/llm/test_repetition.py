@@ -4,7 +4,7 @@ import random
 import pytest
 
 from corpusmill.llm.repetition import PIECES, fertility, fertility_bands, fertility_rejects, repeated_share, repeated_words
-from corpusmill.llm.words import words
+from corpusmill.llm.words import parts, words
 
 
 def brute(ws, run=8):
@@ -34,6 +34,12 @@ def test_words():
     assert words(None) == words(" \n") == [] and words("A-b 3.4") == ["a", "b", "3", "4"]
 
 
+def test_parts_cover_all_texts():
+    texts = ["a" * 5, None, "b" * 20, "", "c", "d" * 3, "e" * 9]
+    got = list(parts(texts, 3, 10))
+    assert [i for s, e in got for i in range(s, e)] == list(range(7)) and got == [(0, 2), (2, 3), (3, 6), (6, 7)] and list(parts([], 3, 10)) == []
+
+
 def test_frame(spark):
     long = "one two three four five six seven eight nine " * 20_000
     df = spark.createDataFrame([(1, long, 0), (2, None, 0), (3, "", 0), (4, "a b c", 0), (None, long[:200], 0), (4, "a b c", 0)], "doc_id long, text string, share int")
