@@ -166,8 +166,13 @@ def minhash(df: DataFrame, id_col: str, text: str, n: int = SHINGLE, permutation
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _coefficients(permutations)
+
+        def signature(h: np.ndarray) -> np.ndarray:
+            parts = (((a[:, None] * h[None, i : i + 8192] + b[:, None]) % np.uint64(PRIME)).min(axis=1) for i in range(0, len(h), 8192))
+            return np.minimum.reduce(list(parts)).astype(np.int64)
+
         for batch in batches:
-            sig = [((a[:, None] * np.array(x, dtype=np.uint64)[None, :] + b[:, None]) % np.uint64(PRIME)).min(axis=1).astype(np.int64) for x in batch.column("h").to_pylist()]
+            sig = [signature(np.array(x, dtype=np.uint64)) for x in batch.column("h").to_pylist()]
             flat = np.concatenate(sig) if sig else np.empty(0, np.int64)
             at = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * permutations)
             yield pa.RecordBatch.from_arrays([batch.column("document_id"), pa.ListArray.from_arrays(at, pa.array(flat))], names=["document_id", "signature"])
