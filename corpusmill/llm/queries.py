@@ -117,12 +117,19 @@ def _sample_sql() -> str:
     return f"SELECT document_id, source FROM ({q}) WHERE a * {1 << 30} + (b >> 2) < {int(SAMPLE_RATE * (1 << 62))}"
 
 
-_LABEL = "CASE WHEN lower(trim(split)) = 'val' THEN 'validation' ELSE nullif(lower(trim(split)), '') END"
+
+
+def _norm(x: str) -> str:
+    """Lower-cased, without surrounding white space."""
+    return rf"nullif(lower(regexp_replace({x}, '\A[\t-\r\x1c-\x1f \x85\p{{Z}}]+|[\t-\r\x1c-\x1f \x85\p{{Z}}]+\z', '', 'g')), '')"
+
+
+_LABEL = f"CASE WHEN {_norm('split')} = 'val' THEN 'validation' ELSE {_norm('split')} END"
 
 ORACLE_SQL = {
     "p1_found": f"""
 WITH RECURSIVE recs AS (
-  SELECT DISTINCT document_id, nullif(lower(trim(parent_document_id)), '') AS p, nullif(lower(trim(split_group_id)), '') AS g, {_LABEL} AS label FROM canonical_docs),
+  SELECT DISTINCT document_id, {_norm('parent_document_id')} AS p, {_norm('split_group_id')} AS g, {_LABEL} AS label FROM canonical_docs),
 edges AS (SELECT p AS a, g AS b FROM recs WHERE p IS NOT NULL AND g IS NOT NULL UNION SELECT g, p FROM recs WHERE p IS NOT NULL AND g IS NOT NULL
   UNION SELECT coalesce(p, g), coalesce(p, g) FROM recs WHERE coalesce(p, g) IS NOT NULL),
 reach AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
@@ -130,18 +137,18 @@ comp AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a),
 lab AS (SELECT document_id, component, label FROM recs JOIN comp ON comp.node = coalesce(p, g)),
 bad AS (SELECT component FROM lab GROUP BY component HAVING count(DISTINCT label) > 1)
 SELECT DISTINCT document_id FROM lab JOIN bad USING (component)""",
-    "p2_found": """
-WITH t AS (SELECT lower(trim(document_id)) AS k, ',' || array_to_string(min(token_ids), ',') || ',' AS ids FROM tokenized_docs WHERE len(token_ids) BETWEEN 1 AND 510 GROUP BY 1),
+    "p2_found": f"""
+WITH t AS (SELECT {_norm('document_id')} AS k, ',' || array_to_string(min(token_ids), ',') || ',' AS ids FROM tokenized_docs WHERE len(token_ids) BETWEEN 1 AND 510 GROUP BY 1),
 v AS (SELECT DISTINCT view_id, unnest(source_document_ids) AS document_id, ',' || array_to_string(input_token_ids, ',') || ',' AS input FROM view_records)
-SELECT DISTINCT view_id, document_id FROM v JOIN t ON t.k = lower(trim(v.document_id)) WHERE NOT contains(input, ids)""",
+SELECT DISTINCT view_id, document_id FROM v JOIN t ON t.k = {_norm('v.document_id')} WHERE NOT contains(input, ids)""",
     "p3_found": r"""
 WITH l AS (SELECT document_id, source, unnest(string_split(normalized_text, chr(10))) AS line, generate_subscripts(string_split(normalized_text, chr(10)), 1) - 1 AS line_no FROM canonical_docs WHERE source IS NOT NULL),
 w AS (SELECT document_id, source, line_no, lower(array_to_string(regexp_extract_all(line, '\p{L}+'), ' ')) AS t, len(regexp_extract_all(line, '\p{L}+')) AS n FROM l),
 r AS (SELECT source, t FROM w WHERE n >= 4 GROUP BY ALL HAVING count(DISTINCT document_id) >= 6)
 SELECT DISTINCT document_id, line_no::BIGINT AS line_no FROM w JOIN r USING (source, t)""",
-    "p5_found": r"""
-WITH c AS (SELECT lower(trim(name)) AS source, min(coalesce(share, quota_3b_tokens / 3000000000.0)) AS share, min(coalesce(max_repeats, 1)) AS r FROM source_config GROUP BY 1),
-d AS (SELECT document_id, lower(trim(source)) AS source, max(coalesce(len(regexp_extract_all(normalized_text, '[^\s\x{1c}-\x{1f}\x{85}\p{Z}]+')), 0)) AS n FROM canonical_docs GROUP BY ALL),
+    "p5_found": rf"""
+WITH c AS (SELECT {_norm('name')} AS source, min(coalesce(share, quota_3b_tokens / 3000000000.0)) AS share, min(coalesce(max_repeats, 1)) AS r FROM source_config GROUP BY 1),
+d AS (SELECT document_id, {_norm('source')} AS source, max(coalesce(len(regexp_extract_all(normalized_text, '[^\t-\r\x1c-\x1f \x85\p{{Z}}]+')), 0)) AS n FROM canonical_docs GROUP BY ALL),
 a AS (SELECT c.source, c.share, c.r, coalesce(sum(d.n), 0) AS a FROM c LEFT JOIN d USING (source) GROUP BY ALL)
 SELECT source FROM a WHERE share * (SELECT sum(a) FROM a) > r * a""",
     "p6_sample": _sample_sql(),
