@@ -238,11 +238,11 @@ _NAMES = "['stackexchange_posts', 'GitHub_archive', 'arXiv_abstracts', 'peS2o',
 SQL["adapter_dispatch"] = f"SELECT doc_id, {_NAMES}[doc_id % 9 + 1] AS name, ['thread', 'technical', 'scientific', 'scientific', 'books', 'wikimedia', 'web', 'educational', 'government_legal'][doc_id % 9 + 1] AS adapter, ['thread', 'web', 'web', 'web', 'books', 'wikimedia', 'web', 'web', 'government_legal'][doc_id % 9 + 1] AS adapter_exact FROM documents"
 SQL["license_fallback"] = "SELECT doc_id, coalesce(nullif(license, ''), 'missing') AS license FROM documents"
 _LIC = "coalesce(nullif(lic, ''), 'missing') AS license_status"
-SQL["thread_assembly"] = f"""WITH {_THREADS} SELECT doc_id, md5(CASE WHEN {strip('body')} <> '' THEN array_to_string(list_concat({_HEAD}, list_transform(list_filter(list_transform(answers[1:20], lambda x: {strip('x')}), lambda x: x <> ''), lambda x: {tagged('ANSWER', 'x')})), {NL2}) ELSE text END) AS text_md5,
-  {_LIC}, title, url FROM th"""
+SQL["thread_assembly"] = f"""WITH {_THREADS}, tb AS (SELECT * REPLACE (coalesce(nullif(body, ''), text) AS body) FROM th) SELECT doc_id, md5(CASE WHEN {strip('body')} <> '' THEN array_to_string(list_concat({_HEAD}, list_transform(list_filter(list_transform(answers[1:20], lambda x: {strip('x')}), lambda x: x <> ''), lambda x: {tagged('ANSWER', 'x')})), {NL2}) ELSE text END) AS text_md5,
+  {_LIC}, title, url FROM tb"""
 SQL["issue_assembly"] = f"""WITH {_ISSUES} SELECT doc_id, md5(CASE WHEN {strip('body')} <> '' THEN array_to_string(list_concat([{_itag('TITLE', strip('title'))}, {_itag('BODY', strip('body'))}], list_transform(list_filter(list_transform(comments, lambda x: {strip('x')}), lambda x: x <> ''), lambda x: {_CTAG})), {NL2}) ELSE '' END) AS text_md5,
   {_LIC}, title, url FROM iss"""
-SQL["utterance_assembly"] = f"""WITH {_DEBATES} SELECT doc_id, md5(array_to_string(list_concat([{tagged('SESSION', "coalesce(nullif(title, ''), 'Hansard Debate')")}], list_transform(list_filter(u, lambda x: x.t <> ''), lambda x: {_SAID})), {NL2})) AS text_md5, {_LIC} FROM deb WHERE len(u) > 0"""
+SQL["utterance_assembly"] = f"""WITH {_DEBATES} SELECT doc_id, md5(CASE WHEN len(u) > 0 THEN array_to_string(list_concat([{tagged('SESSION', "coalesce(nullif(title, ''), 'Hansard Debate')")}], list_transform(list_filter(u, lambda x: x.t <> ''), lambda x: {_SAID})), {NL2}) ELSE '' END) AS text_md5, {_LIC} FROM deb"""
 SQL["web_records"] = "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, coalesce(nullif(license, ''), 'missing') AS license_status, coalesce(url, '') AS url, coalesce(title, '') AS title FROM documents"
 
 # --- segments
