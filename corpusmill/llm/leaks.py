@@ -1,11 +1,12 @@
-"""Evaluation texts leaking into training text (problem 8): rare n-gram seeds and local alignment.
+"""Evaluation texts leaking into training text (problem 8): n-gram seeds, a bound on the score, local alignment.
 
 1. Items become word sequences. Each run of `run` words of an item (all its words, if fewer) is to be found
-   wherever it stands in a document, so each run needs a seed: a shorter n-gram of the run.
-2. One pass over the corpus looks up all n-grams of all items and keeps the documents that have any, with
-   their words. Each run then takes the n-gram of it that is rarest in the corpus as its seed.
-3. Seeds join documents to items; around each seed a Smith-Waterman alignment of the item with the document
-   gives the score of an edited copy, and the longest run without an edit.
+   wherever it stands in a document, and each edited copy by its score.
+2. One pass over the corpus looks up all n-grams of all items. A document and an item that share any n-gram are a
+   pair; neither the size of the corpus nor the number of copies plays a part.
+3. An exact run shows in the n-grams themselves: they follow each other on one diagonal. Of the other pairs, those
+   stay whose score may reach the least one, by an upper bound that no alignment exceeds. For all that stay, a
+   Smith-Waterman alignment of the item with the document around the seeds gives the score and the longest run.
 
 Scale: the corpus is read once, by a narrow map, and is never shuffled. Items are a stated query set; they go
 to the executors in blocks of at most `block_words` words, one pass over the corpus per block.
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.words import parts, words
 from corpusmill.session import written
 
-RUN, SEED = 13, 4
+RUN, SEED, LEAST = 13, 4, 0.6
 
 
 def item_words(items: DataFrame, id_col: str = "item_id", text: str = "text", run: int = RUN) -> DataFrame:
@@ -80,24 +81,6 @@ class Items:
             c = c * (len(self.vocab) + 1) + x
         return c
 
-    def rare(self, counts: dict[int, int], spread: int = 8) -> set[int]:
-        """The n-grams of each run that join the fewest pairs: by their count in the corpus times the items they stand in.
-
-        Besides the rarest of a run, which an exact copy needs, those up to `spread` times as frequent serve too, so that an
-        edited copy is met as well. Runs that stand in other items too need a seed only where an item has no
-        run of its own, so phrases that many items share make no candidates. An n-gram that no document has needs no seed.
-        """
-        out = set()
-        for k, s in enumerate(self.seq):
-            n = min(self.seed, len(s))
-            gs = [self.grams[tuple(s[i : i + n].tolist())] for i in range(len(s) - n + 1)]
-            cost = [counts.get(g, 0) * len(self.places[g]) for g in gs]
-            for i in self.unique[k] or range(len(s) - self.run[k] + 1):
-                there = range(i, i + self.run[k] - n + 1)
-                most = spread * max(1, min(cost[j] for j in there))
-                out.update(gs[j] for j in there if 0 < cost[j] <= most)
-        return out
-
 
 def find_grams(docs: list[list[str]], items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, position, n-gram) of all n-grams of items in documents, ordered by document and position."""
@@ -157,38 +140,60 @@ def align(item: np.ndarray, doc: np.ndarray, match: int = 2, mismatch: int = -1,
     return best, longest
 
 
-def aligned(doc: list[str], hits: list[tuple[int, int]], items: Items) -> Iterator[tuple[int, float, int, bool]]:
-    """(item, score, longest run, exact) of each item that shares a seed; hits: (position, n-gram).
+def most(matches: np.ndarray) -> int:
+    """The best sum of neighbours, 2 for each true and -1 for each false. Of the words of a document that an item has, or
+    of an item that a document has, it bounds the score of `align`: a word that is not matched costs 1 at least."""
+    c = np.concatenate(([0], np.cumsum(np.where(matches, 2, -1))))
+    return int((c - np.minimum.accumulate(c)).max())
+
+
+def aligned(doc: list[str], hits: list[tuple[int, int]], items: Items, least: float) -> Iterator[tuple[int, float, int, bool]]:
+    """(item, score, longest run, exact) of each item that shares an n-gram and is exact or has the least score; hits: (position, n-gram).
 
     score is 1 for a whole copy. exact: a run stands in the document that stands in no other item.
     """
-    near: dict[int, list[int]] = {}
+    near: dict[int, dict[int, set[int]]] = {}  # by item and diagonal: starts of n-grams in the item
     for p, g in hits:
         for k, i in items.places[g]:
-            near.setdefault(k, []).append(p - i)
+            near.setdefault(k, {}).setdefault(p - i, set()).add(i)
     get = items.vocab.get
     ids = np.fromiter((get(w, 0) for w in doc), dtype=np.int64, count=len(doc))
+    there, own = np.zeros(len(items.vocab) + 1, dtype=bool), np.zeros(len(items.vocab) + 1, dtype=bool)
+    there[ids] = True
+    there[0] = False
     for k, diagonals in near.items():
         item, r = items.seq[k], items.run[k]
         m = len(item)
-        margin = m // 4 + 1
+        grams = r - min(items.seed, m) + 1
+        exact = any(len(at) >= grams and any(i in items.unique[k] and all(i + j in at for j in range(grams)) for i in at) for at in diagonals.values())
+        if not exact:
+            need = 2 * m * least - 1e-6
+            if most(there[item]) < need:
+                continue
+            own[item] = True
+            bound = most(own[ids])
+            own[item] = False
+            if bound < need:
+                continue
+        margin = 2 * m  # more words between would cost more than all matches give
         spans: list[list[int]] = []
-        for d in sorted(set(diagonals)):
+        for d in sorted(diagonals):
             lo, hi = max(0, d - margin), min(len(ids), d + m + margin)
             if spans and lo <= spans[-1][1]:
                 spans[-1][1] = max(spans[-1][1], hi)
             else:
                 spans.append([lo, hi])
-        best, longest, exact = 0, 0, False
+        best, longest = 0, 0
         for lo, hi in spans:
             score, runs = align(item, ids[lo:hi])
             best, longest = max(best, score), max(longest, int(runs.max(initial=0)))
-            exact = exact or any(int(e) - r + 1 in items.unique[k] for e in np.flatnonzero(runs >= r))
-        yield items.ids[k], best / (2 * m), longest, exact
+        if exact or best >= 2 * m * least - 1e-6:
+            yield items.ids[k], best / (2 * m), longest, exact
 
 
-def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", run: int = RUN, seed: int = SEED, block_words: int = 40_000) -> DataFrame:
-    """(doc_id, item_id, score, longest_run, exact) of each document and item that share a seed.
+def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", run: int = RUN, seed: int = SEED, block_words: int = 40_000, least: float = LEAST) -> DataFrame:
+    """(doc_id, item_id, score, longest_run, exact) of each document and item that share an n-gram of `seed` words and are
+    exact or have a score of `least`.
 
     Documents without text have no rows; an empty benchmark gives none. Null doc_ids are left out.
     """
@@ -199,10 +204,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str
     schema = "doc_id long, item_id long, score double, longest_run int, exact boolean"
     out = None
     for rows in _blocks(item_words(benchmark, run=run), block_words):
-        items = Items(rows, run, seed)
-        found = written(d.mapInArrow(_finder(items), "doc_id long, words array<string>, pos array<int>, gram array<int>"), "hits")
-        counts = {r[0]: r[1] for r in found.select(F.explode("gram").alias("gram")).groupBy("gram").count().collect()}  # a row per n-gram of the block
-        part = found.mapInArrow(_aligner(items, items.rare(counts)), schema)
+        part = d.mapInArrow(_aligner(Items(rows, run, seed), least), schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
@@ -219,36 +221,20 @@ def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, list
         yield block
 
 
-def _finder(items: Items):
+def _aligner(items: Items, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column("text").to_pylist()
+            texts, ids = b.column("text").to_pylist(), b.column("doc_id").to_pylist()
             for s, e in parts(texts, 2000, 4_000_000):
-                part = b.slice(s, e - s)
                 docs = [words(x) for x in texts[s:e]]
                 doc, pos, gram = find_grams(docs, items)
                 which, first = np.unique(doc, return_index=True)
-                ends = [*first.tolist(), len(doc)]
-                ids = part.column("doc_id").to_pylist()
-                at = pa.array(ends, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[i] for i in which], pa.int64()), pa.array([docs[i] for i in which], pa.list_(pa.string())), pa.ListArray.from_arrays(at, pa.array(pos.astype(np.int32))), pa.ListArray.from_arrays(at, pa.array(gram.astype(np.int32)))],
-                    names=["doc_id", "words", "pos", "gram"],
-                )
-
-    return run
-
-
-def _aligner(items: Items, seeds: set[int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: list[tuple] = []
-            for d, ws, pos, gram in zip(*(b.column(c) for c in ("doc_id", "words", "pos", "gram")), strict=True):
-                hits = [(p, g) for p, g in zip(pos.as_py(), gram.as_py(), strict=True) if g in seeds]
-                if hits:
-                    out += [(d.as_py(), *x) for x in aligned(ws.as_py(), hits, items)]
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "score", "longest_run", "exact"])
+                ends = [*first.tolist()[1:], len(doc)]
+                out: list[tuple] = []
+                for k, i, j in zip(which.tolist(), first.tolist(), ends, strict=False):
+                    out += [(ids[s + k], *x) for x in aligned(docs[k], list(zip(pos[i:j].tolist(), gram[i:j].tolist(), strict=True)), items, least)]
+                cols = list(zip(*out, strict=True)) or [[]] * 5
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "score", "longest_run", "exact"])
 
     return run

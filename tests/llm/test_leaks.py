@@ -74,6 +74,35 @@ def test_edited_copies_score(spark):
     assert 3 not in got or not got[3]["exact"]
 
 
+def test_many_copies_of_one_edited_text(spark):
+    item = [f"q{i}" for i in range(40)]
+    edited = " ".join("edit" if i % 9 == 4 else w for i, w in enumerate(item))
+    far = " ".join(w + " x" * (i % 4 == 3) for i, w in enumerate(item))  # ten words in between
+    docs = [(i, f"start {i} {edited}") for i in range(60)] + [(100 + i, far) for i in range(60)] + [(200 + i, f"only {' '.join(item[5:9])} here") for i in range(60)]
+    d, b = frames(spark, docs, [(7, " ".join(item))])
+    got = {r["doc_id"]: r["score"] for r in leaks(d, b).collect()}
+    want = {i: (2 * 36 - 4) / 80 for i in range(60)} | {100 + i: (80 - 9) / 80 for i in range(60)}
+    assert got == want
+
+
+def test_scores_against_alignment_of_all_pairs(spark):
+    docs, items = make(8)
+    d, b = frames(spark, docs, items)
+    seqs = {i: words(t) for i, t in items if words(t)}
+    number = defaultdict(lambda: len(number) + 1)
+    want = {}
+    for i, t in docs:
+        w = words(t)
+        for k, s in seqs.items():
+            n = min(4, len(s))
+            if {tuple(s[j : j + n]) for j in range(len(s) - n + 1)} & {tuple(w[j : j + n]) for j in range(len(w) - n + 1)}:
+                score = align(np.array([number[x] for x in s]), np.array([number[x] for x in w]))[0] / (2 * len(s))
+                if score >= 0.6:
+                    want[i, k] = score
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(d, b).where("score >= 0.6").collect()}
+    assert got == want and len(want) > 50
+
+
 def test_alignment_against_plain_dynamic_programming():
     rng = random.Random(2)
     for _ in range(30):
