@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import encoding, leaks, mixing, packing, pii, related_splits, repeated_lines, repetition, sampling
+from corpusmill.operators import freeze
 from corpusmill.session import table, written
 
 #: Share of each source's identifiers that the sample query selects.
@@ -75,6 +76,11 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return encoding.round_trip(table(spark, d, "documents"))
 
 
+def reencode_mismatch(spark: SparkSession, d: str) -> DataFrame:
+    out = freeze.reencoded_mismatch(table(spark, d, "canonical_docs"), table(spark, d, "tokenized_docs"), encoding.encode)
+    return out.select("document_id", F.col("first_index").cast("bigint").alias("first_index"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")).where("exact").select("doc_id", "item_id").distinct()
 
@@ -96,7 +102,7 @@ def p9_fertility(spark: SparkSession, d: str) -> DataFrame:
     return repetition.fertility_rejects(written(repetition.fertility(table(spark, d, "documents")), "fertility"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_report, p2_found, p2_records, p3_found, p3_cleaned, p4_found, p4_redacted, p5_found, p5_mixture, p5_report, p6_sample, p7_ids, p7_round_trip, p8_found, p8_scores, p9_found, p9_share, p9_fertility)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_report, p2_found, p2_records, p3_found, p3_cleaned, p4_found, p4_redacted, p5_found, p5_mixture, p5_report, p6_sample, p7_ids, p7_round_trip, reencode_mismatch, p8_found, p8_scores, p9_found, p9_share, p9_fertility)}
 
 
 def _sample_sql() -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,17 @@ def first_mismatch(a: DataFrame, b: DataFrame, id_col: str, ids: str) -> DataFra
     return d.select(id_col, at.alias("first_index"))
 
 
+def reencoded_mismatch(a: DataFrame, b: DataFrame, encode: Callable[[DataFrame, str, str], DataFrame], id_col: str = "document_id", text: str = "normalized_text", ids: str = "token_ids") -> DataFrame:
+    """(document_id, first_index) of documents of both layers where the encoding of a text of layer A is not what layer B has.
+
+    encode: (rows, id column, text column) -> (doc_id, ids). A null text has no ids, and null ids count as none. If an id has
+    several rows, each text is compared with each list, and the least index is given.
+    """
+    x = encode(a.where(F.col(id_col).isNotNull()), id_col, text).select(F.col("doc_id").alias(id_col), F.col("ids").alias(ids))
+    y = b.select(id_col, F.coalesce(ids, F.array().cast("array<int>")).alias(ids))
+    return first_mismatch(x, y, id_col, ids).groupBy(id_col).agg(F.min("first_index").alias("first_index"))
+
+
 def checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """(file, bytes, sha256) of the files of a folder, hashed on the executors."""
     d = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)

@@ -47,3 +47,18 @@ def test_byte_table_and_split_characters():
 
 def test_empty_table(spark):
     assert encode(frame(spark).limit(0)).count() == 0 and encode(frame(spark)).columns == ["doc_id", "ids"]
+
+
+def test_layers_are_compared_by_encoding_the_text(spark):
+    from corpusmill.llm import queries
+    from corpusmill.operators import freeze
+
+    text = "It is a text of some words, and then a few more."
+    ids = tokenizer(TOKENIZER).encode(text, add_special_tokens=False).ids
+    a = spark.createDataFrame([(k, text) for k in ("same", "first", "middle", "short", "long", "none", "a only")] + [("empty", None), ("filled", None), ("twice", text), ("twice", "other")], "document_id string, normalized_text string")
+    bad = [*ids[:3], ids[3] + 1, *ids[4:]]
+    rows = [("same", ids), ("first", [ids[0] + 1, *ids[1:]]), ("middle", bad), ("short", ids[:-1]), ("long", [*ids, 5]), ("none", None), ("b only", ids), ("empty", None), ("filled", [7]), ("twice", ids)]
+    b = spark.createDataFrame(rows + rows[:1], "document_id string, token_ids array<int>")
+    got = {tuple(r) for r in freeze.reencoded_mismatch(a, b, encode).collect()}
+    assert got == {("first", 0), ("middle", 3), ("short", len(ids) - 1), ("long", len(ids)), ("none", 0), ("filled", 0), ("twice", 0)}
+    assert "reencode_mismatch" in queries.QUERIES
