@@ -67,12 +67,16 @@ def categorised(spark: SparkSession, d: str) -> DataFrame:
     return quality.with_source_limits(docs(spark, d), config(spark, d))
 
 
-def tokenized(spark: SparkSession, d: str) -> DataFrame:
-    """tokenized_docs once per document_id, with plain split labels; rows without a split are left out."""
+def tokenized(spark: SparkSession, d: str, unsplit: bool = False) -> DataFrame:
+    """tokenized_docs once per document_id, with plain split labels. Rows without a split are left out, or, if unsplit, have
+    the split null; an id that also has rows with a split takes one of those."""
     t = table(spark, d, "tokenized_docs")
     s = F.nullif(F.lower(F.trim("split")), F.lit(""))
-    t = t.withColumn("split", F.when(s == "val", "validation").otherwise(s)).where("split is not null")
-    return t.groupBy("document_id").agg(F.min(F.struct("parent_document_id", "source", "split", "token_ids", "paragraph_token_spans")).alias("x")).select("document_id", "x.*")
+    t = t.withColumn("split", F.when(s == "val", "validation").otherwise(s))
+    if not unsplit:
+        t = t.where("split is not null")
+    row = F.struct("parent_document_id", "source", "split", "token_ids", "paragraph_token_spans")
+    return t.groupBy("document_id").agg(F.coalesce(F.min(F.when(F.col("split").isNotNull(), row)), F.min(row)).alias("x")).select("document_id", "x.*")
 
 
 # --- identity
@@ -598,8 +602,8 @@ def char_to_token_spans(spark, d):
 # --- selection and freezing
 
 
-def _selected(spark, d):
-    t = tokenized(spark, d).withColumn("source", F.lower(F.trim("source"))).withColumn("priority", identity.priority(F.coalesce("source", F.lit("")), F.col("document_id")))
+def _selected(spark, d, unsplit=False):
+    t = tokenized(spark, d, unsplit).withColumn("source", F.lower(F.trim("source"))).withColumn("priority", identity.priority(F.coalesce("source", F.lit("")), F.col("document_id")))
     return ingest.select_quota(t, identity.quotas(config(spark, d), POOL_WORDS))
 
 
@@ -608,11 +612,27 @@ def quota_select(spark, d):
     return _selected(spark, d).select("document_id", "source", "n_taken", "truncated", F.md5(ids_text(F.col("token_ids"))).alias("ids_md5"))
 
 
+@query
+def quota_select_all(spark, d):
+    """quota_select over all documents, also those without a split."""
+    return _selected(spark, d, True).select("document_id", "source", "n_taken", "truncated", F.md5(ids_text(F.col("token_ids"))).alias("ids_md5"))
+
+
 @query
 def quota_tolerance(spark, d):
     return ingest.quota_deviation(_selected(spark, d), identity.quotas(config(spark, d), POOL_WORDS))
 
 
+@query
+def quota_tolerance_all(spark, d):
+    return ingest.quota_deviation(_selected(spark, d, True), identity.quotas(config(spark, d), POOL_WORDS))
+
+
+@query
+def trim_spans_all(spark, d):
+    return tokenized(spark, d, True).select("document_id", spans_text(ingest.trim_spans(F.col("paragraph_token_spans"), F.lit(100))).alias("spans"))
+
+
 @query
 def trim_spans(spark, d):
     return tokenized(spark, d).select("document_id", spans_text(ingest.trim_spans(F.col("paragraph_token_spans"), F.lit(100))).alias("spans"))
@@ -739,6 +759,19 @@ def report_tokenizer(spark, d):
     return reports.token_totals(tokenized(spark, d))
 
 
+@query
+def report_tokenizer_all(spark, d):
+    """report_tokenizer over all documents, also those without a split."""
+    return reports.token_totals(tokenized(spark, d, True))
+
+
+@query
+def report_split_all(spark, d):
+    """The tokens of every split, those of documents without one as 'unsplit'."""
+    t = tokenized(spark, d, True).groupBy(F.coalesce("split", F.lit("unsplit")).alias("split"))
+    return t.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.coalesce(F.size("token_ids"), F.lit(0))).cast("long").alias("n_tokens"))
+
+
 @query
 def report_split(spark, d):
     return reports.by_split(tokenized(spark, d), table(spark, d, "split_config"))

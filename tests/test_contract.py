@@ -107,3 +107,18 @@ def test_streams(spark, tmp_path):
     q = micro_batches.quota_stream(stream, 300).writeStream.format("memory").queryName("quota").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert 0 < spark.table("quota").count() <= src.count()
+
+
+def test_documents_without_a_split_count(spark, tmp_path):
+    from corpusmill.plans.queries import QUERIES
+
+    span = "array(named_struct('start', 0, 'end', 2)) as paragraph_token_spans"
+    rows = [("a", "train", 3), ("b", None, 5), ("c", " ", 7), ("d", "val", 11), ("e", None, 13), ("e", "test", 13)]
+    t = spark.createDataFrame(rows, "document_id string, split string, n int").selectExpr("document_id", "'p' as parent_document_id", "'s' as source", "split", "array_repeat(1, n) as token_ids", span)
+    t.write.parquet(str(tmp_path / "tokenized_docs.parquet"))
+    spark.sql("select 's' as name, 1.0D as share, 3000000000L as quota_3b_tokens").write.parquet(str(tmp_path / "source_config.parquet"))
+    get = lambda name: [tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()]
+    assert get("report_tokenizer_all")[0][:2] == (5, 39) and get("report_tokenizer")[0][:2] == (3, 27)
+    assert sorted(get("report_split_all")) == [("test", 1, 13), ("train", 1, 3), ("unsplit", 2, 12), ("validation", 1, 11)]
+    assert {r[0] for r in get("trim_spans_all")} == set("abcde") == {r[0] for r in get("quota_select_all")}
+    assert len(get("quota_tolerance_all")) == 1
