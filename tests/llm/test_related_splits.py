@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from corpusmill.llm.related_splits import allot_bins, largest_differencing, related_splits, split_report, tied_records
+from corpusmill.llm.related_splits import allot_bins, bins_for, largest_differencing, related_splits, split_report, tied_records
 
 SCHEMA = "document_id string, parent_document_id string, split_group_id string, split string, component string, bin int, label string"
 
@@ -16,13 +16,40 @@ def shares(spark):
     return spark.createDataFrame([("train", 0.8), ("validation", 0.1), (" Test", 0.1), (None, 0.5)], "split string, share double")
 
 
-def test_differencing_balances_and_places_all():
+def test_differencing_balances_and_places_all(monkeypatch):
     rng = random.Random(1)
-    w = [rng.randint(1, 100) for _ in range(300)]
-    placed = largest_differencing(w, 10)
-    sums = [sum(x for x, b in zip(w, placed, strict=True) if b == k) for k in range(10)]
-    assert sum(sums) == sum(w) and max(sums) - min(sums) <= 3
-    assert largest_differencing([], 4) == [] and sorted(largest_differencing([7, 7], 4)) == [0, 1]
+    groups = [(size, rng.randint(1, 9)) for size in sorted(rng.sample(range(1, 400), 90), reverse=True)]
+    for cells in (1 << 25, 0):  # with and without small change dealt at the end
+        monkeypatch.setattr("corpusmill.llm.related_splits.CELLS", cells)
+        placed, sums = largest_differencing(groups, 10)
+        again = [0] * 10
+        for (size, n), at in zip(groups, placed, strict=True):
+            assert len(set(at.tolist())) == n  # each in a bin of its own
+            for k in at:
+                again[k] += size
+        assert again == sums.tolist() and max(again) - min(again) <= 3
+    assert largest_differencing([], 4)[0] == [] and sorted(largest_differencing([(7, 2)], 4)[1].tolist()) == [0, 0, 7, 7]
+
+
+def test_small_shares_are_not_empty(spark):
+    """The shares of a production run: each split within one bin of its target."""
+    rng = random.Random(3)
+    df = frame(spark, [(f"d{i}", f"p{min(i // 2, rng.randint(0, 40_000))}", None, None) for i in range(60_000)])
+    want = [("train", 0.997), ("validation", 0.001), ("test", 0.001), ("trajectory_holdout", 0.001)]
+    shares = spark.createDataFrame(want, "split string, share double")
+    got = {r["split"]: r for r in split_report(related_splits(df, shares), shares).collect()}
+    bin_ = 60_000 / bins_for(want)
+    for name, s in want:
+        assert abs(got[name]["documents"] - s * 60_000) <= bin_ + 1, got[name]
+    assert bins_for([("a", 0.5), ("b", 0.5), ("c", 0.0)]) == 200
+    with pytest.raises(ValueError):
+        bins_for([("a", 1.0), ("b", 1e-6)])
+
+
+def test_a_component_beyond_a_target_is_reported(spark):
+    df = frame(spark, [(f"d{i}", "hub" if i < 300 else f"p{i}", None, None) for i in range(900)])
+    got = {r["split"]: r for r in split_report(related_splits(df, shares(spark)), shares(spark)).collect()}
+    assert got["train"]["largest_component"] == 300 and got["test"]["documents"] == pytest.approx(90, abs=5)
 
 
 def test_bins_go_to_splits_by_share():
