@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import blank_to_null
+
 #: Factor by which more is gathered than a quota asks for.
 OVERSAMPLE = 1.35
 
@@ -33,10 +35,16 @@ def revision_status(revision: Column) -> Column:
     return F.when(F.coalesce(revision, F.lit("")).rlike("^[0-9a-fA-F]{40}$"), "pinned_sha").otherwise("unresolved_fallback")
 
 
+def shares(config: DataFrame) -> DataFrame:
+    """(source, share), one row per name, case and surrounding blanks aside. A null share is quota_3b_tokens / 3e9; of rows that
+    differ under one name the smallest share counts. Blank names are left out."""
+    c = config.select(blank_to_null("name").alias("source"), F.coalesce("share", F.col("quota_3b_tokens") / F.lit(3e9)).alias("share"))
+    return c.where("source is not null").groupBy("source").agg(F.min("share").alias("share"))
+
+
 def quotas(config: DataFrame, total_tokens: int) -> DataFrame:
-    """(source, quota, pool): tokens each source is to give, and those to gather; names once, case and blanks aside."""
-    c = config.select(F.lower(F.trim("name")).alias("source"), F.coalesce("share", F.col("quota_3b_tokens") / F.lit(3e9)).alias("share")).distinct()
-    c = c.withColumn("quota", F.floor(F.col("share") * total_tokens).cast("long"))
+    """(source, quota, pool): tokens each source is to give, and those to gather; a row per name."""
+    c = shares(config).withColumn("quota", F.floor(F.col("share") * total_tokens).cast("long"))
     return c.select("source", "quota", F.floor(F.col("quota") * OVERSAMPLE).cast("long").alias("pool"))
 
 

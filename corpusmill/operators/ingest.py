@@ -68,11 +68,11 @@ def select_pool(df: DataFrame, pools: DataFrame, source: str = "source", order:
     return d.where(F.col("before") < F.col("_pool")).drop("_pool")
 
 
-def select_quota(df: DataFrame, quotas: DataFrame, source: str = "source", order: str = "priority", tie: str = "document_id", tokens: str = "token_ids", least: int = 64) -> DataFrame:
+def select_quota(df: DataFrame, quotas: DataFrame, source: str = "source", order: str = "priority", tie: str = "document_id", tokens: str = "token_ids") -> DataFrame:
     """Rows per source by ascending order until the quota is met exactly: the last one is cut to what is missing.
 
-    Adds n_taken and truncated; the token array is cut. A cut that would leave fewer than `least` tokens is
-    left out unless no more than that were missing. Rows without tokens are dropped.
+    Adds n_taken and truncated; the token array is cut. Rows without tokens are dropped. A cut document's text, spans and hash
+    are renewed by layers.truncated.
     """
     d = df.join(F.broadcast(quotas.select(F.col("source").alias(source), F.col("quota").alias("_quota"))), source).where(F.size(tokens) > 0)
     d = running(d, source, F.shiftright(order, 52), [order, tie], {"_before": ("sum", F.size(tokens).cast("long"))})

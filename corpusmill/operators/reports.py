@@ -46,10 +46,11 @@ def token_totals(tokenized: DataFrame) -> DataFrame:
 
 
 def by_split(tokenized: DataFrame, shares: DataFrame) -> DataFrame:
-    """(split, n_tokens, share, target) per split of the list."""
-    t = tokenized.groupBy("split").agg(F.sum(F.size("token_ids")).alias("n_tokens"))
-    d = shares.select("split", F.col("share").alias("target")).distinct().join(t, "split", "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)))
-    return d.select("split", "n_tokens", F.round(F.col("n_tokens") / F.sum("n_tokens").over(Window.partitionBy()), 6).alias("share"), "target")
+    """(split, n_docs, n_tokens, share, target) per split of the list or of the documents; the target is null for one that the list lacks."""
+    t = tokenized.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.coalesce(F.size("token_ids"), F.lit(0))).alias("n_tokens"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    d = shares.select("split", F.col("share").alias("target")).distinct().join(t, "split", "full_outer").select("split", zero("n_docs"), zero("n_tokens"), "target")
+    return d.select("split", "n_docs", "n_tokens", F.round(F.col("n_tokens") / F.sum("n_tokens").over(Window.partitionBy()), 6).alias("share"), "target")  # a row per split
 
 
 def first_matches(log: DataFrame, n: int = 50) -> DataFrame:

@@ -28,6 +28,15 @@ def shifted(seq: Column, context: int = CONTEXT, eos: int = EOS) -> dict[str, Co
     }
 
 
+def windows(docs: DataFrame, seq: str, context: int = CONTEXT, eos: int = EOS) -> DataFrame:
+    """document_id, split, window and the shifted arrays of consecutive windows of an array: each begins at the last id of the
+    one before, so every id but the first is a target once. An array of one id or none has one window."""
+    n = F.greatest(F.lit(1), F.ceil((F.size(seq) - 1) / context)).cast("int")
+    d = docs.select("document_id", "split", seq, F.explode(F.sequence(F.lit(0), n - 1)).alias("window"))
+    part = F.slice(F.coalesce(seq, F.array().cast("array<int>")), F.col("window") * context + 1, F.lit(context + 1))
+    return d.select("document_id", "split", "window", part.alias("_s")).select("document_id", "split", "window", *(c.alias(k) for k, c in shifted(F.col("_s"), context, eos).items()))
+
+
 def usage(split: Column) -> Column:
     return F.when(split == "train", "pretraining").otherwise("evaluation")
 

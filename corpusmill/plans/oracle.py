@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from corpusmill.operators import cleaners, dedup, normalize, quality, tokens
-from corpusmill.plans.queries import POOL_WORDS, SCAN_WORDS, SHARES, SOURCE_NAMES, VOCAB
+from corpusmill.plans.queries import POOL_WORDS, SCAN_WORDS, SOURCE_NAMES, VOCAB
 
 SP = r"\t-\r\x1c-\x1f \x85\p{Z}"
 WORD = rf"[^{SP}]+"
@@ -58,8 +58,9 @@ CONF = """conf AS (SELECT lower(trim(name)) AS name, (min({'category': category,
 cat AS (SELECT d.*, x.category AS category, coalesce(x.min_doc_length, 128) AS min_words, coalesce(x.min_english_prob, 0.5) AS min_english FROM documents d LEFT JOIN conf ON lower(trim(d.source)) = conf.name)"""
 QUOTA = "SELECT lower(trim(name)) AS source, floor(coalesce(share, quota_3b_tokens / 3e9) * {n})::BIGINT AS quota FROM source_config GROUP BY ALL"
 SHARE = "SELECT DISTINCT lower(trim(name)) AS source, coalesce(share, quota_3b_tokens / 3e9) AS share FROM source_config"
-TOK = """tok AS (SELECT document_id, parent_document_id, source, CASE WHEN lower(trim(split)) = 'val' THEN 'validation' ELSE lower(trim(split)) END AS split, token_ids, paragraph_token_spans
-  FROM tokenized_docs WHERE trim(split) <> '' QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY parent_document_id, source, split) = 1)"""
+TOK = """tok AS (SELECT document_id, parent_document_id, source, coalesce(s, 'none') AS split, token_ids, paragraph_token_spans
+  FROM (SELECT *, CASE WHEN lower(trim(split)) = 'val' THEN 'validation' WHEN trim(split) <> '' THEN lower(trim(split)) END AS s FROM tokenized_docs)
+  QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY s IS NULL, parent_document_id NULLS FIRST, source NULLS FIRST, s, token_ids NULLS FIRST) = 1)"""
 
 SQL: dict[str, str] = {}
 
@@ -330,10 +331,14 @@ SQL["decontaminate"] = f"WITH {_CON} SELECT doc_id FROM documents d WHERE doc_id
 SQL["report_benchmark"] = f"WITH {_CON} SELECT doc_id, item_id, benchmark_name, match_type, overlap FROM con ORDER BY doc_id LIMIT 50"
 
 # --- splits
-_U = "('0x' || substr(md5(coalesce(lower(trim(coalesce(split_group_id, parent_document_id))) || ':', '') || '42'), 1, 8))::BIGINT / 4294967295.0::DOUBLE"
-_SPLIT = f"sp AS (SELECT DISTINCT document_id, lower(trim(coalesce(split_group_id, parent_document_id))) AS g, normalized_text, CASE WHEN {_U} < {SHARES['validation']} THEN 'validation' WHEN {_U} < {SHARES['validation'] + SHARES['test']} THEN 'test' WHEN {_U} < {SHARES['validation'] + SHARES['test'] + SHARES['trajectory_holdout']} THEN 'trajectory_holdout' ELSE 'train' END AS split FROM canonical_docs)"
+# group, else parent, else the record itself; blank is none; shares 4 %, 4 % and 2 %
+_PARENT = f"coalesce(nullif(lower({strip('parent_document_id')}), ''), document_id)"
+_SPLIT = f"""g0 AS (SELECT DISTINCT document_id, coalesce(nullif(lower({strip('split_group_id')}), ''), {_PARENT}) AS g, {_PARENT} AS parent, normalized_text FROM canonical_docs),
+g1 AS (SELECT *, ('0x' || substr(md5(g || ':42'), 1, 8))::BIGINT / 4294967295.0::DOUBLE AS u FROM g0),
+sp AS (SELECT *, CASE WHEN u < 0.04 THEN 'validation' WHEN u < 0.08 THEN 'test' WHEN u < 0.1 THEN 'trajectory_holdout' ELSE 'train' END AS split FROM g1)"""
 SQL["assign_splits"] = f"WITH {_SPLIT} SELECT document_id, split FROM sp"
-SQL["split_metrics"] = f"WITH {_SPLIT} SELECT c.split, count(DISTINCT coalesce(split_group_id_raw, '')) FILTER (split_group_id_raw IS NOT NULL) AS groups, count(document_id) AS records, coalesce(sum({nw('normalized_text')}), 0)::BIGINT AS size FROM split_config c LEFT JOIN (SELECT sp.*, raw.g AS split_group_id_raw FROM sp JOIN (SELECT DISTINCT document_id, coalesce(split_group_id, parent_document_id) AS g FROM canonical_docs) raw USING (document_id)) s ON s.split = c.split GROUP BY 1"
+SQL["split_metrics"] = f"""WITH {_SPLIT} SELECT c.split, count(DISTINCT g) AS groups, count(DISTINCT parent) AS parents, count(sp.split) AS records, coalesce(sum({nw('normalized_text')}) FILTER (sp.split IS NOT NULL), 0)::BIGINT AS size
+FROM (SELECT DISTINCT split FROM split_config) c LEFT JOIN sp ON sp.split = c.split GROUP BY 1"""
 
 # --- tokenizers
 SQL["tokenizer_sample"] = "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20"
@@ -359,7 +364,7 @@ SQL["quota_tolerance"] = f"WITH {_SEL}, g AS (SELECT source, sum(n_taken)::BIGIN
 SQL["trim_spans"] = f"""WITH {TOK} SELECT document_id, coalesce(array_to_string(list_transform(list_filter(paragraph_token_spans, lambda s: s.start < 100), lambda s: s.start || '-' || least(s."end", 100)), ','), '') AS spans FROM tok"""
 SQL["ab_alignment"] = """WITH a AS (SELECT DISTINCT document_id FROM canonical_docs), b AS (SELECT DISTINCT document_id FROM tokenized_docs)
 SELECT side, count(*) AS n_docs FROM (SELECT 'a_only' AS side FROM a ANTI JOIN b USING (document_id) UNION ALL SELECT 'b_only' FROM b ANTI JOIN a USING (document_id)) GROUP BY 1"""
-SQL["token_mismatch"] = f"WITH {TOK} SELECT document_id, 700::BIGINT AS first_index FROM tok WHERE len(token_ids) > 700"
+SQL["token_mismatch"] = f"WITH {TOK} SELECT document_id, list_position(list_transform(token_ids, lambda x: x >= 30000), true)::BIGINT - 1 AS first_index FROM tok WHERE len(list_filter(token_ids, lambda x: x >= 30000)) > 0"
 SQL["split_isolation"] = """SELECT DISTINCT view_id, v.document_id, view_split, document_split FROM (SELECT view_id, nullif(lower(trim(split)), '') AS view_split, unnest(source_document_ids) AS document_id FROM view_records) v
 JOIN (SELECT DISTINCT document_id, nullif(lower(trim(split)), '') AS document_split FROM tokenized_docs) d ON v.document_id = d.document_id WHERE view_split <> document_split"""
 
@@ -376,7 +381,9 @@ def shifted(seq: str, c: int) -> tuple[str, str]:
 
 
 _A, _B = shifted("s", 512)
-SQL["causal_shift_mask"] = f"WITH {TOK}, v AS (SELECT document_id, list_concat([0], token_ids, [1]) AS s FROM tok WHERE len(token_ids) > 0) SELECT document_id, md5({join_ids(_A)}) AS input_md5, md5({join_ids(_B)}) AS target_md5, (least(len(s), 513) - 1)::BIGINT AS n_loss, least(len(s), 512)::BIGINT AS n_attention FROM v"
+SQL["causal_shift_mask"] = f"""WITH {TOK}, v0 AS (SELECT document_id, list_concat([0], token_ids, [1]) AS q FROM tok WHERE len(token_ids) > 0),
+v1 AS (SELECT document_id, q, unnest(range(0, (len(q) + 510) // 512)) AS w FROM v0), v AS (SELECT document_id, w, q[w * 512 + 1:w * 512 + 513] AS s FROM v1)
+SELECT document_id, w::BIGINT AS "window", md5({join_ids(_A)}) AS input_md5, md5({join_ids(_B)}) AS target_md5, len(s) - 1 AS n_loss, least(len(s), 512)::BIGINT AS n_attention FROM v"""
 _CROP = f"""cr AS (SELECT document_id, split, token_ids, len(token_ids) AS n, len(paragraph_token_spans) AS k, paragraph_token_spans AS ps FROM tok WHERE len(token_ids) >= 255),
 cs AS (SELECT *, CASE WHEN n >= 257 AND k > 0 AND {pick('coin', '100')} < 60 THEN ps[{pick('paragraph', 'greatest(k, 1)')} + 1].start WHEN n >= 257 THEN {pick('start', 'greatest(n - 256, 1)')} ELSE 0 END AS start_idx FROM cr),
 crop AS (SELECT *, token_ids[start_idx + 1:start_idx + 257] AS s FROM cs)"""
@@ -401,4 +408,5 @@ SELECT c.source, n_docs, coalesce(n_tokens, 0) AS n_tokens, round(coalesce(n_tok
 SQL["report_dedup"] = "SELECT count(text) AS n_docs, count(text) - count(DISTINCT text) AS n_removed, count(DISTINCT text) AS n_retained FROM documents"
 SQL["report_structure"] = "SELECT " + ", ".join(f"sum({k})::BIGINT AS {k}" for k in ("paragraph_spans", "sentence_spans", "turn_spans", "equation_spans")) + " FROM (SELECT document_id, " + ", ".join(f"max(coalesce(len(structure.{k}), 0)) AS {k}" for k in ("paragraph_spans", "sentence_spans", "turn_spans", "equation_spans")) + " FROM canonical_docs GROUP BY 1)"
 SQL["report_tokenizer"] = f"WITH {TOK} SELECT count(*) AS n_docs, sum(len(token_ids))::BIGINT AS n_tokens, round(avg(len(token_ids)), 4) AS mean_tokens FROM tok"
-SQL["report_split"] = f"WITH {TOK}, t AS (SELECT split, sum(len(token_ids))::BIGINT AS n FROM tok GROUP BY 1) SELECT c.split, coalesce(n, 0) AS n_tokens, round(coalesce(n, 0)::DOUBLE / sum(coalesce(n, 0)) OVER (), 6) AS share, c.share AS target FROM (SELECT DISTINCT split, share FROM split_config) c LEFT JOIN t USING (split)"
+SQL["report_split"] = f"""WITH {TOK}, t AS (SELECT split, count(*) AS k, sum(coalesce(len(token_ids), 0))::BIGINT AS n FROM tok GROUP BY 1)
+SELECT split, coalesce(k, 0) AS n_docs, coalesce(n, 0) AS n_tokens, round(coalesce(n, 0)::DOUBLE / sum(coalesce(n, 0)) OVER (), 6) AS share, c.share AS target FROM (SELECT DISTINCT split, share FROM split_config) c FULL JOIN t USING (split)"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
 from corpusmill.operators import cleaners, decontam, dedup, freeze, identity, ingest, normalize, quality, reports, segment, splits, stats, tokens, views
-from corpusmill.session import table, written
+from corpusmill.session import blank_to_null, table, written
 from corpusmill.sources import adapters
 from corpusmill.sources import files
 
@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {}
 SCAN_WORDS, POOL_WORDS = 20_000, 60_000
 SHARES = {"validation": 0.04, "test": 0.04, "trajectory_holdout": 0.02}
 VOCAB = 32_768
+#: The split of documents without one.
+NO_SPLIT = "none"
 
 
 def query(f: Query) -> Query:
@@ -47,8 +49,7 @@ def config(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shares(spark: SparkSession, d: str) -> DataFrame:
-    c = config(spark, d)
-    return c.select(F.lower(F.trim("name")).alias("source"), F.coalesce("share", F.col("quota_3b_tokens") / F.lit(3e9)).alias("share")).distinct()
+    return identity.shares(config(spark, d))
 
 
 def spans_text(c: Column) -> Column:
@@ -67,16 +68,15 @@ def categorised(spark: SparkSession, d: str) -> DataFrame:
     return quality.with_source_limits(docs(spark, d), config(spark, d))
 
 
-def tokenized(spark: SparkSession, d: str, unsplit: bool = False) -> DataFrame:
-    """tokenized_docs once per document_id, with plain split labels. Rows without a split are left out, or, if unsplit, have
-    the split null; an id that also has rows with a split takes one of those."""
+def tokenized(spark: SparkSession, d: str) -> DataFrame:
+    """tokenized_docs once per document_id, with plain split labels; a document without one has the split 'none'. An id that
+    also has rows with a split takes one of those."""
     t = table(spark, d, "tokenized_docs")
     s = F.nullif(F.lower(F.trim("split")), F.lit(""))
     t = t.withColumn("split", F.when(s == "val", "validation").otherwise(s))
-    if not unsplit:
-        t = t.where("split is not null")
     row = F.struct("parent_document_id", "source", "split", "token_ids", "paragraph_token_spans")
-    return t.groupBy("document_id").agg(F.coalesce(F.min(F.when(F.col("split").isNotNull(), row)), F.min(row)).alias("x")).select("document_id", "x.*")
+    t = t.groupBy("document_id").agg(F.coalesce(F.min(F.when(F.col("split").isNotNull(), row)), F.min(row)).alias("x")).select("document_id", "x.*")
+    return t.withColumn("split", F.coalesce("split", F.lit(NO_SPLIT)))
 
 
 # --- identity
@@ -565,8 +565,9 @@ def decontaminate(spark, d):
 
 
 def _split(spark, d):
-    c = table(spark, d, "canonical_docs").select("document_id", F.coalesce("split_group_id", "parent_document_id").alias("g"), "parent_document_id", "normalized_text").dropDuplicates(["document_id"])
-    return c.withColumn("split", splits.hash_split(F.lower(F.trim("g")), SHARES))
+    c = table(spark, d, "canonical_docs")
+    c = c.select("document_id", splits.split_group("split_group_id", "parent_document_id", "document_id").alias("g"), F.coalesce(blank_to_null("parent_document_id"), "document_id").alias("parent"), X.word_count("normalized_text").alias("n"))
+    return c.dropDuplicates(["document_id"]).withColumn("split", splits.hash_split(F.col("g"), SHARES))
 
 
 @query
@@ -576,7 +577,7 @@ def assign_splits(spark, d):
 
 @query
 def split_metrics(spark, d):
-    return splits.split_metrics(_split(spark, d).withColumn("n", X.word_count("normalized_text")), table(spark, d, "split_config"), "g", "n")
+    return splits.split_metrics(_split(spark, d), table(spark, d, "split_config"), "g", "parent", "n")
 
 
 # --- tokenizers
@@ -602,8 +603,8 @@ def char_to_token_spans(spark, d):
 # --- selection and freezing
 
 
-def _selected(spark, d, unsplit=False):
-    t = tokenized(spark, d, unsplit).withColumn("source", F.lower(F.trim("source"))).withColumn("priority", identity.priority(F.coalesce("source", F.lit("")), F.col("document_id")))
+def _selected(spark, d):
+    t = tokenized(spark, d).withColumn("source", F.lower(F.trim("source"))).withColumn("priority", identity.priority(F.coalesce("source", F.lit("")), F.col("document_id")))
     return ingest.select_quota(t, identity.quotas(config(spark, d), POOL_WORDS))
 
 
@@ -612,27 +613,11 @@ def quota_select(spark, d):
     return _selected(spark, d).select("document_id", "source", "n_taken", "truncated", F.md5(ids_text(F.col("token_ids"))).alias("ids_md5"))
 
 
-@query
-def quota_select_all(spark, d):
-    """quota_select over all documents, also those without a split."""
-    return _selected(spark, d, True).select("document_id", "source", "n_taken", "truncated", F.md5(ids_text(F.col("token_ids"))).alias("ids_md5"))
-
-
 @query
 def quota_tolerance(spark, d):
     return ingest.quota_deviation(_selected(spark, d), identity.quotas(config(spark, d), POOL_WORDS))
 
 
-@query
-def quota_tolerance_all(spark, d):
-    return ingest.quota_deviation(_selected(spark, d, True), identity.quotas(config(spark, d), POOL_WORDS))
-
-
-@query
-def trim_spans_all(spark, d):
-    return tokenized(spark, d, True).select("document_id", spans_text(ingest.trim_spans(F.col("paragraph_token_spans"), F.lit(100))).alias("spans"))
-
-
 @query
 def trim_spans(spark, d):
     return tokenized(spark, d).select("document_id", spans_text(ingest.trim_spans(F.col("paragraph_token_spans"), F.lit(100))).alias("spans"))
@@ -645,8 +630,9 @@ def ab_alignment(spark, d):
 
 @query
 def token_mismatch(spark, d):
+    """The first id that a vocabulary of 30,000 ids would give otherwise."""
     t = tokenized(spark, d)
-    other = t.withColumn("token_ids", F.when(F.size("token_ids") > 700, F.slice("token_ids", 1, 700)).otherwise(F.col("token_ids")))
+    other = t.withColumn("token_ids", F.transform("token_ids", lambda x: F.when(x >= 30_000, 3).otherwise(x)))
     return freeze.first_mismatch(t, other, "document_id", "token_ids")
 
 
@@ -665,10 +651,11 @@ def shard_checksums(spark, d):
 
 @query
 def causal_shift_mask(spark, d):
+    """Each document in consecutive windows, so that every id stands in one."""
     t = tokenized(spark, d).where(F.size("token_ids") > 0)
-    v = views.shifted(F.concat(F.array(F.lit(views.BOS)), "token_ids", F.array(F.lit(views.EOS))), 512)
-    total = lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b)
-    return t.select("document_id", F.md5(ids_text(v["input_token_ids"])).alias("input_md5"), F.md5(ids_text(v["target_token_ids"])).alias("target_md5"), total(v["loss_mask"]).alias("n_loss"), total(v["attention_mask"]).alias("n_attention"))
+    w = views.windows(t.withColumn("seq", F.concat(F.array(F.lit(views.BOS)), "token_ids", F.array(F.lit(views.EOS)))), "seq", 512)
+    total = lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b).alias
+    return w.select("document_id", "window", F.md5(ids_text(F.col("input_token_ids"))).alias("input_md5"), F.md5(ids_text(F.col("target_token_ids"))).alias("target_md5"), total("loss_mask")("n_loss"), total("attention_mask")("n_attention"))
 
 
 @query
@@ -759,19 +746,6 @@ def report_tokenizer(spark, d):
     return reports.token_totals(tokenized(spark, d))
 
 
-@query
-def report_tokenizer_all(spark, d):
-    """report_tokenizer over all documents, also those without a split."""
-    return reports.token_totals(tokenized(spark, d, True))
-
-
-@query
-def report_split_all(spark, d):
-    """The tokens of every split, those of documents without one as 'unsplit'."""
-    t = tokenized(spark, d, True).groupBy(F.coalesce("split", F.lit("unsplit")).alias("split"))
-    return t.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.coalesce(F.size("token_ids"), F.lit(0))).cast("long").alias("n_tokens"))
-
-
 @query
 def report_split(spark, d):
     return reports.by_split(tokenized(spark, d), table(spark, d, "split_config"))
