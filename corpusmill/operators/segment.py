@@ -1,73 +1,96 @@
-"""Structure of a text: spans of paragraphs, sentences, turns and equations, and segments of bounded length."""
+"""Structure of a text: spans of paragraphs, sentences, turns and equations, and segments of bounded length.
+
+Spans are found in Arrow batches: a text of n spans costs n steps, while arrays that grow within a column expression
+would be copied n times.
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import SPACE, let, paragraphs, word_count
+from corpusmill.functions.text import word_count
 
-SENTENCE_GAP = rf"(?<=[.!?])[{SPACE}]+(?=[A-Z0-9<])"
+#: In Python's patterns \s is the white space of functions.text.SPACE.
+SENTENCE_GAP = r"(?<=[.!?])\s+(?=[A-Z0-9<])"
 PARAGRAPH_GAP = r"\n\n+"
+WORD = r"\S+"
 #: Tags that hold a turn.
 TURNS = ("QUESTION_BODY", "ANSWER", "COMMENT", "UTTERANCE", "ISSUE_BODY", "PULL_REQUEST_BODY", "REVIEW_COMMENT")
+TURN = rf"(?s)<({'|'.join(TURNS)})>.*?</\1>"
+EQUATION = r"(?s)<EQUATION>.*?</EQUATION>"
 MAX_WORDS, TARGET_WORDS, LEAST_WORDS = 32768, 24000, 256
 _SPAN = "array<struct<start:int,end:int>>"
 
+Finder = Callable[[str], Iterator[tuple[int, int]]]
+
 
-def between(text: Column, gap: str) -> Column:
-    """Half-open spans of what lies between the matches of gap, empty pieces left out; code points."""
+def pieces(gap: str) -> Finder:
+    """The spans between the matches of gap, empty ones left out."""
+    p = re.compile(gap)
 
-    def spans(x: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            end = acc["at"] + F.element_at(x["pieces"], i + 1)
-            after = end + F.coalesce(F.get(x["gaps"], i), F.lit(0))
-            grown = F.when(end > acc["at"], F.concat(acc["spans"], F.array(F.struct(acc["at"].alias("start"), end.alias("end"))))).otherwise(acc["spans"])
-            return F.struct(after.alias("at"), grown.alias("spans"))
+    def find(text: str) -> Iterator[tuple[int, int]]:
+        at = 0
+        for m in p.finditer(text):
+            if m.start() > at:
+                yield at, m.start()
+            at = m.end()
+        if len(text) > at:
+            yield at, len(text)
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["pieces"]) - 1), _start(), step, lambda acc: acc["spans"])
+    return find
 
-    return let(_lengths(text, gap), spans)
 
+def hits(pattern: str) -> Finder:
+    """The spans of the matches of pattern."""
+    p = re.compile(pattern)
+    return lambda text: (m.span() for m in p.finditer(text))
 
-def matches(text: Column, pattern: str) -> Column:
-    """Half-open spans of the matches of pattern in order; code points."""
 
-    def spans(x: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            s = acc["at"] + F.element_at(x["pieces"], i + 1)
-            e = s + F.element_at(x["gaps"], i + 1)
-            return F.struct(e.alias("at"), F.concat(acc["spans"], F.array(F.struct(s.alias("start"), e.alias("end")))).alias("spans"))
+#: The kinds of spans that texts are searched for.
+FINDERS = {"paragraph": pieces(PARAGRAPH_GAP), "sentence": pieces(SENTENCE_GAP), "turn": hits(TURN), "equation": hits(EQUATION)}
 
-        n = F.size(x["gaps"])
-        return F.when(n > 0, F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), _start(), step, lambda acc: acc["spans"])).otherwise(F.array().cast(_SPAN))
 
-    return let(_lengths(text, pattern), spans)
+def span_array(rows: list[list[tuple[int, int]]]) -> pa.Array:
+    """Lists of spans as an Arrow array."""
+    at = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.array([x for r in rows for x in r], dtype=np.int32).reshape(-1, 2)
+    return pa.ListArray.from_arrays(pa.array(at), pa.StructArray.from_arrays([pa.array(flat[:, 0].copy()), pa.array(flat[:, 1].copy())], ["start", "end"]))
 
 
-def _start() -> Column:
-    return F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+def spans(text: Column, find: Finder) -> Column:
+    """Half-open spans in code points, in order; none for a null text."""
 
+    @F.arrow_udf(_SPAN)
+    def run(texts: pa.Array) -> pa.Array:
+        return span_array([list(find(t)) if t else [] for t in texts.to_pylist()])
 
-def _lengths(text: Column, pattern: str) -> Column:
-    """The lengths of the pieces between the matches of pattern, and of the matches."""
-    return F.struct(F.transform(F.split(text, pattern), F.length).alias("pieces"), F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length).alias("gaps"))
+    return run(text)
 
 
 def paragraph_spans(text: Column) -> Column:
-    return between(F.coalesce(text, F.lit("")), PARAGRAPH_GAP)
+    return spans(text, FINDERS["paragraph"])
 
 
 def sentence_spans(text: Column) -> Column:
-    return between(F.coalesce(text, F.lit("")), SENTENCE_GAP)
+    return spans(text, FINDERS["sentence"])
 
 
 def turn_spans(text: Column) -> Column:
-    return matches(F.coalesce(text, F.lit("")), rf"(?s)<({'|'.join(TURNS)})>.*?</\1>")
+    return spans(text, FINDERS["turn"])
 
 
 def equation_spans(text: Column) -> Column:
-    return matches(F.coalesce(text, F.lit("")), r"(?s)<EQUATION>.*?</EQUATION>")
+    return spans(text, FINDERS["equation"])
+
+
+def word_spans(text: Column) -> Column:
+    return spans(text, hits(WORD))
 
 
 def structure(text: Column) -> Column:
@@ -76,21 +99,27 @@ def structure(text: Column) -> Column:
     return F.struct(none.alias("section_spans"), none.alias("subsection_spans"), paragraph_spans(text).alias("paragraph_spans"), sentence_spans(text).alias("sentence_spans"), turn_spans(text).alias("turn_spans"), equation_spans(text).alias("equation_spans"), none.alias("code_spans"), none.alias("list_spans"))
 
 
-def packed_paragraphs(text: Column, target: int = TARGET_WORDS, least: int = LEAST_WORDS) -> Column:
+def pack_paragraphs(text: str, target: int = TARGET_WORDS, least: int = LEAST_WORDS) -> list[str]:
     """Paragraphs put together in order: a segment ends before the paragraph that would take it over target, once it has least words."""
-    ps = F.transform(paragraphs(text), lambda p: F.struct(p.alias("p"), word_count(p).alias("n")))
-    start = F.struct(F.array().cast("array<array<string>>").alias("done"), F.array().cast("array<string>").alias("cur"), F.lit(0).alias("n"))
+    done, cur, n = [], [], 0
+    for p in filter(None, map(str.strip, text.split("\n\n"))):
+        k = len(p.split())
+        if n + k > target and n >= least:
+            done.append("\n\n".join(cur))
+            cur, n = [], 0
+        cur.append(p)
+        n += k
+    return [*done, "\n\n".join(cur)] if cur else done
+
+
+def packed_paragraphs(text: Column, target: int = TARGET_WORDS, least: int = LEAST_WORDS) -> Column:
+    """pack_paragraphs of each text; none for null."""
 
-    def step(acc: Column, x: Column) -> Column:
-        full = (acc["n"] + x["n"] > target) & (acc["n"] >= least)
-        return F.struct(
-            F.when(full, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"]).alias("done"),
-            F.when(full, F.array(x["p"])).otherwise(F.concat(acc["cur"], F.array(x["p"]))).alias("cur"),
-            F.when(full, x["n"]).otherwise(acc["n"] + x["n"]).alias("n"),
-        )
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([pack_paragraphs(t, target, least) if t else [] for t in texts.to_pylist()], pa.list_(pa.string()))
 
-    joined = lambda xs: F.array_join(xs, "\n\n")
-    return F.aggregate(ps, start, step, lambda acc: F.transform(F.when(F.size(acc["cur"]) > 0, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"]), joined))
+    return run(text)
 
 
 def segments(df: DataFrame, id_col: str = "doc_id", text: str = "text", most: int = MAX_WORDS, target: int = TARGET_WORDS, least: int = LEAST_WORDS) -> DataFrame:
@@ -98,9 +127,9 @@ def segments(df: DataFrame, id_col: str = "doc_id", text: str = "text", most: in
 
     A text of at most `most` words is one segment, unchanged. Null and blank texts give none.
     """
-    whole = word_count(text) <= most
-    d = df.where(word_count(text) > 0)
-    d = d.withColumn("_segs", F.when(whole, F.array(F.col(text))).otherwise(packed_paragraphs(F.col(text), target, least)))
+    d = df.withColumn("_n", word_count(text)).where("_n > 0")
+    d = d.withColumn("_cut", packed_paragraphs(F.when(F.col("_n") > most, F.col(text)), target, least))  # only long texts leave the JVM
+    d = d.withColumn("_segs", F.when(F.col("_n") <= most, F.array(F.col(text))).otherwise(F.col("_cut")))
     d = d.withColumn("segment_count", F.size("_segs")).select(*df.columns, "segment_count", F.posexplode("_segs").alias("segment_index", "segment_text"))
     name = lambda i: F.concat(F.col(id_col).cast("string"), F.lit("_seg"), i.cast("string"))
     i = F.col("segment_index")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusmill.functions.text import let
+from corpusmill.operators.segment import span_array
 
 #: The pre-tokens of byte-level BPE: contractions, letters, digits or others with the blank before, white space.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
@@ -28,16 +30,26 @@ def pretoken_counts(df: DataFrame, text: str, least: int = 2) -> DataFrame:
     return d.groupBy("pretoken").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
-def token_spans(spans: Column, offsets: Column) -> Column:
+def to_token_spans(spans: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """Character spans as token spans: from the first token that begins at or after a span's start to the last that ends at
-    or before its end; empty ones are dropped. Both are array<struct<start,end>>."""
+    or before its end; empty ones are dropped. starts and ends of the tokens are in order."""
+    if not len(spans):
+        return []
+    a, b = np.searchsorted(starts, spans[:, 0], "left"), np.searchsorted(ends, spans[:, 1], "right")
+    return [(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True) if y > x]
+
+
+def token_spans(spans: Column, offsets: Column) -> Column:
+    """to_token_spans of two array<struct<start,end>>; none where either is null."""
+
+    def pairs(c: pa.Array) -> list[np.ndarray]:
+        return [np.array([(s["start"], s["end"]) for s in x or ()], dtype=np.int64).reshape(-1, 2) for x in c.to_pylist()]
 
-    def map_all(os: Column) -> Column:
-        first = lambda s: F.size(F.filter(os, lambda o: o["start"] < s["start"]))
-        after = lambda s: F.size(F.filter(os, lambda o: o["end"] <= s["end"]))
-        return F.filter(F.transform(spans, lambda s: F.struct(first(s).alias("start"), after(s).alias("end"))), lambda t: t["end"] > t["start"])
+    @F.arrow_udf("array<struct<start:int,end:int>>")
+    def run(s: pa.Array, o: pa.Array) -> pa.Array:
+        return span_array([to_token_spans(x, y[:, 0], y[:, 1]) for x, y in zip(pairs(s), pairs(o), strict=True)])
 
-    return let(offsets, map_all)
+    return run(spans, offsets)
 
 
 def file_sha256(path: str) -> str:

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as X
-from corpusmill.operators import cleaners, decontam, dedup, freeze, identity, ingest, normalize, quality, reports, segment, splits, stats, tokens, views
-from corpusmill.session import blank_to_null, table, written
+from corpusmill.operators import cleaners, decontam, dedup, freeze, identity, ingest, layers, normalize, quality, reports, segment, splits, stats, tokens, views
+from corpusmill.session import blank_to_null, broadcast_if_small, table, written
 from corpusmill.sources import adapters
 from corpusmill.sources import files
 
@@ -596,7 +596,7 @@ def pretoken_counts(spark, d):
 @query
 def char_to_token_spans(spark, d):
     x = docs(spark, d).where("text is not null")
-    words = segment.matches(F.col("text"), X.WORD)
+    words = segment.word_spans(F.col("text"))
     return x.select("doc_id", spans_text(tokens.token_spans(segment.paragraph_spans(F.col("text")), words)).alias("spans"))
 
 
@@ -613,6 +613,33 @@ def quota_select(spark, d):
     return _selected(spark, d).select("document_id", "source", "n_taken", "truncated", F.md5(ids_text(F.col("token_ids"))).alias("ids_md5"))
 
 
+def _encoded(spark, d):
+    """canonical_docs once per document_id, and their Layer B, written once."""
+    c = table(spark, d, "canonical_docs").where("document_id is not null and normalized_text is not null")
+    a = c.groupBy("document_id").agg(F.min(F.struct("source", "normalized_text")).alias("x")).select("document_id", blank_to_null("x.source").alias("source"), "x.normalized_text")
+    return a, written(layers.layer_b(a).join(a.select("document_id", "source"), "document_id"), "layer_b")
+
+
+@query
+def quota_tail(spark, d):
+    """Documents of canonical_docs by their tokens up to the quotas; text, ids, spans and hash of each source's last one are renewed."""
+    a, b = _encoded(spark, d)
+    sizes = b.select("document_id", "source", "token_ids", identity.priority(F.coalesce("source", F.lit("")), F.col("document_id")).alias("priority"))
+    sel = written(ingest.select_quota(sizes, identity.quotas(config(spark, d), POOL_WORDS)).select("document_id", "n_taken", "truncated"), "selected")
+    row = lambda x: x.select("document_id", F.md5("normalized_text").alias("text_md5"), F.md5(ids_text(F.col("token_ids"))).alias("ids_md5"), "token_count", spans_text(F.col("paragraph_token_spans")).alias("spans"))
+    whole = b.join(sel.where("not truncated").select("document_id"), "document_id").join(a.drop("source"), "document_id")
+    tails = layers.truncated(a.join(broadcast_if_small(sel.where("truncated")), "document_id"), needed="n_taken")  # a row per source
+    return row(whole).unionByName(row(tails))
+
+
+@query
+def reencode_check(spark, d):
+    """Documents of both layers where the encoding of the text is not what tokenized_docs has, with the first place that differs.
+    The ids of the test tables come from another tokenizer, so nearly every document is one."""
+    encode = lambda x, i, t: layers.layer_b(x, i, t).select(F.col(i).alias("doc_id"), F.col("token_ids").alias("ids"))
+    return freeze.reencoded_mismatch(table(spark, d, "canonical_docs"), table(spark, d, "tokenized_docs"), encode)
+
+
 @query
 def quota_tolerance(spark, d):
     return ingest.quota_deviation(_selected(spark, d), identity.quotas(config(spark, d), POOL_WORDS))

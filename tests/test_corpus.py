@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import decontam, dedup, freeze, identity, ingest, segment, splits, stats, tokens, views
+from corpusmill.operators import decontam, dedup, freeze, identity, ingest, layers, segment, splits, stats, tokens, views
 from corpusmill.operators.components import connected_components
 from corpusmill.operators.running import running
 
@@ -177,7 +177,7 @@ def test_splits(spark):
     assert all(len(s) == 1 for s in per.values())
     n = Counter(next(iter(s)) for s in per.values())
     assert 700 < n["train"] < 900 and n["trajectory_holdout"] == 0
-    m = {r["split"]: r["groups"] for r in splits.split_metrics(df, spark.createDataFrame([("train",), ("trajectory_holdout",)], "split string"), "g", "n").collect()}
+    m = {r["split"]: r["groups"] for r in splits.split_metrics(df, spark.createDataFrame([("train",), ("trajectory_holdout",)], "split string"), "g", "g", "n").collect()}
     assert m == {"train": n["train"], "trajectory_holdout": 0}
 
 
@@ -205,6 +205,41 @@ def test_freeze(spark, tmp_path):
     assert [r["document_id"] for r in freeze.split_violations(v, docs).collect()] == ["y"]
 
 
+def test_layers_agree_also_after_a_cut(spark):
+    text = "One two three four.\n\nFünf sechs 😀 sieben. Acht.\n\n" + "tail words go on " * 60
+    df = spark.createDataFrame([("a", text, 1), ("b", None, 2), ("c", "", 3)], "document_id string, normalized_text string, token_ids int")
+    b = {r["document_id"]: r for r in layers.layer_b(df).collect()}
+    assert b["b"]["token_ids"] == b["c"]["token_ids"] == [] and b["a"]["token_count"] == len(b["a"]["token_ids"]) and len(b["a"]["paragraph_token_spans"]) == 3
+    same = freeze.reencoded_mismatch(df, layers.layer_b(df), lambda x, i, t: layers.layer_b(x, i, t).selectExpr(f"{i} AS doc_id", "token_ids AS ids"))
+    assert same.count() == 0
+    for needed in (1, 2, 12, 13, 14, 15, 16, 17, 100):
+        r = layers.truncated(df.where("document_id = 'a'").withColumn("needed", F.lit(needed))).collect()
+        for x in r:
+            assert text.startswith(x["normalized_text"]) and x["token_count"] <= needed and "\ufffd" not in x["normalized_text"]
+            again = layers.tokenizer(layers.TOKENIZER).encode(x["normalized_text"], add_special_tokens=False).ids
+            assert again == x["token_ids"] and all(s["end"] <= x["token_count"] for s in x["paragraph_token_spans"])
+        assert r or needed < 20
+    assert layers.truncated(df.withColumn("needed", F.lit(0))).count() == 0
+
+
+def test_groups_of_splits_fall_back(spark):
+    df = spark.createDataFrame([("a", " ", "P "), ("b", None, "p"), ("c", "", None), ("d", "g", "p"), ("e", "G ", None)], "document_id string, g string, p string")
+    assert {r[0]: r[1] for r in df.select("document_id", splits.split_group("g", "p", "document_id")).collect()} == {"a": "p", "b": "p", "c": "c", "d": "g", "e": "g"}
+    assert df.select(splits.hash_split(F.lit(None).cast("string"), {}).alias("s")).where("s is null").count() == 5
+
+
+def test_one_quota_per_name(spark):
+    c = spark.createDataFrame([("A ", 0.5, None), ("a", 0.4, None), ("b", None, 300_000_000), (" ", 0.1, None), (None, 0.1, None)], "name string, share double, quota_3b_tokens long")
+    assert {tuple(r) for r in identity.quotas(c, 1000).collect()} == {("a", 400, 540), ("b", 100, 135)}
+
+
+def test_windows_hold_every_id(spark):
+    df = spark.createDataFrame([("a", "x", list(range(1, 22))), ("b", "x", [1]), ("c", "x", [])], "document_id string, split string, s array<int>")
+    out = views.windows(df, "s", 5).collect()
+    a = sorted((r for r in out if r["document_id"] == "a"), key=lambda r: r["window"])
+    assert [x for r in a for x, m in zip(r["target_token_ids"], r["loss_mask"], strict=True) if m] == list(range(2, 22)) and len(out) == 6
+
+
 def test_artifacts(tmp_path):
     assert freeze.same_artifact(a="x", b="x") == "x" and freeze.special_ids({"<s>": 0, "</s>": 1}, "<s>", "</s>") == {"<s>": 0, "</s>": 1}
     for bad in (lambda: freeze.same_artifact(a="x", b="y"), lambda: freeze.same_artifact(a=None), lambda: freeze.special_ids({"a": 1, "b": 1}, "a", "b"), lambda: freeze.special_ids({}, "a")):
