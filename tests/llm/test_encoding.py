@@ -50,7 +50,6 @@ def test_empty_table(spark):
 
 
 def test_layers_are_compared_by_encoding_the_text(spark):
-    from corpusmill.llm import queries
     from corpusmill.operators import freeze
 
     text = "It is a text of some words, and then a few more."
@@ -61,4 +60,3 @@ def test_layers_are_compared_by_encoding_the_text(spark):
     b = spark.createDataFrame(rows + rows[:1], "document_id string, token_ids array<int>")
     got = {tuple(r) for r in freeze.reencoded_mismatch(a, b, encode).collect()}
     assert got == {("first", 0), ("middle", 3), ("short", len(ids) - 1), ("long", len(ids)), ("none", 0), ("filled", 0), ("twice", 0)}
-    assert "reencode_mismatch" in queries.QUERIES
