@@ -65,6 +65,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
     return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """df with equal rows once, without a shuffle of all its values: rows are told apart by two 64-bit hashes, and only those
+    whose hashes occur again are compared."""
+    h = df.withColumns({"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit(1), *df.columns)})
+    again = written(h.groupBy("_h1", "_h2").count().where("count > 1").select("_h1", "_h2"), "again")
+    again = broadcast_if_small(again)
+    once = h.join(again, ["_h1", "_h2"], "left_anti").select(*df.columns)
+    return once.unionByName(h.join(again, ["_h1", "_h2"], "left_semi").select(*df.columns).distinct())
+
+
 def blank_to_null(c: Column | str) -> Column:
     """Lower-cased and without surrounding white space; null where nothing is left."""
     c = F.col(c) if isinstance(c, str) else c
