@@ -43,6 +43,10 @@ def p3_cleaned(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_repeated_lines(table(spark, d, "canonical_docs"))
 
 
+def p3_templates(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_lines.templates(table(spark, d, "canonical_docs"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.pii_values(table(spark, d, "canonical_docs"), table(spark, d, "name_list"))
 
@@ -96,7 +100,7 @@ def p9_fertility(spark: SparkSession, d: str) -> DataFrame:
     return repetition.fertility_rejects(written(repetition.fertility(table(spark, d, "documents")), "fertility"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_report, p2_found, p2_records, p3_found, p3_cleaned, p4_found, p4_redacted, p5_found, p5_mixture, p5_report, p6_sample, p7_ids, p7_round_trip, p8_found, p8_scores, p9_found, p9_share, p9_fertility)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_report, p2_found, p2_records, p3_found, p3_cleaned, p3_templates, p4_found, p4_redacted, p5_found, p5_mixture, p5_report, p6_sample, p7_ids, p7_round_trip, p8_found, p8_scores, p9_found, p9_share, p9_fertility)}
 
 
 def _sample_sql() -> str:
