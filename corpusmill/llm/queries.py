@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import encoding, leaks, mixing, packing, pii, related_splits, repeated_lines, repetition, sampling
-from corpusmill.session import table, written
+from corpusmill.session import distinct_rows, table, written
 
 #: Share of each source's identifiers that the sample query selects.
 SAMPLE_RATE = 0.1
@@ -52,7 +52,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_redacted(spark: SparkSession, d: str) -> DataFrame:
-    return pii.find_pii(table(spark, d, "canonical_docs"), table(spark, d, "name_list"), redact=True).select("document_id", F.size("found").alias("n_found"), "redacted_text").distinct()
+    docs = distinct_rows(table(spark, d, "canonical_docs").select("document_id", "normalized_text"))
+    return pii.find_pii(docs, table(spark, d, "name_list"), redact=True).select("document_id", F.size("found").alias("n_found"), "redacted_text")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

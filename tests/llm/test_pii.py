@@ -33,6 +33,17 @@ def values(finder, text):
         ("my phone number 735-555-0185 here", "phone", "735-555-0185"),
         ("the turnip: 219-555-0164.", "phone", "219-555-0164"),
         ("by Mrs Wepho Unknownova after", "name", "Wepho Unknownova"),
+        ("then Dr. Angela Merkel said", "name", "Angela Merkel"),
+        ("met Dr. Anne Smith there", "name", "Anne Smith"),
+        ("as told by Mr James Bond.", "name", "James Bond"),
+        ("a novel by Virginia Woolf, read", "name", "Virginia Woolf"),
+        ("Foto von Frau Jürgen Müller gezeigt", "name", "Jürgen Müller"),
+        ("by gounda unlisted, far desk", "name", "gounda unlisted"),
+        ("Thanks to Unlisted, Gounda for", "name", "Unlisted, Gounda"),
+        ("was asked. B. T. Dourley enlarged a", "name", "B. T. Dourley"),
+        ("Please call 7946 0880 now", "phone", "7946 0880"),
+        ("Tel.: 555-0127", "phone", "555-0127"),
+        ("lived at 12 " + "Q" + "u" * 90 + "erstrand Lane before", "address", "12 " + "Q" + "u" * 90 + "erstrand Lane"),
         ("SSN 955-08-8669, one", "id", "955-08-8669"),
         ("national insurance number QQ 83 00 96 C when", "id", "QQ 83 00 96 C"),
         ("shows NI no. QQ138213B beside", "id", "QQ138213B"),
@@ -61,6 +72,8 @@ def test_values(finder, text, kind, value):
     [
         "Ping @dairy_pocket if", "Install furnace@9.4.1 before", "557 stables @ 40 each", "host 192.0.2.8 up", "ISBN 978-0-2-54-4", "Catalogue 175-03-5574 lists",
         "Docket no. 93-49-775", "Grant 2019-044-8871 paid", "on 2024-07-14 the", "The Wemquist Institute", "Loskova Street was", "The Nexquist medal went",
+        "The Marine Valley route", "Latin English dictionaries", "Panama Turkish relations", "Argentina Brandenberg", "read by The Local Council", "made by Penguin Books",
+        "BY X Y EDITION, MULMPIS MARSH DESK", "rich in vitamin C. Then", "the U. S. Army", "in 7946 0880 rows", "call 12 of them", "3 7 11 15", "Dr. Wemquist came",
         "Marsh at Kutholm", "a square 12 court", "Contact <EMAIL> or <PHONE>", "", "at dot at", "passport to nowhere", "@", "+", "(", "12 Street",
     ],
 )
