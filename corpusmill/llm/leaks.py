@@ -1,12 +1,17 @@
-"""Evaluation texts leaking into training text (problem 8): n-gram seeds, a bound on the score, local alignment.
+"""Evaluation texts leaking into training text (problem 8): n-gram seeds, bounds on the score, local alignment.
 
 1. Items become word sequences. Each run of `run` words of an item (all its words, if fewer) is to be found
    wherever it stands in a document, and each edited copy by its score.
-2. One pass over the corpus looks up all n-grams of all items. A document and an item that share any n-gram are a
-   pair; neither the size of the corpus nor the number of copies plays a part.
-3. An exact run shows in the n-grams themselves: they follow each other on one diagonal. Of the other pairs, those
-   stay whose score may reach the least one, by an upper bound that no alignment exceeds. For all that stay, a
-   Smith-Waterman alignment of the item with the document around the seeds gives the score and the longest run.
+2. One pass over the corpus looks up the n-grams of all items. An exact run shows in those of `seed` words: they follow each
+   other on one diagonal.
+3. An edited copy shows in pairs of words. With M matched words and E edits an alignment scores 2 M - E, and M words in at
+   most E + 1 runs make M - E - 1 matched pairs at least. So a score of `least` x 2 m, m the words of the item, needs pairs at
+   (2 least - 1) m - 1 places of the item or more; an item for which that is nothing needs `least` x m of its words. Documents and
+   items with fewer cannot reach the score and go no further: no copy is lost, however regular its edits.
+4. Of those, two more bounds that no alignment exceeds leave few. For all that stay, a Smith-Waterman alignment of the item
+   with the parts of the document that may reach the score gives the score and the longest run.
+
+Neither the size of the corpus nor the number of copies plays a part.
 
 Scale: the corpus is read once, by a narrow map, and is never shuffled. Items are a stated query set; they go
 to the executors in blocks of at most `block_words` words, one pass over the corpus per block.
@@ -25,6 +30,8 @@ from corpusmill.llm.words import parts, words
 from corpusmill.session import written
 
 RUN, SEED, LEAST = 13, 4, 0.6
+#: Counts of documents x items that are held at once.
+CELLS = 1 << 22
 
 
 def item_words(items: DataFrame, id_col: str = "item_id", text: str = "text", run: int = RUN) -> DataFrame:
@@ -51,72 +58,145 @@ def item_words(items: DataFrame, id_col: str = "item_id", text: str = "text", ru
     return all_ if all_ is not None else it.select("item_id", "words", F.array().cast("array<int>").alias("unique"))
 
 
+class Table:
+    """Numbers of codes, from 1; 0 for one that is not in the table."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = np.unique(codes)
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.zeros(len(codes), dtype=np.int64)
+        i = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where((self.codes[i] == codes) & (codes > 0), i + 1, 0)
+
+
+class Postings:
+    """Of each number the items that have it and at how many places."""
+
+    def __init__(self, per_item: list[np.ndarray], size: int):
+        number = np.concatenate([np.empty(0, np.int64), *per_item])
+        item = np.repeat(np.arange(len(per_item)), [len(x) for x in per_item])
+        key, self.weight = np.unique(number * len(per_item) + item, return_counts=True)
+        self.item = key % max(1, len(per_item))
+        self.start = np.searchsorted(key // max(1, len(per_item)), np.arange(size + 2))
+
+    def count(self, doc: np.ndarray, number: np.ndarray, docs: int, items: int) -> np.ndarray:
+        """docs x items: the places of each item that the numbers of each document hold."""
+        u = np.unique(doc * (len(self.start)) + number)
+        doc, number = u // len(self.start), u % len(self.start)
+        n = self.start[number + 1] - self.start[number]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.start[number], n)
+        return np.bincount(np.repeat(doc, n) * items + self.item[at], self.weight[at], docs * items).reshape(docs, items)
+
+
 class Items:
-    """A block of items as numbers: word ids, and every n-gram of `seed` words (fewer in a shorter item)."""
+    """A block of items as numbers: words, pairs of words, and every n-gram of `seed` words (fewer in a shorter item).
 
-    def __init__(self, rows: list[tuple[int, list[str], list[int]]], run: int = RUN, seed: int = SEED):
+    An n-gram of three or four words is a pair and a word or a pair and a pair, so no code exceeds the square of their number.
+    """
+
+    def __init__(self, rows: list[tuple[int, list[str], list[int]]], run: int = RUN, seed: int = SEED, least: float = LEAST):
         self.vocab: dict[str, int] = {}
         self.ids = [r[0] for r in rows]
         self.unique = [frozenset(r[2]) for r in rows]
         self.seq = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in r[1]], dtype=np.int64) for r in rows]
         self.run = [min(run, len(s)) for s in self.seq]
-        self.seed = seed
-        self.grams: dict[tuple[int, ...], int] = {}
-        self.places: list[list[tuple[int, int]]] = []  # of each n-gram: (item, start)
-        for k, s in enumerate(self.seq):
-            n = min(seed, len(s))
-            for i in range(len(s) - n + 1):
-                g = self.grams.setdefault(tuple(s[i : i + n].tolist()), len(self.places))
-                if g == len(self.places):
-                    self.places.append([])
-                self.places[g].append((k, i))
-        self.tables = {}  # by length: sorted codes and their n-grams
-        for n in sorted({len(g) for g in self.grams}):
-            codes = sorted((self.code(g), i) for g, i in self.grams.items() if len(g) == n)
-            self.tables[n] = np.array([c for c, _ in codes], dtype=np.int64), np.array([i for _, i in codes], dtype=np.int32)
-
-    def code(self, gram: tuple[int, ...]) -> int:
-        c = 0
-        for x in gram:
-            c = c * (len(self.vocab) + 1) + x
-        return c
-
-
-def find_grams(docs: list[list[str]], items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, position, n-gram) of all n-grams of items in documents, ordered by document and position."""
-    gap = 8
-    n = sum(map(len, docs)) + gap * len(docs)
-    get = items.vocab.get
-    ids = np.zeros(n, dtype=np.int64)
-    starts, at = [], 0
-    for d in docs:
-        starts.append(at)
-        ids[at : at + len(d)] = np.fromiter((get(w, 0) for w in d), dtype=np.int64, count=len(d))
-        at += len(d) + gap
-    pos, gram = [], []
-    base = len(items.vocab) + 1
-    for k, (codes, which) in items.tables.items():
-        m = n - k + 1
-        if m <= 0:
-            continue
-        code, ok = ids[:m].copy(), ids[:m] > 0
-        for j in range(1, k):
-            part = ids[j : j + m]
-            code = code * base + part
-            ok &= part > 0
-        p = np.flatnonzero(ok)
-        c = code[p]
-        i = np.minimum(np.searchsorted(codes, c), len(codes) - 1)
-        hit = codes[i] == c
-        pos.append(p[hit])
-        gram.append(which[i[hit]])
-    if not pos:
-        return (np.empty(0, np.int64),) * 3
-    pos, gram = np.concatenate(pos), np.concatenate(gram)
-    order = np.argsort(pos, kind="stable")
-    pos, gram = pos[order], gram[order]
-    doc = np.searchsorted(np.array(starts), pos, side="right") - 1
-    return doc, pos - np.array(starts)[doc], gram
+        self.seed, self.least = seed, least
+        self.base = len(self.vocab) + 1
+        codes = [self._pair(s) for s in self.seq]
+        self.pairs = Table(np.concatenate([np.empty(0, np.int64), *codes]))
+        pairs = [self.pairs(c) for c in codes]
+        # n-grams by their length: number -> places
+        self.grams: dict[int, Table] = {}
+        self.places: dict[int, list[list[tuple[int, int]]]] = {}
+        own = [min(seed, len(s)) for s in self.seq]
+        for n in sorted(set(own)):
+            here = [(k, self._gram(s, p, n)) for k, (s, p) in enumerate(zip(self.seq, pairs, strict=True)) if own[k] == n]
+            table = self.grams[n] = Table(np.concatenate([c for _, c in here]))
+            places = self.places[n] = [[] for _ in range(len(table.codes) + 1)]
+            for k, c in here:
+                for i, g in enumerate(table(c).tolist()):
+                    places[g].append((k, i))
+        # what a copy needs: pairs of so many places, or words of so many
+        sizes = np.array([len(s) for s in self.seq])
+        need = np.ceil((2 * least - 1) * sizes - 1 - 1e-9)
+        self.by_pairs = need > 0
+        self.need = np.where(self.by_pairs, need, np.ceil(least * sizes - 1e-9))
+        none = np.empty(0, np.int64)
+        self.pair_items = Postings([p if b else none for p, b in zip(pairs, self.by_pairs, strict=True)], len(self.pairs.codes))
+        self.word_items = Postings([none if b else s for s, b in zip(self.seq, self.by_pairs, strict=True)], self.base)
+
+    def _pair(self, ids: np.ndarray) -> np.ndarray:
+        """The code of each two words; 0 if either is none of an item's."""
+        a, b = ids[:-1], ids[1:]
+        return np.where((a > 0) & (b > 0), a * self.base + b, 0)
+
+    def _gram(self, ids: np.ndarray, pairs: np.ndarray, n: int) -> np.ndarray:
+        """The code of each n words; 0 if one of them is none of an item's."""
+        if n == 1:
+            return ids
+        if n == 2:
+            return pairs
+        a, b = (pairs[:-1], ids[2:]) if n == 3 else (pairs[:-2], pairs[2:])
+        return np.where((a > 0) & (b > 0), a * (max(self.base, len(self.pairs.codes) + 1)) + b, 0)
+
+
+class Batch:
+    """Documents as one array of word numbers, with a gap after each."""
+
+    def __init__(self, docs: list[list[str]], items: Items):
+        gap = 4
+        get = items.vocab.get
+        self.ids = np.zeros(sum(map(len, docs)) + gap * len(docs), dtype=np.int64)
+        starts, at = [], 0
+        for d in docs:
+            starts.append(at)
+            self.ids[at : at + len(d)] = np.fromiter((get(w, 0) for w in d), dtype=np.int64, count=len(d))
+            at += len(d) + gap
+        self.starts, self.sizes, self.items = np.array(starts, dtype=np.int64), list(map(len, docs)), items
+        self.pairs = items.pairs(items._pair(self.ids)) if len(self.ids) > 1 else np.empty(0, np.int64)
+
+    def doc_of(self, pos: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, pos, side="right") - 1
+
+    def of(self, k: int) -> np.ndarray:
+        return self.ids[self.starts[k] : self.starts[k] + self.sizes[k]]
+
+    def seeds(self) -> dict[int, list[tuple[int, int, int]]]:
+        """By document: (position, words, number) of all n-grams of items, by position."""
+        out: dict[int, list[tuple[int, int, int]]] = {}
+        for n, table in self.items.grams.items():
+            if len(self.ids) < n:
+                continue
+            g = table(self.items._gram(self.ids, self.pairs, n))
+            pos = np.flatnonzero(g)
+            doc = self.doc_of(pos)
+            for d, p, x in zip(doc.tolist(), (pos - self.starts[doc]).tolist(), g[pos].tolist(), strict=True):
+                out.setdefault(d, []).append((p, n, x))
+        return out
+
+    def candidates(self) -> dict[int, list[int]]:
+        """By document: the items whose pairs or words it has as often as a copy needs."""
+        items, out = self.items, {}
+        k = len(items.seq)
+        if not len(self.starts) or not k:
+            return out
+        found = []
+        for numbers, postings, some in ((self.pairs, items.pair_items, items.by_pairs.any()), (self.ids, items.word_items, not items.by_pairs.all())):
+            if some:
+                pos = np.flatnonzero(numbers)
+                found.append((self.doc_of(pos), numbers[pos], postings))
+        step = max(1, CELLS // k)
+        for lo in range(0, len(self.starts), step):
+            n = min(step, len(self.starts) - lo)
+            count = np.zeros((n, k))
+            for doc, numbers, postings in found:
+                a, b = np.searchsorted(doc, [lo, lo + n])
+                count += postings.count(doc[a:b] - lo, numbers[a:b], n, k)
+            for d, i in zip(*(x.tolist() for x in np.nonzero(count >= items.need)), strict=True):
+                out.setdefault(lo + d, []).append(i)
+        return out
 
 
 def align(item: np.ndarray, doc: np.ndarray, match: int = 2, mismatch: int = -1, gap: int = -1) -> tuple[int, np.ndarray]:
@@ -140,60 +220,70 @@ def align(item: np.ndarray, doc: np.ndarray, match: int = 2, mismatch: int = -1,
     return best, longest
 
 
-def most(matches: np.ndarray) -> int:
-    """The best sum of neighbours, 2 for each true and -1 for each false. Of the words of a document that an item has, or
-    of an item that a document has, it bounds the score of `align`: a word that is not matched costs 1 at least."""
-    c = np.concatenate(([0], np.cumsum(np.where(matches, 2, -1))))
-    return int((c - np.minimum.accumulate(c)).max())
+def walk(matches: np.ndarray) -> np.ndarray:
+    """At each place the best sum of neighbours that ends there, 2 for each true and -1 for each false, and at least 0. Of the words
+    of a document that an item has, or of an item that a document has, its maximum bounds the score of `align`: a word that is
+    not matched costs 1 at least."""
+    c = np.cumsum(np.where(matches, 2, -1))
+    return c - np.minimum(np.minimum.accumulate(c), 0)
 
 
-def aligned(doc: list[str], hits: list[tuple[int, int]], items: Items, least: float) -> Iterator[tuple[int, float, int, bool]]:
-    """(item, score, longest run, exact) of each item that shares an n-gram and is exact or has the least score; hits: (position, n-gram).
+def reaching(h: np.ndarray, need: float) -> list[list[int]]:
+    """The stretches [from, to) of a walk between its zeros that reach `need`. An alignment across a zero is no better than its rest
+    after it, so the best one lies within one of these."""
+    out: list[list[int]] = []
+    zeros = np.flatnonzero(h == 0)
+    for e in np.flatnonzero(h >= need).tolist():
+        if out and e < out[-1][1]:
+            continue
+        z = int(np.searchsorted(zeros, e))
+        out.append([int(zeros[z - 1]) + 1 if z else 0, int(zeros[z]) if z < len(zeros) else len(h)])
+    return out
+
 
-    score is 1 for a whole copy. exact: a run stands in the document that stands in no other item.
+def aligned(ids: np.ndarray, hits: list[tuple[int, int, int]], candidates: list[int], items: Items) -> Iterator[tuple[int, float, int, bool]]:
+    """(item, score, longest run, exact) of the items that the document has exactly or with the least score. ids: its words; hits:
+    (position, words, number) of its n-grams; candidates: the items that may reach the score.
+
+    score is 1 for a whole copy. exact: a run stands in the document that stands in no other item. longest run: in the parts
+    of the document that were aligned.
     """
     near: dict[int, dict[int, set[int]]] = {}  # by item and diagonal: starts of n-grams in the item
-    for p, g in hits:
-        for k, i in items.places[g]:
+    for p, n, g in hits:
+        for k, i in items.places[n][g]:
             near.setdefault(k, {}).setdefault(p - i, set()).add(i)
-    get = items.vocab.get
-    ids = np.fromiter((get(w, 0) for w in doc), dtype=np.int64, count=len(doc))
-    there, own = np.zeros(len(items.vocab) + 1, dtype=bool), np.zeros(len(items.vocab) + 1, dtype=bool)
+    may, exacts = set(candidates), {}
+    for k, diagonals in near.items():
+        grams = items.run[k] - min(items.seed, len(items.seq[k])) + 1
+        at = [d for d, there in diagonals.items() if len(there) >= grams and any(i in items.unique[k] and all(i + j in there for j in range(grams)) for i in there)]
+        if at:
+            exacts[k] = at
+    if not may and not exacts:
+        return
+    there, own = np.zeros(items.base, dtype=bool), np.zeros(items.base, dtype=bool)
     there[ids] = True
     there[0] = False
-    for k, diagonals in near.items():
-        item, r = items.seq[k], items.run[k]
+    for k in sorted(may | exacts.keys()):
+        item, spans = items.seq[k], []
         m = len(item)
-        grams = r - min(items.seed, m) + 1
-        exact = any(len(at) >= grams and any(i in items.unique[k] and all(i + j in at for j in range(grams)) for i in at) for at in diagonals.values())
-        if not exact:
-            need = 2 * m * least - 1e-6
-            if most(there[item]) < need:
-                continue
+        need = 2 * m * items.least - 1e-6
+        if k in may and walk(there[item]).max() >= need:
             own[item] = True
-            bound = most(own[ids])
+            spans = reaching(walk(own[ids]), need)
             own[item] = False
-            if bound < need:
+        spans += [[max(0, d - 2 * m), min(len(ids), d + 3 * m)] for d in exacts.get(k, ())]
+        best, longest, done = 0, 0, 0
+        for lo, hi in sorted(spans):
+            if hi <= done:
                 continue
-        margin = 2 * m  # more words between would cost more than all matches give
-        spans: list[list[int]] = []
-        for d in sorted(diagonals):
-            lo, hi = max(0, d - margin), min(len(ids), d + m + margin)
-            if spans and lo <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], hi)
-            else:
-                spans.append([lo, hi])
-        best, longest = 0, 0
-        for lo, hi in spans:
             score, runs = align(item, ids[lo:hi])
-            best, longest = max(best, score), max(longest, int(runs.max(initial=0)))
-        if exact or best >= 2 * m * least - 1e-6:
-            yield items.ids[k], best / (2 * m), longest, exact
+            best, longest, done = max(best, score), max(longest, int(runs.max(initial=0))), hi
+        if k in exacts or best >= need:
+            yield items.ids[k], best / (2 * m), longest, k in exacts
 
 
-def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", run: int = RUN, seed: int = SEED, block_words: int = 40_000, least: float = LEAST) -> DataFrame:
-    """(doc_id, item_id, score, longest_run, exact) of each document and item that share an n-gram of `seed` words and are
-    exact or have a score of `least`.
+def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", run: int = RUN, seed: int = SEED, block_words: int = 200_000, least: float = LEAST) -> DataFrame:
+    """(doc_id, item_id, score, longest_run, exact) of each document and item that are exact or have a score of `least`.
 
     Documents without text have no rows; an empty benchmark gives none. Null doc_ids are left out.
     """
@@ -204,7 +294,7 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str
     schema = "doc_id long, item_id long, score double, longest_run int, exact boolean"
     out = None
     for rows in _blocks(item_words(benchmark, run=run), block_words):
-        part = d.mapInArrow(_aligner(Items(rows, run, seed), least), schema)
+        part = d.mapInArrow(_aligner(Items(rows, run, seed, least)), schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
@@ -221,18 +311,16 @@ def _blocks(items: DataFrame, block_words: int) -> Iterator[list[tuple[int, list
         yield block
 
 
-def _aligner(items: Items, least: float):
+def _aligner(items: Items):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, ids = b.column("text").to_pylist(), b.column("doc_id").to_pylist()
             for s, e in parts(texts, 2000, 4_000_000):
-                docs = [words(x) for x in texts[s:e]]
-                doc, pos, gram = find_grams(docs, items)
-                which, first = np.unique(doc, return_index=True)
-                ends = [*first.tolist()[1:], len(doc)]
+                batch = Batch([words(x) for x in texts[s:e]], items)
+                seeds, may = batch.seeds(), batch.candidates()
                 out: list[tuple] = []
-                for k, i, j in zip(which.tolist(), first.tolist(), ends, strict=False):
-                    out += [(ids[s + k], *x) for x in aligned(docs[k], list(zip(pos[i:j].tolist(), gram[i:j].tolist(), strict=True)), items, least)]
+                for k in sorted(seeds.keys() | may.keys()):
+                    out += [(ids[s + k], *x) for x in aligned(batch.of(k), seeds.get(k, []), may.get(k, []), items)]
                 cols = list(zip(*out, strict=True)) or [[]] * 5
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.bool_())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "score", "longest_run", "exact"])

@@ -94,15 +94,42 @@ def test_scores_against_alignment_of_all_pairs(spark):
     for i, t in docs:
         w = words(t)
         for k, s in seqs.items():
-            n = min(4, len(s))
-            if {tuple(s[j : j + n]) for j in range(len(s) - n + 1)} & {tuple(w[j : j + n]) for j in range(len(w) - n + 1)}:
-                score = align(np.array([number[x] for x in s]), np.array([number[x] for x in w]))[0] / (2 * len(s))
-                if score >= 0.6:
-                    want[i, k] = score
+            score = align(np.array([number[x] for x in s]), np.array([number[x] for x in w]))[0] / (2 * len(s))
+            if score >= 0.6:
+                want[i, k] = score
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(d, b).where("score >= 0.6").collect()}
     assert got == want and len(want) > 50
 
 
+def test_recall_of_regular_edits(spark):
+    """Copies with a word replaced, put in or left out at every third to ninth place, and at random: all that score 0.6 are found."""
+    rng = random.Random(4)
+    vocab = [f"v{i}" for i in range(400)] + ["the", "of", "and", "a", "in"] * 30
+    say = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, say(rng.choice([1, 3, 5, 6, 9, 40, 60]))) for i in range(40)]
+    docs = []
+    for i, w in items:
+        for step in (2, 3, 4, 5, 6, 9):
+            for how in ("replace", "insert", "delete", "random"):
+                v = []
+                for j, x in enumerate(w):
+                    hit = j % step == step - 1 if how != "random" else rng.random() < 1 / step
+                    v += [x, rng.choice(vocab)] if hit and how == "insert" else [] if hit and how == "delete" else [rng.choice(vocab)] if hit else [x]
+                docs.append((len(docs), " ".join(say(rng.randint(0, 80)) + v + say(rng.randint(0, 80)))))
+    d, b = frames(spark, docs, [(i, " ".join(w)) for i, w in items])
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(d, b).where("score >= 0.6").collect()}
+    want = {}
+    number = defaultdict(lambda: len(number) + 1)
+    seqs = [(i, np.array([number[x] for x in w])) for i, w in items]
+    for i, t in docs:
+        w = np.array([number[x] for x in t.split()])
+        for k, s in seqs:
+            score = align(s, w)[0] / (2 * len(s))
+            if score >= 0.6:
+                want[i, k] = score
+    assert got == want and len(want) > 300
+
+
 def test_alignment_against_plain_dynamic_programming():
     rng = random.Random(2)
     for _ in range(30):
