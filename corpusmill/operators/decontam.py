@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.text import let, strip
-from corpusmill.session import broadcast_if_small, is_small
+from corpusmill.session import broadcast_if_small, written
 
 #: Words per shingle, least share of an item's shingles, least words of an item.
 SHINGLE, OVERLAP, LEAST_WORDS = 13, 0.70, 5
-#: Items go to the executors with the code up to this size of their table; beyond it, in blocks.
-MAX_ITEM_BYTES = 64 << 20
+#: Items go to the executors with the code in blocks of so many characters; their shingles are broadcast up to so many bytes.
+BLOCK_CHARS, MAX_SHINGLE_BYTES = 16_000_000, 32 << 20
 _LETTERS = r"[\p{L}\p{N}_]+"
 
 
@@ -36,10 +36,11 @@ def registry(benchmark: DataFrame) -> DataFrame:
     return d.where((F.size(_words(F.col("item_text"))) >= LEAST_WORDS) & F.col("item_id").isNotNull()).distinct()
 
 
-def containing(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", block: int = 50_000) -> DataFrame:
+def containing(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", block: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id) of texts that contain an item's whole text, case aside.
 
-    All items are sought at once by one automaton, so a text is read once per block of items, not once per item.
+    All items of a block are sought at once by one automaton, so a text is read once per block of that many characters, not once
+    per item.
     """
     import ahocorasick
 
@@ -63,11 +64,13 @@ def containing(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: st
 
         return d.mapInArrow(run, f"doc_id {id_type}, item_id long")
 
+    size = 0
     for r in items.select("item_id", "item_text").toLocalIterator():
         if r[1]:
             found.append((r[0], r[1]))
-        if len(found) == block:
-            out, found = scan(found) if out is None else out.unionByName(scan(found)), []
+            size += len(r[1])
+        if size >= block:
+            out, found, size = scan(found) if out is None else out.unionByName(scan(found)), [], 0
     if found or out is None:
         part = scan(found) if found else d.select("doc_id", F.lit(None).cast("long").alias("item_id")).limit(0)
         out = part if out is None else out.unionByName(part)
@@ -82,8 +85,7 @@ def overlapping(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text: s
     it = items.select("item_id", shingle_hashes(F.col("item_text"), n).alias("sh")).withColumn("item_shingles", F.size("sh"))
     it = it.select("item_id", "item_shingles", F.explode("sh").alias("s"))
     docs = df.select(F.col(id_col).alias("doc_id"), F.explode(shingle_hashes(F.col(text), n)).alias("s"))
-    if is_small(items, MAX_ITEM_BYTES):
-        it = F.broadcast(it)  # at most as many shingles as the items have words
+    it = broadcast_if_small(written(it, "shingles"), MAX_SHINGLE_BYTES)  # the size of what is broadcast, not of the items
     hits = docs.join(it, "s").groupBy("doc_id", "item_id", "item_shingles").agg(F.count_distinct("s").alias("shared"))
     return hits.where(F.col("shared") >= F.col("item_shingles") * least).select("doc_id", "item_id", F.col("shared").cast("int").alias("shared"), "item_shingles")
 

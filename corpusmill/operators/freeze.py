@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,10 +66,26 @@ def reencoded_mismatch(a: DataFrame, b: DataFrame, encode: Callable[[DataFrame,
     return first_mismatch(x, y, id_col, ids).groupBy(id_col).agg(F.min("first_index").alias("first_index"))
 
 
-def checksums(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """(file, bytes, sha256) of the files of a folder, hashed on the executors."""
+def checksums(spark: SparkSession, path: str, pattern: str = "*.parquet", chunk: int = 8 << 20) -> DataFrame:
+    """(file, bytes, sha256) of the files of a folder, hashed on the executors in chunks; a file is never held as a whole."""
     d = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return d.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for b in batches:
+            out = []
+            for p in b.column("path").to_pylist():
+                system, at = fs.FileSystem.from_uri(p.replace("file:/", "file:///", 1) if p.startswith("file:/") and not p.startswith("file://") else p)
+                h = hashlib.sha256()
+                with system.open_input_stream(at) as f:
+                    while part := f.read(chunk):
+                        h.update(part)
+                out.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("length"), pa.array(out, pa.string())], names=["path", "bytes", "sha256"])
+
+    found = d.select("path", "length").mapInArrow(run, "path string, bytes long, sha256 string")  # the content itself is not read by the scan
+    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "bytes", "sha256")
 
 
 def changed_shards(frozen: DataFrame, now: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 AT_ONCE, CHARS_AT_ONCE = 128, 1_000_000
 #: Tokens that a cut document keeps at least, unless less was missing.
 LEAST_TOKENS = 64
-_SPANS = {f"{k}_token_spans": "array<struct<start:int,end:int>>" for k in FINDERS}
+SPANS = {f"{k}_token_spans": "array<struct<start:int,end:int>>" for k in FINDERS}
 
 
 @lru_cache(maxsize=4)
@@ -84,9 +84,9 @@ def layer_b(df: DataFrame, id_col: str = "document_id", text: str = "normalized_
                 ids.append(e.ids)
                 for k, x in zip(found, _mapped(t, e), strict=True):
                     k.append(x)
-            yield pa.RecordBatch.from_arrays([b.column(id_col), id_array(ids), pa.array(list(map(len, ids)), pa.int32()), *map(span_array, found)], names=[id_col, "token_ids", "token_count", *_SPANS])
+            yield pa.RecordBatch.from_arrays([b.column(id_col), id_array(ids), pa.array(list(map(len, ids)), pa.int32()), *map(span_array, found)], names=[id_col, "token_ids", "token_count", *SPANS])
 
-    return d.mapInArrow(run, f"`{id_col}` {id_type}, token_ids array<int>, token_count int, " + ", ".join(f"{k} {t}" for k, t in _SPANS.items()))
+    return d.mapInArrow(run, f"`{id_col}` {id_type}, token_ids array<int>, token_count int, " + ", ".join(f"{k} {t}" for k, t in SPANS.items()))
 
 
 def cut_text(text: str, needed: int, path: str = TOKENIZER, least: int = LEAST_TOKENS) -> tuple[str, object] | None:
@@ -126,6 +126,6 @@ def truncated(df: DataFrame, id_col: str = "document_id", text: str = "normalize
             hashes = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
             cols = [b.column(id_col).take(pa.array([r[0] for r in rows], pa.int32())), pa.array(texts, pa.string()), pa.array(hashes, pa.string()), id_array([r[2] for r in rows]), pa.array([len(r[2]) for r in rows], pa.int32())]
             cols += [span_array([r[3][k] for r in rows]) for k in range(len(FINDERS))]
-            yield pa.RecordBatch.from_arrays(cols, names=[id_col, text, "normalized_text_hash", "token_ids", "token_count", *_SPANS])
+            yield pa.RecordBatch.from_arrays(cols, names=[id_col, text, "normalized_text_hash", "token_ids", "token_count", *SPANS])
 
-    return d.mapInArrow(run, f"`{id_col}` {id_type}, `{text}` string, normalized_text_hash string, token_ids array<int>, token_count int, " + ", ".join(f"{k} {t}" for k, t in _SPANS.items()))
+    return d.mapInArrow(run, f"`{id_col}` {id_type}, `{text}` string, normalized_text_hash string, token_ids array<int>, token_count int, " + ", ".join(f"{k} {t}" for k, t in SPANS.items()))

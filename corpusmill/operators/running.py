@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def even_buckets(df: DataFrame, order: str, rows: int = 1 << 16) -> Column:
-    """Buckets of a whole-number column of equal width, about `rows` rows each if its values are spread evenly.
+def even_buckets(df: DataFrame, order: str, rows: int = 1 << 16, most: int = 4096) -> Column:
+    """Buckets of a whole-number column of about `rows` rows each, `most` at most, by its approximate quantiles.
 
-    The width follows from the column's range and count, so there are never more than count / rows buckets. The
-    buckets shape the plan of running(), not its result.
+    So outlying values and clumps do not put a source into one bucket. The buckets shape the plan of running(), not its result.
     """
-    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
-    width = max(1, -(-(hi - lo + 1) * rows // n)) if n else 1
-    return F.floor((F.col(order) - F.lit(lo or 0)) / F.lit(width))
+    n = df.agg(F.count(order)).first()[0]
+    m = min(most, -(-n // rows))
+    if m <= 1:
+        return F.lit(0)
+    at = [k / m for k in range(1, m)]
+    bounds = sorted(set(df.agg(F.percentile_approx(order, at, 10 * m)).first()[0]))
+    table, steps = F.array(*map(F.lit, bounds)), [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    # binary search: how many bounds are at most the value
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda k, s: F.when(F.get(table, k + s - 1) <= F.col(order), k + s).otherwise(k))
 
 
 def running(df: DataFrame, key: str, bucket: Column, order: list[str], values: Mapping[str, tuple[str, Column]]) -> DataFrame:

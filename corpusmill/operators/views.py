@@ -63,7 +63,7 @@ def next_fit(docs: DataFrame, context: int = CONTEXT, group_docs: int = 4096) ->
     """
     d = docs.select("document_id", "split", F.size("token_ids").alias("n")).where((F.col("n") > 0) & (F.col("n") < context - 1))
     groups = d.groupBy("split").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / group_docs)).cast("int").alias("g"))
-    d = d.join(groups, d["split"].eqNullSafe(groups["split"])).select(d["*"], F.pmod(F.xxhash64("document_id"), "g").cast("int").alias("part"))
+    d = d.join(groups, d["split"].eqNullSafe(groups["split"])).select(d["*"], pick(F.col("document_id"), "group", F.col("g")).alias("part"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("document_id", kind="stable")
@@ -109,3 +109,18 @@ def bridges(docs: DataFrame, context: int = CONTEXT, mask: int = MASK) -> DataFr
     right = F.slice("token_ids", F.col("_p.end") + 1, F.greatest(F.size("token_ids") - F.col("_p.end"), F.lit(0)))
     inner = F.slice("token_ids", F.col("_p.start") + 1, F.greatest(F.col("_p.end") - F.col("_p.start"), F.lit(0)))
     return d.select("document_id", "split", "p_idx", F.slice(F.concat(left, F.array(F.lit(mask)), right), 1, context).alias("input_token_ids"), inner.alias("target_token_ids"))
+
+
+def union(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
+    """All kinds of views in one table: view_type, split, usage, source_document_ids, horizon (null but for prefix_suffix), input_token_ids,
+    target_token_ids, loss_mask, attention_mask (empty where the target is not the input shifted by one)."""
+    one, none = F.array(F.col("document_id").cast("string")), F.array().cast("array<int>")
+    no, masks = F.lit(None).cast("int"), lambda: (none.alias("loss_mask"), none.alias("attention_mask"))
+
+    def rows(name: str, d: DataFrame, ids: Column, horizon: Column, *rest) -> DataFrame:
+        return d.select(F.lit(name).alias("view_type"), "split", usage(F.col("split")).alias("usage"), ids.alias("source_document_ids"), horizon.alias("horizon"), "input_token_ids", "target_token_ids", *rest)
+
+    out = rows("causal_packed", packed(docs, context), F.col("source_document_ids").cast("array<string>"), no, "loss_mask", "attention_mask")
+    out = out.unionByName(rows("causal_single_doc", crops(docs, context), one, no, "loss_mask", "attention_mask"))
+    out = out.unionByName(rows("prefix_suffix", prefix_suffix(docs), one, F.col("horizon").cast("int"), *masks()))
+    return out.unionByName(rows("bridge_masked_span", bridges(docs, context), one, no, *masks()))

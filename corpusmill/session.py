@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a local one if all executors are in this
+    process, else RuntimeError: on a cluster each machine would write to a folder of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -31,7 +36,7 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     """df, written once as Parquet into the shared folder and read back.
 
     This cuts the lineage, so a lost executor costs no recomputation of earlier rounds, and gives the
-    optimizer true sizes. The folder is removed when the driver ends.
+    optimizer true sizes. The folder is removed when the driver ends, or with the scratch() around it.
     """
     spark = df.sparkSession
     if not _WRITTEN:
@@ -42,18 +47,31 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_written() -> None:
-    """Remove the folders made by written(); a stopped session is no error."""
-    while _WRITTEN:
-        spark, path = _WRITTEN.pop()
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file of any file system that Hadoop knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def remove_written(keep: int = 0) -> None:
+    """Remove the folders made by written(), but for the first `keep`; a stopped session is no error."""
+    while len(_WRITTEN) > keep:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            remove_path(*_WRITTEN.pop())
         except Exception:
             pass
 
 
+@contextlib.contextmanager
+def scratch() -> Iterator[None]:
+    """Removes at its end what written() made within; results that read such tables must be saved by then."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        remove_written(before)
+
+
 def is_small(df: DataFrame, max_bytes: int) -> bool:
     """Whether the optimizer's size estimate of df is at most max_bytes; an unknown size counts as large."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()

@@ -18,7 +18,7 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str | No
     return d if limit is None else d.limit(limit)
 
 
-def raw_records(df: DataFrame, repo: str, id_cols: tuple[str, ...] = ("id", "doc_id"), order: str | None = None) -> DataFrame:
+def raw_records(df: DataFrame, repo: str, id_cols: tuple[str, ...] = ("id", "doc_id")) -> DataFrame:
     """(doc_id, source, text) of records of any source: text, else content, else empty; the first id that is there, else a hash of the record."""
     text = F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in ("text", "content") if c in df.columns), F.lit(""))
     ids = [F.col(c).cast("string") for c in id_cols if c in df.columns]
@@ -36,10 +36,34 @@ def shards(df: DataFrame) -> DataFrame:
     return df.select(F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def write_sidecar(path: str, content: dict) -> None:
+def write_text(spark: SparkSession, path: str, content: str) -> None:
+    """A small text file, written by the driver to any file system that Hadoop knows; it replaces an older one."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None if there is none."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(p):
+        return None
+    f = system.open(p)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(f)).decode()
+    finally:
+        f.close()
+
+
+def write_sidecar(spark: SparkSession, path: str, content: dict) -> None:
     """A small JSON file beside a table, with sorted keys."""
-    with open(path, "w") as f:
-        json.dump(content, f, indent=2, sort_keys=True, default=str)
+    write_text(spark, path, json.dumps(content, indent=2, sort_keys=True, default=str))
 
 
 def write_rows_json(df: DataFrame, path: str) -> None:

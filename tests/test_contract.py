@@ -58,7 +58,14 @@ def test_stages_are_cached_by_what_they_depend_on(spark, tmp_path):
     run = stages.Runner(spark, todo, str(tmp_path / "out"), config)
     assert set(run.run().values()) == {"done"} and set(run.run().values()) == {"cached"}
     out = run.read("split")
-    assert out.count() > 0 and out.groupBy("doc_id").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+    assert out.count() > 0 and out.groupBy("parent_document_id").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+    assert out.groupBy("split_group_id").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+    layer = run.read("frozen")
+    assert layer.count() > 0 and layer.where("token_count <> size(token_ids)").count() == 0
+    kinds = {r[0] for r in run.read("views").select("view_type").distinct().collect()}
+    assert {"causal_packed"} <= kinds and run.read("counts").where("scope is null").count() > 0
+    names = run.write_reports()
+    assert len(names) == 9 and "tokens" in (tmp_path / "out" / "reports" / "splits.md").read_text()
     os.remove(tmp_path / "out" / "safe" / "manifest.json")
     again = run.run()
     assert again["unique"] == "cached" and again["safe"] == "done"
@@ -68,6 +75,16 @@ def test_stages_are_cached_by_what_they_depend_on(spark, tmp_path):
     assert other.key(todo[0]) != run.key(todo[0])
 
 
+@there
+def test_command_line(spark, tmp_path, capsys):
+    from corpusmill.__main__ import main
+
+    assert main([DATA, str(tmp_path / "o"), "--scale", "many"]) == 1
+    assert main([DATA, str(tmp_path / "o"), "--scale", "300K", "--max-records", "30"]) == 0
+    said = capsys.readouterr().out
+    assert "frozen: done" in said and "reports:" in said
+
+
 def test_config(tmp_path):
     p = tmp_path / "c.json"
     p.write_text(json.dumps({"seed": 1, "total_tokens": 5}))
@@ -118,7 +135,8 @@ def test_documents_without_a_split_count(spark, tmp_path):
     t.write.parquet(str(tmp_path / "tokenized_docs.parquet"))
     spark.sql("select 's' as name, 1.0D as share, 3000000000L as quota_3b_tokens").write.parquet(str(tmp_path / "source_config.parquet"))
     get = lambda name: [tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()]
-    assert get("report_tokenizer_all")[0][:2] == (5, 39) and get("report_tokenizer")[0][:2] == (3, 27)
-    assert sorted(get("report_split_all")) == [("test", 1, 13), ("train", 1, 3), ("unsplit", 2, 12), ("validation", 1, 11)]
-    assert {r[0] for r in get("trim_spans_all")} == set("abcde") == {r[0] for r in get("quota_select_all")}
-    assert len(get("quota_tolerance_all")) == 1
+    spark.sql("select 'train' as split, 1.0D as share").write.parquet(str(tmp_path / "split_config.parquet"))
+    assert get("report_tokenizer")[0][:2] == (5, 39)
+    assert sorted(r[:3] for r in get("report_split")) == [("none", 2, 12), ("test", 1, 13), ("train", 1, 3), ("validation", 1, 11)]
+    assert {r[0] for r in get("trim_spans")} == set("abcde") == {r[0] for r in get("quota_select")}
+    assert len(get("quota_tolerance")) == 1
