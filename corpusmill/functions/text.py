@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 #: White space, as character class content that Java and RE2 read alike.
 SPACE = r"\t-\r\x1c-\x1f \x85\p{Z}"
 WORD = rf"[^{SPACE}]+"
+#: White space within a line.
+BLANK = r"\t\x0b-\r\x1c-\x1f \x85\p{Z}"
+#: Where a word begins or ends, where a line begins or ends.
+WORD_START, WORD_END, LINE_START, LINE_END = rf"(?<![^{SPACE}])", rf"(?![^{SPACE}])", r"(?<![^\n])", r"(?![^\n])"
+#: A line from its first to its last character that is no white space.
+LINE = rf"[^{SPACE}](?:[^\n]*[^{SPACE}])?"
 
 
 def _c(c: Column | str) -> Column:
@@ -44,7 +50,22 @@ def strip(text: Column | str) -> Column:
 
 def lines(text: Column | str) -> Column:
     """The stripped lines that are not empty, in order."""
-    return F.filter(F.transform(F.split(_c(text), "\n"), strip), lambda x: x != "")
+    return F.regexp_extract_all(_c(text), F.lit(LINE), F.lit(0))
+
+
+def line_count(text: Column | str) -> Column:
+    """The number of lines that are not empty; null for null."""
+    return F.regexp_count(_c(text), F.lit(rf"[^{SPACE}][^\n]*+"))
+
+
+def lines_of_at_most(text: Column | str, words: int) -> Column:
+    """The number of lines of one to so many words; null for null."""
+    more = rf"(?:[{BLANK}]++[^{SPACE}]++){{0,{words - 1}}}+" if words > 1 else ""
+    return F.regexp_count(_c(text), F.lit(rf"{LINE_START}[{BLANK}]*+[^{SPACE}]++{more}[{BLANK}]*+{LINE_END}"))
+
+
+def is_ascii(text: Column | str) -> Column:
+    return F.octet_length(_c(text)) == F.length(_c(text))
 
 
 def paragraphs(text: Column | str) -> Column:
@@ -57,8 +78,9 @@ def _nfc(s: pd.Series) -> pd.Series:
 
 
 def nfc(text: Column | str) -> Column:
-    """Unicode form NFC; an Arrow UDF as Spark has no built-in normalisation."""
-    return F.pandas_udf(_nfc, "string")(_c(text))
+    """Unicode form NFC; an Arrow UDF as Spark has no built-in normalisation. Plain ASCII does not leave the JVM."""
+    c = _c(text)
+    return F.when(is_ascii(c), c).otherwise(F.pandas_udf(_nfc, "string")(F.when(~is_ascii(c), c)))
 
 
 def first_of(*cs: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import SPACE, WORD, lines, ratio, strip, word_count
+from corpusmill.functions.text import SPACE, WORD, WORD_START, line_count, lines_of_at_most, ratio, strip, word_count
 from corpusmill.operators.running import even_buckets, running
 
 # The patterns of what is stripped or rejected.
@@ -57,11 +57,10 @@ def with_web_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """df with prose_paragraphs (of ten words or more), short_line_ratio (under four words) and link_ratio."""
     t = F.coalesce(F.col(text), F.lit(""))
     prose = F.size(F.filter(F.split(t, "\n\n"), lambda p: word_count(p) >= 10))
-    ls, ws = lines(t), F.regexp_extract_all(t, F.lit(WORD), F.lit(0))
     return df.withColumns({
         "prose_paragraphs": prose,
-        "short_line_ratio": ratio(F.size(F.filter(ls, lambda x: word_count(x) < 4)), F.size(ls)),
-        "link_ratio": ratio(F.size(F.filter(ws, lambda w: w.startswith("http://") | w.startswith("https://") | w.startswith("www."))), F.size(ws)),
+        "short_line_ratio": ratio(lines_of_at_most(t, 3), line_count(t)),
+        "link_ratio": ratio(F.regexp_count(t, F.lit(rf"{WORD_START}(?:https?://|www\.)")), word_count(t)),
     })
 
 
@@ -110,8 +109,8 @@ def rejoin_words(text: Column) -> Column:
 
 def inner_digit_ratio(text: Column) -> Column:
     """The share of words with digits between letters, a mark of bad character recognition."""
-    ws = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return ratio(F.size(F.filter(ws, lambda w: w.rlike(INNER_DIGIT))), F.size(ws))
+    # a word once, however many such places it has
+    return ratio(F.regexp_count(text, F.lit(rf"{WORD_START}[^{SPACE}]*?{INNER_DIGIT}[^{SPACE}]*+")), word_count(text))
 
 
 def science_strip(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import SPACE, nfc, once, word_count
+from corpusmill.functions.text import SPACE, is_ascii, nfc, once, word_count
 
 # What counts as each kind, what is removed, and the limits.
 EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
@@ -24,6 +24,9 @@ MAX_PII_PER_1000, PII_MIN_WORDS = 20, 50
 #: Kinds in the order of redaction.
 KINDS = (("api_key", (API_KEY,), "<API_KEY>"), ("email", (EMAIL_ONCE,), "<EMAIL>"), ("ip", (IPV4, IPV6), "<IP>"), ("phone", (PHONE,), "<PHONE>"))
 
+#: What each match of a pattern has one of.
+PARTS = {API_KEY: ("sk-", "AKIA", "ghp_"), EMAIL_ONCE: ("@",), IPV6: (":",), IPV4: (".",)}
+
 
 def unix_lines(c: Column) -> Column:
     return F.regexp_replace(c, "\r\n?", "\n")
@@ -31,7 +34,7 @@ def unix_lines(c: Column) -> Column:
 
 def without_controls(c: Column) -> Column:
     """Without control, bidirectional and private-use characters; runs of soft hyphens become one."""
-    plain = (F.octet_length(c) == F.length(c)) & ~F.contains(c, F.lit("\x00"))  # plain ASCII has none of them
+    plain = is_ascii(c) & ~F.contains(c, F.lit("\x00"))  # plain ASCII has none of them
     return F.when(plain, c).otherwise(F.regexp_replace(F.regexp_replace(c, CONTROLS, ""), r"\x{ad}{2,}", "­"))
 
 
@@ -60,13 +63,23 @@ def redact(df: DataFrame, text: str = "normalized_text", out: str | None = None)
     out = out or text
     df = df.withColumn(out, F.col(text))
     for kind, patterns, mark in KINDS:
-        df = df.withColumn(f"n_{kind}", F.lit(0))
-        for p in patterns:  # each pattern counts and replaces in what the ones before left
-            df = df.withColumn(f"n_{kind}", F.col(f"n_{kind}") + F.coalesce(F.regexp_count(out, F.lit(p)), F.lit(0)))
-            df = df.withColumn(out, F.regexp_replace(out, p, mark))
+        df = df.withColumn("_before", F.col(out))
+        for p in patterns:
+            # a pattern is tried only where a text has a part that each match has
+            some = [F.contains(out, F.lit(x)) for x in PARTS.get(p, ())]
+            maybe = some[0] if some else F.lit(True)
+            for x in some[1:]:
+                maybe = maybe | x
+            df = df.withColumn(out, F.when(maybe, F.regexp_replace(out, p, mark)).otherwise(F.col(out)))
+        # a match holds no whole mark, so there are as many new marks as values
+        df = df.withColumn(f"n_{kind}", F.coalesce(_marks(out, mark) - _marks("_before", mark), F.lit(0))).drop("_before")
     return df
 
 
+def _marks(c: str, mark: str) -> Column:
+    return ((F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))) / len(mark)).cast("int")
+
+
 def rejection(raw: Column, normalized: Column, redacted: Column, n_email: Column, n_phone: Column) -> Column:
     """The first rule that rejects a text, or null: empty_text, fffd_ratio, private_key, excessive_email, excessive_phone."""
     n = F.greatest(word_count(redacted), F.lit(1))

@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import lines, once, ratio, word_count, words
+from corpusmill.functions.text import SPACE, WORD_END, WORD_START, line_count, lines, lines_of_at_most, once, ratio, word_count
 
 # The limits of the rules.
 MIN_PRINTABLE, MAX_DUPLICATE_LINES, MAX_MEDIAN_WORD, MAX_JUNK_LINES = 0.98, 0.20, 15, 0.30
 MIN_ALPHABETIC, MIN_ALPHABETIC_TECHNICAL = 0.40, 0.25
 TECHNICAL = ("scientific", "technical", "government_legal")
 UNPRINTABLE = r"[^\P{C}\n\r\t]|[^\P{Z} ]"
-ENGLISH_WORD = r"^[A-Za-z!-/:-@\[-`{-~]+$"
-PUNCTUATION_ONLY = r"^[!-/:-@\[-`{-~]*$"
+ENGLISH_WORD = rf"{WORD_START}[A-Za-z!-/:-@\[-`{{-~]++{WORD_END}"
+#: A word that is neither a link nor a tag.
+PLAIN_WORD = rf"{WORD_START}(?!http|<)[^{SPACE}]+"
 
 
 def upper_median(xs: Column) -> Column:
     """The element at half the length of the sorted array; null for an empty one."""
-    return F.when(F.size(xs) > 0, F.element_at(F.array_sort(xs), (F.size(xs) / 2).cast("int") + 1))
+    return F.get(F.sort_array(xs), (F.size(xs) / 2).cast("int"))
 
 
-def is_junk(line: Column) -> Column:
-    """A line of digits or punctuation only, or of fewer than two words."""
-    return line.rlike(r"^\p{Nd}+$") | line.rlike(PUNCTUATION_ONLY) | (word_count(line) < 2)
+def junk_lines(text: Column | str) -> Column:
+    """The number of lines of digits or punctuation only, or of fewer than two words: the first two are single words as well."""
+    return lines_of_at_most(text, 1)
 
 
 def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
@@ -32,19 +33,16 @@ def with_metrics(df: DataFrame, text: str = "text") -> DataFrame:
     Ratios over nothing are 0; the median is null without words that are neither links nor tags.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    df = df.withColumn("_w", words(t)).withColumn("_l", lines(t))
-    n, size = F.size("_w"), F.length(t)
-    plain = F.filter("_w", lambda w: ~w.startswith("http") & ~w.startswith("<"))
+    df = df.withColumn("n_words", word_count(t)).withColumn("n_lines", line_count(t))  # counted over the whole text, without arrays
+    n, size, n_lines = F.col("n_words"), F.length(t), F.col("n_lines")
     return df.withColumns({
-        "n_words": n,
         "printable_ratio": ratio(size - F.regexp_count(t, F.lit(UNPRINTABLE)), size),
         "alphabetic_ratio": ratio(F.regexp_count(t, F.lit(r"\p{L}")), size),
-        "english_ratio": ratio(F.size(F.filter("_w", lambda w: w.rlike(ENGLISH_WORD))), n),
-        "n_lines": F.size("_l"),
-        "unique_line_ratio": ratio(F.size(F.array_distinct("_l")), F.size("_l")),
-        "median_word_length": upper_median(F.transform(plain, F.length)),
-        "junk_line_ratio": ratio(F.size(F.filter("_l", is_junk)), F.size("_l")),
-    }).drop("_w", "_l")
+        "english_ratio": ratio(F.regexp_count(t, F.lit(ENGLISH_WORD)), n),
+        "unique_line_ratio": ratio(F.size(F.array_distinct(lines(t))), n_lines),
+        "median_word_length": upper_median(F.transform(F.regexp_extract_all(t, F.lit(PLAIN_WORD), F.lit(0)), F.length)),
+        "junk_line_ratio": ratio(junk_lines(t), n_lines),
+    })
 
 
 def rule(category: Column, min_words: Column, min_english: Column) -> Column:

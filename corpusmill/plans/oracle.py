@@ -2,12 +2,39 @@
 
 from __future__ import annotations
 
-from corpusmill.operators import cleaners, dedup, normalize, quality, tokens
-from corpusmill.plans.queries import POOL_WORDS, SCAN_WORDS, SOURCE_NAMES, VOCAB
+from corpusmill.plans.queries import PIECES, POOL_WORDS, SCAN_WORDS, SOURCE_NAMES, TITLES, VOCAB
 
 SP = r"\t-\r\x1c-\x1f \x85\p{Z}"
 WORD = rf"[^{SP}]+"
 
+# The patterns and tables of the rules, stated here apart from the operators.
+CONTROLS = r"[\x00\x{200b}\x{200e}\x{200f}\x{202a}-\x{202e}\x{e000}-\x{f8ff}]"
+EMAIL = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+PHONE = rf"\+?\p{{Nd}}{{1,4}}[-.{SP}]?(?:\(\p{{Nd}}{{1,3}}\)|\p{{Nd}}{{1,3}})[-.{SP}]?\p{{Nd}}{{1,4}}[-.{SP}]?\p{{Nd}}{{1,9}}"
+IPV4 = r"\b(?:\p{Nd}{1,3}\.){3}\p{Nd}{1,3}\b"
+IPV6 = r"\b(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}\b"
+API_KEY = r"\b(?:sk-[a-zA-Z0-9]{32,}|AKIA[0-9A-Z]{16}|ghp_[a-zA-Z0-9]{36})\b"
+PRIVATE_KEY = rf"-----BEGIN[{SP}]+(?:RSA|DSA|EC|OPENSSH|PGP)?[{SP}]*PRIVATE[{SP}]+KEY-----"
+UNPRINTABLE = r"[^\P{C}\n\r\t]|[^\P{Z} ]"
+ENGLISH_WORD = r"^[A-Za-z!-/:-@\[-`{-~]+$"
+PUNCTUATION_ONLY = r"^[!-/:-@\[-`{-~]*$"
+WIKI_NAMESPACE = r"(?i)^(?:talk|user|wikipedia|file|mediawiki|template|help|category|portal|draft|timedtext|module|talk_page|disambiguation):"
+WIKI_TAIL = rf"(?is)\n==+[{SP}]*(?:References|External[{SP}]+links|Further[{SP}]+reading|Bibliography|Sources|See[{SP}]+also)[{SP}]*==+.*\z"
+SCIENCE_TAIL = rf"(?is)\n(?:#+[{SP}]*|\\section\*?\{{?)?[{SP}]*(?:References|Bibliography|Acknowledgements|Funding|Author[{SP}]+Contributions|Supplementary[{SP}]+Material).*\z"
+BROKEN_WORD, INNER_DIGIT = r"([a-zA-Z]+)-\n([a-z]+)", r"[a-zA-Z]\p{Nd}+[a-zA-Z]"
+DISPLAY_MATH = r"(?s)\\\[(.*?)\\\]|\$\$(.*?)\$\$|\\begin\{equation\}(.*?)\\end\{equation\}"
+BOILERPLATE = {
+    "books": r"(?i)(?:Table of Contents|Publisher Advertisement|Downloaded from)[^\n]*?\n",
+    "educational": r"(?i)(?:Download PDF|Donate to LibreTexts|Back to top|Edit page)[^\n]*?\n",
+    "government_legal": r"(?i)(?:Docket No\.|FOR FURTHER INFORMATION CONTACT:|Page \p{Nd}+ of \p{Nd}+)[^\n]*?\n",
+    "technical": r"(?m)^(?:PEP:|Title:|Author:|Status:|Type:|Created:)[^\n]*?\n",
+}
+BOTS = r"(?i)dependabot|stale\[bot\]|codecov-commenter|github-actions\[bot\]"
+BASE64, STACK_TRACE, CODE_BLOCK = r"[A-Za-z0-9+/]{100,}={0,2}", r"(?s)Traceback \(most recent call last\):.*?\n[^\t-\r ]+", r"(?s)```.*?```"
+CATEGORY_RANK = {"books": 0.95, "scientific": 0.90, "educational": 0.85, "wikimedia": 0.80, "government_legal": 0.75, "technical": 0.70, "discussion": 0.65, "web": 0.50}
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\t-\r \p{L}\p{N}]+|[\t-\r ]+"
+
+
 
 def q(s: str) -> str:
     """A string literal."""
@@ -62,6 +89,10 @@ TOK = """tok AS (SELECT document_id, parent_document_id, source, coalesce(s, 'no
   FROM (SELECT *, CASE WHEN lower(trim(split)) = 'val' THEN 'validation' WHEN trim(split) <> '' THEN lower(trim(split)) END AS s FROM tokenized_docs)
   QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY s IS NULL, parent_document_id NULLS FIRST, source NULLS FIRST, s, token_ids NULLS FIRST) = 1)"""
 
+_LIST = lambda xs: "[" + ", ".join(q(x) for x in xs) + "]"
+#: documents with a planted end and title, by the id.
+PLANTED = f"(SELECT * REPLACE (text || {_LIST(PIECES)}[doc_id % {len(PIECES)} + 1] AS text, {_LIST(TITLES)}[doc_id % {len(TITLES)} + 1] || coalesce(title, '') AS title) FROM documents)"
+
 SQL: dict[str, str] = {}
 
 # --- identity
@@ -93,39 +124,39 @@ SQL["pool_counters"] = f"WITH {_POOL} SELECT source, count(*) AS n_docs, sum(n_t
 SQL["raw_text_fallback"] = "SELECT DISTINCT document_id, coalesce(nullif(source_record_id, ''), document_id) AS record_id, md5(coalesce(nullif(normalized_text, ''), nullif(title, ''), '-')) AS text_md5 FROM canonical_docs"
 
 # --- normalisation
-_CLEAN0 = rsub(rsub(f"regexp_replace(nfc_normalize(text), '\\r\\n?', chr(10), 'g')", normalize.CONTROLS, ""), r"\x{ad}{2,}", "­")
+_CLEAN0 = rsub(rsub(f"regexp_replace(nfc_normalize(text), '\\r\\n?', chr(10), 'g')", CONTROLS, ""), r"\x{ad}{2,}", "­")
 _CLEAN = f"regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CLEAN0}, {q(r'[\x0b-\r\x1c-\x1f \x85\p{Z}]+')}, ' ', 'g'), '[ \\t]*\\n[ \\t]*', chr(10), 'g'), '\\A[ \\t]+|[ \\t]+\\z', '', 'g'), '\\n{{4,}}', chr(10) || chr(10) || chr(10), 'g')"
 SQL["normalize_text"] = f"SELECT doc_id, md5(t) AS text_md5, length(t)::BIGINT AS n_chars FROM (SELECT doc_id, {_CLEAN} AS t FROM documents)"
 SQL["ufffd_reject"] = f"SELECT doc_id, round(r, 6) AS ratio, r > 0.001 AS rejected FROM (SELECT doc_id, CASE WHEN length(text) > 0 THEN {count('text', r'\x{fffd}')}::DOUBLE / length(text) ELSE 0.0 END AS r FROM documents)"
-_KINDS = [(k, [normalize.EMAIL if p == normalize.EMAIL_ONCE else p for p in ps], m) for k, ps, m in normalize.KINDS]
+_KINDS = [("api_key", [API_KEY], "<API_KEY>"), ("email", [EMAIL], "<EMAIL>"), ("ip", [IPV4, IPV6], "<IP>"), ("phone", [PHONE], "<PHONE>")]
 for _k, _ps, _m in _KINDS:
     _n = count("text", _ps[0])
     _t = rsub("text", _ps[0], _m)
     if len(_ps) > 1:
         _n += " + " + count(_t, _ps[1])
         _t = rsub(_t, _ps[1], _m)
-    SQL[f"redact_{_k}"] = f"SELECT doc_id, ({_n})::BIGINT AS n, md5({_t}) AS text_md5 FROM documents"
-_NORM = f"""n0 AS (SELECT doc_id, text, {_CLEAN} AS c FROM documents),
-n1 AS (SELECT *, {count('c', normalize.API_KEY)} AS n_api_key, {rsub('c', normalize.API_KEY, '<API_KEY>')} AS c1 FROM n0),
-n2 AS (SELECT *, {count('c1', normalize.EMAIL)} AS n_email, {rsub('c1', normalize.EMAIL, '<EMAIL>')} AS c2 FROM n1),
-n3 AS (SELECT *, {count('c2', normalize.IPV4)} AS n_ip4, {rsub('c2', normalize.IPV4, '<IP>')} AS c3 FROM n2),
-n4 AS (SELECT *, n_ip4 + {count('c3', normalize.IPV6)} AS n_ip, {rsub('c3', normalize.IPV6, '<IP>')} AS c4 FROM n3),
-n5 AS (SELECT *, {count('c4', normalize.PHONE)} AS n_phone, {rsub('c4', normalize.PHONE, '<PHONE>')} AS t FROM n4),
+    SQL[f"redact_{_k}"] = f"SELECT doc_id, ({_n})::BIGINT AS n, md5({_t}) AS text_md5 FROM {PLANTED}"
+_NORM = f"""n0 AS (SELECT doc_id, text, {_CLEAN} AS c FROM {PLANTED}),
+n1 AS (SELECT *, {count('c', API_KEY)} AS n_api_key, {rsub('c', API_KEY, '<API_KEY>')} AS c1 FROM n0),
+n2 AS (SELECT *, {count('c1', EMAIL)} AS n_email, {rsub('c1', EMAIL, '<EMAIL>')} AS c2 FROM n1),
+n3 AS (SELECT *, {count('c2', IPV4)} AS n_ip4, {rsub('c2', IPV4, '<IP>')} AS c3 FROM n2),
+n4 AS (SELECT *, n_ip4 + {count('c3', IPV6)} AS n_ip, {rsub('c3', IPV6, '<IP>')} AS c4 FROM n3),
+n5 AS (SELECT *, {count('c4', PHONE)} AS n_phone, {rsub('c4', PHONE, '<PHONE>')} AS t FROM n4),
 n6 AS (SELECT *, greatest({nw('t')}, 1) AS w FROM n5),
 norm AS (SELECT *, CASE WHEN coalesce(text, '') = '' THEN 'empty_text' WHEN {count('text', r'\x{fffd}')}::DOUBLE / length(text) > 0.001 THEN 'fffd_ratio'
-  WHEN regexp_matches(c, {q(normalize.PRIVATE_KEY)}) THEN 'private_key' WHEN w >= 50 AND n_email * 1000 > w * 20 THEN 'excessive_email' WHEN w >= 50 AND n_phone * 1000 > w * 20 THEN 'excessive_phone' END AS rejection FROM n6)"""
+  WHEN regexp_matches(c, {q(PRIVATE_KEY)}) THEN 'private_key' WHEN w >= 50 AND n_email * 1000 > w * 20 THEN 'excessive_email' WHEN w >= 50 AND n_phone * 1000 > w * 20 THEN 'excessive_phone' END AS rejection FROM n6)"""
 SQL["pii_counts"] = f"WITH {_NORM} SELECT doc_id, n_api_key, n_email, n_ip, n_phone FROM norm"
 SQL["normalize_verdict"] = f"WITH {_NORM} SELECT doc_id, rejection, md5(t) AS text_md5 FROM norm"
 SQL["pii_density_reject"] = f"WITH {_NORM} SELECT doc_id, rejection FROM norm WHERE rejection IN ('excessive_email', 'excessive_phone')"
-SQL["private_key_reject"] = f"SELECT doc_id, coalesce(regexp_matches(text, {q(normalize.PRIVATE_KEY)}), false) AS rejected FROM documents"
+SQL["private_key_reject"] = f"SELECT doc_id, coalesce(regexp_matches(text, {q(PRIVATE_KEY)}), false) AS rejected FROM {PLANTED}"
 SQL["report_pii"] = f"WITH {_NORM} SELECT count(*) AS n_docs, sum(n_api_key + n_email + n_ip + n_phone)::BIGINT AS n_pii, sum(n_api_key)::BIGINT AS n_api_key, sum(n_email)::BIGINT AS n_email, sum(n_ip)::BIGINT AS n_ip, sum(n_phone)::BIGINT AS n_phone FROM norm"
 
 # --- quality
-_JUNK = f"regexp_full_match(x, '\\p{{Nd}}+') OR regexp_full_match(x, {q(quality.PUNCTUATION_ONLY)}) OR {nw('x')} < 2"
+_JUNK = f"regexp_full_match(x, '\\p{{Nd}}+') OR regexp_full_match(x, {q(PUNCTUATION_ONLY)}) OR {nw('x')} < 2"
 _MET = f"""m0 AS (SELECT *, coalesce(text, '') AS t, {ws("coalesce(text, '')")} AS w, {lines("coalesce(text, '')")} AS l FROM cat),
 m1 AS (SELECT *, list_sort(list_transform(list_filter(w, lambda x: NOT starts_with(x, 'http') AND NOT starts_with(x, '<')), lambda x: length(x))) AS ls FROM m0),
-met AS (SELECT *, len(w)::BIGINT AS n_words, len(l)::BIGINT AS n_lines, {ratio(f"length(t) - {count('t', quality.UNPRINTABLE)}", 'length(t)')} AS printable_ratio,
-  {ratio(count('t', r'\p{L}'), 'length(t)')} AS alphabetic_ratio, {ratio(f"len(list_filter(w, lambda x: regexp_full_match(x, {q(quality.ENGLISH_WORD)})))", 'len(w)')} AS english_ratio,
+met AS (SELECT *, len(w)::BIGINT AS n_words, len(l)::BIGINT AS n_lines, {ratio(f"length(t) - {count('t', UNPRINTABLE)}", 'length(t)')} AS printable_ratio,
+  {ratio(count('t', r'\p{L}'), 'length(t)')} AS alphabetic_ratio, {ratio(f"len(list_filter(w, lambda x: regexp_full_match(x, {q(ENGLISH_WORD)})))", 'len(w)')} AS english_ratio,
   {ratio('len(list_distinct(l))', 'len(l)')} AS unique_line_ratio, {ratio(f'len(list_filter(l, lambda x: {_JUNK}))', 'len(l)')} AS junk_line_ratio, ls[len(ls) // 2 + 1] AS median_word_length FROM m1)"""
 _VERDICT = f"""{CONF}, {_MET}, verdict AS (SELECT *, CASE WHEN n_lines = 0 THEN 'empty_document' WHEN n_words < min_words THEN 'below_min_length' WHEN printable_ratio < 0.98 THEN 'low_printable_ratio'
   WHEN alphabetic_ratio < CASE WHEN category IN ('scientific', 'technical', 'government_legal') THEN 0.25 ELSE 0.40 END THEN 'low_alphabetic_ratio' WHEN english_ratio < min_english THEN 'low_english_probability'
@@ -151,17 +182,17 @@ SQL["web_metrics"] = f"WITH {_WEB} SELECT doc_id, prose_paragraphs, round(short_
 SQL["web_rules"] = f"""WITH {_WEB}, w3 AS (SELECT *, CASE WHEN prose_paragraphs < 3 THEN 'insufficient_prose_paragraphs' WHEN short_line_ratio > 0.30::DOUBLE THEN 'too_many_short_lines' WHEN link_ratio > 0.20::DOUBLE THEN 'too_many_url_tokens' END AS r FROM w2),
 w4 AS (SELECT *, coalesce(sum(CASE WHEN r IS NULL AND t <> '' THEN len(w) ELSE 0 END) OVER (PARTITION BY host ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 1500 AS o FROM w3)
 SELECT doc_id, host, CASE WHEN t = '' THEN 'empty_text' WHEN o THEN 'hostname_quota_exceeded' ELSE r END AS rule FROM w4"""
-_WIKI_RULE = f"CASE WHEN regexp_matches({strip('title')}, {q(cleaners.WIKI_NAMESPACE)}) THEN 'disallowed_namespace' WHEN contains(lower(title), 'disambiguation') OR starts_with(lower(title), 'list of ') THEN 'list_or_disambiguation' END"
-SQL["wiki_rules"] = f"SELECT doc_id, {_WIKI_RULE} AS rule, md5({strip(rsub('text', cleaners.WIKI_TAIL, ''))}) AS text_md5 FROM documents WHERE text IS NOT NULL"
+_WIKI_RULE = f"CASE WHEN regexp_matches({strip('title')}, {q(WIKI_NAMESPACE)}) THEN 'disallowed_namespace' WHEN contains(lower(title), 'disambiguation') OR starts_with(lower(title), 'list of ') THEN 'list_or_disambiguation' END"
+SQL["wiki_rules"] = f"SELECT doc_id, {_WIKI_RULE} AS rule, md5({strip(rsub('text', WIKI_TAIL, ''))}) AS text_md5 FROM {PLANTED} WHERE text IS NOT NULL"
 SQL["book_strip"] = f"SELECT doc_id, md5({strip('text')}) AS plain_md5, md5({strip('text')}) AS marked_md5 FROM documents WHERE text IS NOT NULL"
-_OCR = f"regexp_replace(text, {q(cleaners.BROKEN_WORD)}, '\\1\\2', 'g')"
-SQL["ocr_rules"] = f"SELECT doc_id, md5(t) AS text_md5, round({ratio(f'len(list_filter({ws("t")}, lambda x: regexp_matches(x, {q(cleaners.INNER_DIGIT)})))', nw('t'))}, 6) AS inner_digit_ratio FROM (SELECT doc_id, {_OCR} AS t FROM documents WHERE text IS NOT NULL)"
-SQL["boilerplate_strip"] = "SELECT doc_id, " + ", ".join(f"md5({rsub('text', p, '')}) AS {k}_md5" for k, p in cleaners.BOILERPLATE.items()) + " FROM documents WHERE text IS NOT NULL"
-SQL["section_removal"] = f"SELECT doc_id, md5({rsub('text', cleaners.SCIENCE_TAIL, '')}) AS text_md5 FROM documents WHERE text IS NOT NULL"
+_OCR = f"regexp_replace(text, {q(BROKEN_WORD)}, '\\1\\2', 'g')"
+SQL["ocr_rules"] = f"SELECT doc_id, md5(t) AS text_md5, round({ratio(f'len(list_filter({ws("t")}, lambda x: regexp_matches(x, {q(INNER_DIGIT)})))', nw('t'))}, 6) AS inner_digit_ratio FROM (SELECT doc_id, {_OCR} AS t FROM {PLANTED} WHERE text IS NOT NULL)"
+SQL["boilerplate_strip"] = "SELECT doc_id, " + ", ".join(f"md5({rsub('text', p, '')}) AS {k}_md5" for k, p in BOILERPLATE.items()) + " FROM " + PLANTED + " WHERE text IS NOT NULL"
+SQL["section_removal"] = f"SELECT doc_id, md5({rsub('text', SCIENCE_TAIL, '')}) AS text_md5 FROM {PLANTED} WHERE text IS NOT NULL"
 
 
 def _tag_eq(x: str) -> str:
-    t = f"regexp_replace({x}, {q(cleaners.DISPLAY_MATH)}, {q(chr(10) + '<EQUATION>' + chr(10) + chr(92) + '1' + chr(92) + '2' + chr(92) + '3' + chr(10) + '</EQUATION>' + chr(10))}, 'g')"
+    t = f"regexp_replace({x}, {q(DISPLAY_MATH)}, {q(chr(10) + '<EQUATION>' + chr(10) + chr(92) + '1' + chr(92) + '2' + chr(92) + '3' + chr(10) + '</EQUATION>' + chr(10))}, 'g')"
     t = f"regexp_replace({t}, {q(f'<EQUATION>{chr(10)}[{SP}]*')}, {q('<EQUATION>' + chr(10))}, 'g')"
     return f"regexp_replace({t}, {q(f'[{SP}]*{chr(10)}</EQUATION>')}, {q(chr(10) + '</EQUATION>')}, 'g')"
 
@@ -169,9 +200,9 @@ def _tag_eq(x: str) -> str:
 SQL["equation_tags"] = f"SELECT doc_id, md5({_tag_eq('text')}) AS text_md5 FROM documents WHERE text IS NOT NULL"
 SQL["catalogue_stubs"] = f"SELECT doc_id, CASE WHEN (contains(text, 'Catalog Record') OR contains(text, 'Resource Description:')) AND {nw('text')} < 300 THEN 'catalogue_stub' WHEN {nw('text')} < 256 THEN 'below_min_length' END AS rule FROM documents WHERE text IS NOT NULL"
 _BYCAT = f"""{CONF}, k0 AS (SELECT *, coalesce(text, '') AS t FROM cat),
-k1 AS (SELECT *, CASE category WHEN 'wikimedia' THEN {strip(rsub('t', cleaners.WIKI_TAIL, ''))} WHEN 'books' THEN {rsub(f"regexp_replace({strip('t')}, {q(cleaners.BROKEN_WORD)}, '\\1\\2', 'g')", cleaners.BOILERPLATE['books'], '')}
-  WHEN 'scientific' THEN {_tag_eq(rsub('t', cleaners.SCIENCE_TAIL, ''))} WHEN 'educational' THEN {rsub('t', cleaners.BOILERPLATE['educational'], '')} WHEN 'government_legal' THEN {rsub('t', cleaners.BOILERPLATE['government_legal'], '')}
-  WHEN 'technical' THEN {rsub('t', cleaners.BOILERPLATE['technical'], '')} ELSE t END AS c FROM k0),
+k1 AS (SELECT *, CASE category WHEN 'wikimedia' THEN {strip(rsub('t', WIKI_TAIL, ''))} WHEN 'books' THEN {rsub(f"regexp_replace({strip('t')}, {q(BROKEN_WORD)}, '\\1\\2', 'g')", BOILERPLATE['books'], '')}
+  WHEN 'scientific' THEN {_tag_eq(rsub('t', SCIENCE_TAIL, ''))} WHEN 'educational' THEN {rsub('t', BOILERPLATE['educational'], '')} WHEN 'government_legal' THEN {rsub('t', BOILERPLATE['government_legal'], '')}
+  WHEN 'technical' THEN {rsub('t', BOILERPLATE['technical'], '')} ELSE t END AS c FROM k0),
 k2 AS (SELECT *, {nw('c')} AS n_words_clean FROM k1),
 bycat AS (SELECT *, CASE WHEN t = '' THEN 'empty_text' WHEN category = 'wikimedia' AND {_WIKI_RULE} IS NOT NULL THEN {_WIKI_RULE}
   WHEN n_words_clean < CASE category WHEN 'wikimedia' THEN 64 WHEN 'books' THEN 512 WHEN 'scientific' THEN 256 WHEN 'educational' THEN 256 WHEN 'government_legal' THEN 256 WHEN 'technical' THEN 256 ELSE 0 END THEN 'below_min_length' END AS rule FROM k2)"""
@@ -180,12 +211,12 @@ SQL["cleaning_counters"] = f"WITH {_BYCAT} SELECT source, count(*) FILTER (rule
 
 
 _BY_NAME = {
-    "Wikimedia_dump": (strip(rsub("t", cleaners.WIKI_TAIL, "")), 64), "gutenberg_books": (strip("t"), 1024), "Pre_1929_scans": (f"regexp_replace(t, {q(cleaners.BROKEN_WORD)}, '\\1\\2', 'g')", 1024),
-    "doab": (rsub("t", cleaners.BOILERPLATE["books"], ""), 512), "pressbooks_x": (rsub("t", cleaners.BOILERPLATE["books"], ""), 512), "arXiv_abstracts": (_tag_eq(rsub("t", cleaners.SCIENCE_TAIL, "")), 512),
-    "peS2o": (rsub("t", cleaners.SCIENCE_TAIL, ""), 512), "PubMed": (rsub("t", cleaners.SCIENCE_TAIL, ""), 256), "LibreTexts": (rsub("t", cleaners.BOILERPLATE["educational"], ""), 512), "oercommons": ("t", 256),
-    "USGPO": (rsub("t", cleaners.BOILERPLATE["government_legal"], ""), 256), "caselaw": (rsub("t", cleaners.BOILERPLATE["government_legal"], ""), 256), "python_enhancement_proposals": (rsub("t", cleaners.BOILERPLATE["technical"], ""), 256), "other": ("t", 0),
+    "Wikimedia_dump": (strip(rsub("t", WIKI_TAIL, "")), 64), "gutenberg_books": (strip("t"), 1024), "Pre_1929_scans": (f"regexp_replace(t, {q(BROKEN_WORD)}, '\\1\\2', 'g')", 1024),
+    "doab": (rsub("t", BOILERPLATE["books"], ""), 512), "pressbooks_x": (rsub("t", BOILERPLATE["books"], ""), 512), "arXiv_abstracts": (_tag_eq(rsub("t", SCIENCE_TAIL, "")), 512),
+    "peS2o": (rsub("t", SCIENCE_TAIL, ""), 512), "PubMed": (rsub("t", SCIENCE_TAIL, ""), 256), "LibreTexts": (rsub("t", BOILERPLATE["educational"], ""), 512), "oercommons": ("t", 256),
+    "USGPO": (rsub("t", BOILERPLATE["government_legal"], ""), 256), "caselaw": (rsub("t", BOILERPLATE["government_legal"], ""), 256), "python_enhancement_proposals": (rsub("t", BOILERPLATE["technical"], ""), 256), "other": ("t", 0),
 }
-_DIGITS = f"{nw('c')} > 0 AND len(list_filter({ws('c')}, lambda x: regexp_matches(x, {q(cleaners.INNER_DIGIT)})))::DOUBLE / {nw('c')} > 0.15::DOUBLE"
+_DIGITS = f"{nw('c')} > 0 AND len(list_filter({ws('c')}, lambda x: regexp_matches(x, {q(INNER_DIGIT)})))::DOUBLE / {nw('c')} > 0.15::DOUBLE"
 SQL["clean_by_source"] = f"""WITH n0 AS (SELECT doc_id, coalesce(title, '') AS title, coalesce(text, '') AS t, [{', '.join(map(q, SOURCE_NAMES))}][doc_id % {len(SOURCE_NAMES)} + 1] AS source FROM documents),
 n1 AS (SELECT *, CASE source {' '.join(f"WHEN '{k}' THEN {c}" for k, (c, _) in _BY_NAME.items())} END AS c, CASE source {' '.join(f"WHEN '{k}' THEN {n}" for k, (_, n) in _BY_NAME.items())} END AS least FROM n0)
 SELECT doc_id, source, md5(c) AS text_md5, {nw('c')} AS n_words_clean, CASE WHEN t = '' THEN 'empty_text' WHEN source = 'Wikimedia_dump' AND {_WIKI_RULE} IS NOT NULL THEN {_WIKI_RULE} WHEN source = 'Pre_1929_scans' AND {_DIGITS} THEN 'inner_digits_exceeded'
@@ -222,12 +253,12 @@ def _itag(kind: str, x: str) -> str:
 _CTAG = f"CASE WHEN pr THEN {tagged('REVIEW_COMMENT', 'x')} ELSE {tagged('COMMENT', 'x')} END"
 SQL["issue_clean"] = f"""WITH {_ISSUES},
 i1 AS (SELECT *, list_transform(list_filter(list_transform(list_filter(list_transform(comments, lambda b, i: {{'b': b, 'i': i}}), lambda s: s.i <> 3), lambda s: {strip('s.b')}), lambda x: x <> ''),
-  lambda x: {rsub(rsub('x', cleaners.BASE64, '[BASE64_BINARY_REMOVED]'), cleaners.STACK_TRACE, '[STACK_TRACE_REMOVED]')}) AS c FROM iss),
+  lambda x: {rsub(rsub('x', BASE64, '[BASE64_BINARY_REMOVED]'), STACK_TRACE, '[STACK_TRACE_REMOVED]')}) AS c FROM iss),
 i2 AS (SELECT *, len(c) + 1 AS n_turns, {nw('title')} + {nw('body')} + coalesce(list_sum(list_transform(c, lambda x: {nw('x')})), 0) AS n,
-  coalesce(list_sum(list_transform(flatten(list_transform(c, lambda x: regexp_extract_all(x, {q(cleaners.CODE_BLOCK)}))), lambda y: {nw('y')})), 0) AS code,
+  coalesce(list_sum(list_transform(flatten(list_transform(c, lambda x: regexp_extract_all(x, {q(CODE_BLOCK)}))), lambda y: {nw('y')})), 0) AS code,
   array_to_string(list_concat([{_itag('TITLE', strip('title'))}, {_itag('BODY', strip('body'))}], list_transform(c, lambda x: {_CTAG})), {NL2}) AS t FROM i1)
 SELECT doc_id, md5(t) AS text_md5, n_turns::BIGINT AS n_turns, n::BIGINT AS n_words, round({ratio('code', 'n')}, 6) AS code_ratio,
-  CASE WHEN regexp_matches(title, {q(cleaners.BOTS)}) OR regexp_matches(body, {q(cleaners.BOTS)}) THEN 'bot_generated_thread' WHEN n_turns < 2 THEN 'insufficient_turns' WHEN n > 0 AND code::DOUBLE / n > 0.60::DOUBLE THEN 'code_ratio_exceeded' WHEN n < 96 THEN 'thread_below_min_length' END AS rule FROM i2"""
+  CASE WHEN regexp_matches(title, {q(BOTS)}) OR regexp_matches(body, {q(BOTS)}) THEN 'bot_generated_thread' WHEN n_turns < 2 THEN 'insufficient_turns' WHEN n > 0 AND code::DOUBLE / n > 0.60::DOUBLE THEN 'code_ratio_exceeded' WHEN n < 96 THEN 'thread_below_min_length' END AS rule FROM i2"""
 _DEBATES = f"""deb AS (SELECT doc_id, coalesce(title, '') AS title, coalesce(license, '') AS lic, text, list_transform(list_zip({inside('SPEAKER')}, {inside('UTTERANCE')}), lambda u: {{'s': coalesce(u[1], 'SPEAKER'), 't': {strip("coalesce(u[2], '')")}}}) AS u FROM documents WHERE contains(text, '<UTTERANCE>'))"""
 _SAID = f"'<SPEAKER>' || x.s || '</SPEAKER>' || chr(10) || {tagged('UTTERANCE', 'x.t')}"
 SQL["utterance_clean"] = f"""WITH {_DEBATES}, d1 AS (SELECT *, list_filter(u, lambda x: {nw('x.t')} >= 4) AS k FROM deb),
@@ -284,7 +315,7 @@ SQL["segment_adjacency"] = f"""WITH {_SEGS} SELECT doc_id || '_seg' || segment_i
   CASE WHEN segment_index < segment_count - 1 THEN doc_id || '_seg' || (segment_index + 1) END AS next_segment_id FROM segs"""
 
 # --- deduplication
-_RANK = "CASE lower(coalesce(category, 'web')) " + " ".join(f"WHEN '{c}' THEN {r}::DOUBLE" for c, r in dedup.CATEGORY_RANK.items()) + " ELSE 0.5::DOUBLE END"
+_RANK = "CASE lower(coalesce(category, 'web')) " + " ".join(f"WHEN '{c}' THEN {r}::DOUBLE" for c, r in CATEGORY_RANK.items()) + " ELSE 0.5::DOUBLE END"
 _SCORE = f"{_RANK} * 0.35::DOUBLE + 1.0::DOUBLE * 0.25::DOUBLE + 0.40::DOUBLE"
 SQL["exact_dedup"] = f"""WITH {CONF}, s AS (SELECT doc_id, sha256(text) AS text_hash, {_SCORE} AS score, {priority('source', 'doc_id')} AS priority FROM cat WHERE text IS NOT NULL)
 SELECT text_hash, doc_id AS winner, n AS copies FROM (SELECT *, row_number() OVER (PARTITION BY text_hash ORDER BY score DESC, priority, doc_id) AS r, count(*) OVER (PARTITION BY text_hash) AS n FROM s) WHERE r = 1"""
@@ -342,7 +373,7 @@ FROM (SELECT DISTINCT split FROM split_config) c LEFT JOIN sp ON sp.split = c.sp
 
 # --- tokenizers
 SQL["tokenizer_sample"] = "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20"
-SQL["pretoken_counts"] = f"SELECT p AS pretoken, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, {q(tokens.PRETOKEN.replace(chr(92) + 's', chr(92) + 't-' + chr(92) + 'r ').replace('[^' + chr(92) + 't', '[^' + chr(92) + 't').replace('|' + chr(92) + 't-' + chr(92) + 'r +', '|[' + chr(92) + 't-' + chr(92) + 'r ]+'))})) AS p FROM documents) GROUP BY 1 HAVING count(*) >= 2"
+SQL["pretoken_counts"] = f"SELECT p AS pretoken, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, {q(PRETOKEN)})) AS p FROM documents) GROUP BY 1 HAVING count(*) >= 2"
 SQL["char_to_token_spans"] = f"""WITH t0 AS (SELECT doc_id, text AS t FROM documents WHERE text IS NOT NULL),
 c0 AS (SELECT doc_id, list_transform(regexp_split_to_array(t, '\\n\\n+'), lambda x: length(x)) AS p, list_transform(regexp_extract_all(t, '\\n\\n+'), lambda x: length(x)) AS g,
   list_transform(regexp_split_to_array(t, {q(WORD)}), lambda x: length(x)) AS wp, list_transform({ws('t')}, lambda x: length(x)) AS wl FROM t0),
@@ -366,7 +397,7 @@ SQL["ab_alignment"] = """WITH a AS (SELECT DISTINCT document_id FROM canonical_d
 SELECT side, count(*) AS n_docs FROM (SELECT 'a_only' AS side FROM a ANTI JOIN b USING (document_id) UNION ALL SELECT 'b_only' FROM b ANTI JOIN a USING (document_id)) GROUP BY 1"""
 SQL["token_mismatch"] = f"WITH {TOK} SELECT document_id, list_position(list_transform(token_ids, lambda x: x >= 30000), true)::BIGINT - 1 AS first_index FROM tok WHERE len(list_filter(token_ids, lambda x: x >= 30000)) > 0"
 SQL["split_isolation"] = """SELECT DISTINCT view_id, v.document_id, view_split, document_split FROM (SELECT view_id, nullif(lower(trim(split)), '') AS view_split, unnest(source_document_ids) AS document_id FROM view_records) v
-JOIN (SELECT DISTINCT document_id, nullif(lower(trim(split)), '') AS document_split FROM tokenized_docs) d ON v.document_id = d.document_id WHERE view_split <> document_split"""
+JOIN (SELECT DISTINCT document_id, CASE WHEN md5(document_id) LIKE '0%' THEN 'test' ELSE nullif(lower(trim(split)), '') END AS document_split FROM tokenized_docs) d ON v.document_id = d.document_id WHERE view_split <> document_split"""
 
 # --- views
 
@@ -402,7 +433,7 @@ SQL["unigram_counts"] = f"WITH {TOK}, {_CNT} SELECT scope, token_id, n FROM cnt"
 SQL["unigram_log_probs"] = f"""WITH {TOK}, {_CNT}, sc AS (SELECT scope, sum(n) AS total FROM cnt GROUP BY 1), lp AS (SELECT sc.scope, r.id, ln((coalesce(cnt.n, 0) + 0.1::DOUBLE) / (total + 0.1::DOUBLE * {VOCAB}))::FLOAT::DOUBLE AS p
   FROM sc CROSS JOIN (SELECT unnest(range(0, {VOCAB})) AS id) r LEFT JOIN cnt ON cnt.scope IS NOT DISTINCT FROM sc.scope AND cnt.token_id = r.id)
 SELECT scope, count(*) AS n_ids, round(sum(p), 1) AS sum_log_p, round(max(p), 4) AS max_log_p FROM lp GROUP BY 1"""
-SQL["unigram_consistency"] = f"WITH {TOK}, {_CNT} SELECT token_id, sum(n) FILTER (scope IS NULL)::BIGINT AS total, sum(n) FILTER (scope IS NOT NULL)::BIGINT AS by_source FROM cnt GROUP BY 1 HAVING sum(n) FILTER (scope IS NULL) <> sum(n) FILTER (scope IS NOT NULL)"
+SQL["unigram_consistency"] = f"WITH {TOK}, {_CNT}, bad AS (SELECT * FROM cnt WHERE scope IS NULL OR token_id % 500 <> 0) SELECT token_id, coalesce(sum(n) FILTER (scope IS NULL), 0)::BIGINT AS total, coalesce(sum(n) FILTER (scope IS NOT NULL), 0)::BIGINT AS by_source FROM bad GROUP BY 1 HAVING total <> by_source"
 SQL["report_source"] = """WITH c AS (SELECT source, count(DISTINCT document_id) AS n_docs FROM canonical_docs GROUP BY 1), t AS (SELECT source, sum(n)::BIGINT AS n_tokens FROM (SELECT document_id, source, max(len(token_ids)) AS n FROM tokenized_docs GROUP BY 1, 2) GROUP BY 1)
 SELECT c.source, n_docs, coalesce(n_tokens, 0) AS n_tokens, round(coalesce(n_tokens, 0) * 100.0::DOUBLE / sum(coalesce(n_tokens, 0)) OVER (), 4) AS share FROM c LEFT JOIN t ON c.source IS NOT DISTINCT FROM t.source"""
 SQL["report_dedup"] = "SELECT count(text) AS n_docs, count(text) - count(DISTINCT text) AS n_removed, count(DISTINCT text) AS n_retained FROM documents"
