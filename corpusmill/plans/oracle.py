@@ -116,10 +116,14 @@ kept AS (SELECT s5.* FROM s5 LEFT JOIN e USING (source) WHERE fin IS NULL OR doc
 SQL["bounded_scan_kept"] = f"WITH {_SCAN} SELECT doc_id, source, n AS n_tokens, status FROM kept WHERE status IN ('balanced', 'probe')"
 SQL["bounded_scan_counters"] = f"""WITH {_SCAN} SELECT source, count(*) AS scanned, count(*) FILTER (status = 'balanced') AS balanced, sum(CASE WHEN status = 'balanced' THEN n ELSE 0 END)::BIGINT AS tokens,
   count(*) FILTER (status = 'probe') AS probes, count(*) FILTER (status = 'oversized') AS oversized, coalesce(max(why), 'source_exhausted') AS stop_reason FROM kept GROUP BY 1"""
+_FULL = _SCAN.replace(f"share * {SCAN_WORDS} *", "share * 3000000000::BIGINT *").replace("run >= 5 ", "run >= 100 ")
+SQL["bounded_scan_full"] = f"WITH {_FULL} SELECT doc_id, source, n AS n_tokens, status FROM kept"
+SQL["bounded_scan_full_counters"] = SQL["bounded_scan_counters"].replace(_SCAN, _FULL)
 _POOL = f"""qt AS (SELECT source, floor(quota * 1.35::DOUBLE)::BIGINT AS pool FROM ({QUOTA.format(n=POOL_WORDS)})),
 p AS (SELECT doc_id, lower(trim(d.source)) AS source, {priority('d.source', 'doc_id')} AS priority, {nw('text')} AS n_tokens, pool FROM documents d JOIN qt ON qt.source = lower(trim(d.source))),
 p2 AS (SELECT *, (sum(n_tokens) OVER (PARTITION BY source ORDER BY priority, doc_id ROWS UNBOUNDED PRECEDING) - n_tokens)::BIGINT AS before FROM p)"""
 SQL["select_pool"] = f"WITH {_POOL} SELECT doc_id, source, priority, n_tokens, before FROM p2 WHERE before < pool"
+SQL["select_pool_full"] = f"WITH {_POOL.replace(QUOTA.format(n=POOL_WORDS), QUOTA.format(n='3000000000::BIGINT'))} SELECT doc_id, source, priority, before FROM p2 WHERE before < pool"
 SQL["pool_counters"] = f"WITH {_POOL} SELECT source, count(*) AS n_docs, sum(n_tokens)::BIGINT AS n_tokens FROM p2 WHERE before < pool GROUP BY 1"
 SQL["raw_text_fallback"] = "SELECT DISTINCT document_id, coalesce(nullif(source_record_id, ''), document_id) AS record_id, md5(coalesce(nullif(normalized_text, ''), nullif(title, ''), '-')) AS text_md5 FROM canonical_docs"
 
@@ -328,6 +332,9 @@ fr AS (SELECT h, count(DISTINCT doc_id) AS documents FROM ph WHERE h IS NOT NULL
 SQL["paragraph_df"] = f"WITH {_FREQ} SELECT h AS paragraph_hash, documents FROM fr"
 SQL["paragraph_strip"] = f"""WITH {_FREQ}, st AS (SELECT doc_id, {strip("coalesce(string_agg(p, chr(10) ORDER BY i) FILTER (fr.h IS NULL AND p <> ''), '')")} AS t, count(fr.h) AS paragraphs_removed FROM ph LEFT JOIN fr USING (h) GROUP BY 1)
 SELECT doc_id AS document_id, md5(t) AS text_md5, paragraphs_removed, {nw('t')} < 64 AS too_short FROM st"""
+_FREQ50 = _FREQ.replace("chr(10))", "chr(10) || chr(10))").replace(">= 5 THEN", ">= 50 THEN")
+SQL["paragraph_df_long"] = SQL["paragraph_df"].replace(_FREQ, _FREQ50)
+SQL["paragraph_strip_long"] = SQL["paragraph_strip"].replace(_FREQ, _FREQ50).replace("string_agg(p, chr(10) ORDER", "string_agg(p, chr(10) || chr(10) ORDER")
 _LW = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')"
 SQL["shingle_counts"] = f"SELECT doc_id, CASE WHEN len(w) >= 5 THEN len(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) ELSE 0 END::BIGINT AS n_shingles FROM (SELECT doc_id, {_LW} AS w FROM documents)"
 _SHING = f"""sw AS (SELECT doc_id, {_LW} AS w FROM documents), ss AS (SELECT doc_id, list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM sw WHERE len(w) >= 5),
@@ -372,7 +379,7 @@ SQL["split_metrics"] = f"""WITH {_SPLIT} SELECT c.split, count(DISTINCT g) AS gr
 FROM (SELECT DISTINCT split FROM split_config) c LEFT JOIN sp ON sp.split = c.split GROUP BY 1"""
 
 # --- tokenizers
-SQL["tokenizer_sample"] = "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20"
+SQL["tokenizer_sample"] = "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5000"
 SQL["pretoken_counts"] = f"SELECT p AS pretoken, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, {q(PRETOKEN)})) AS p FROM documents) GROUP BY 1 HAVING count(*) >= 2"
 SQL["char_to_token_spans"] = f"""WITH t0 AS (SELECT doc_id, text AS t FROM documents WHERE text IS NOT NULL),
 c0 AS (SELECT doc_id, list_transform(regexp_split_to_array(t, '\\n\\n+'), lambda x: length(x)) AS p, list_transform(regexp_extract_all(t, '\\n\\n+'), lambda x: length(x)) AS g,
@@ -415,6 +422,16 @@ _A, _B = shifted("s", 512)
 SQL["causal_shift_mask"] = f"""WITH {TOK}, v0 AS (SELECT document_id, list_concat([0], token_ids, [1]) AS q FROM tok WHERE len(token_ids) > 0),
 v1 AS (SELECT document_id, q, unnest(range(0, (len(q) + 510) // 512)) AS w FROM v0), v AS (SELECT document_id, w, q[w * 512 + 1:w * 512 + 513] AS s FROM v1)
 SELECT document_id, w::BIGINT AS "window", md5({join_ids(_A)}) AS input_md5, md5({join_ids(_B)}) AS target_md5, len(s) - 1 AS n_loss, least(len(s), 512)::BIGINT AS n_attention FROM v"""
+_P, _ = shifted("s", 512)
+SQL["causal_packing"] = f"""WITH RECURSIVE {TOK}, k0 AS (SELECT document_id, split, token_ids, len(token_ids) AS n FROM tok WHERE len(token_ids) BETWEEN 1 AND 510),
+kg AS (SELECT split, greatest(1, ceil(count(*) / 4096.0))::BIGINT AS g FROM k0 GROUP BY 1),
+k1 AS (SELECT k0.*, {pick('group', 'g')} AS part FROM k0 JOIN kg USING (split)),
+k2 AS (SELECT *, row_number() OVER (PARTITION BY split, part ORDER BY document_id) AS i FROM k1),
+f AS (SELECT split, part, i, 0::BIGINT AS v, n + 2 AS used FROM k2 WHERE i = 1
+  UNION ALL SELECT k2.split, k2.part, k2.i, CASE WHEN used + k2.n + 2 > 513 THEN v + 1 ELSE v END, CASE WHEN used + k2.n + 2 > 513 THEN k2.n + 2 ELSE used + k2.n + 2 END FROM f JOIN k2 ON k2.split = f.split AND k2.part = f.part AND k2.i = f.i + 1),
+pk AS (SELECT k2.split, k2.part || '_' || v AS view, row_number() OVER (PARTITION BY k2.split, k2.part, v ORDER BY k2.i) AS place, k2.i, token_ids FROM k2 JOIN f USING (split, part, i)),
+v AS (SELECT split, view, count(*) AS n_docs, flatten(list(list_concat([CASE WHEN place = 1 THEN 0 ELSE 2 END], token_ids, [1]) ORDER BY i)) AS s FROM pk GROUP BY 1, 2)
+SELECT split, view, n_docs, md5({join_ids(_P)}) AS input_md5 FROM v"""
 _CROP = f"""cr AS (SELECT document_id, split, token_ids, len(token_ids) AS n, len(paragraph_token_spans) AS k, paragraph_token_spans AS ps FROM tok WHERE len(token_ids) >= 255),
 cs AS (SELECT *, CASE WHEN n >= 257 AND k > 0 AND {pick('coin', '100')} < 60 THEN ps[{pick('paragraph', 'greatest(k, 1)')} + 1].start WHEN n >= 257 THEN {pick('start', 'greatest(n - 256, 1)')} ELSE 0 END AS start_idx FROM cr),
 crop AS (SELECT *, token_ids[start_idx + 1:start_idx + 257] AS s FROM cs)"""
@@ -441,3 +458,4 @@ SQL["report_structure"] = "SELECT " + ", ".join(f"sum({k})::BIGINT AS {k}" for k
 SQL["report_tokenizer"] = f"WITH {TOK} SELECT count(*) AS n_docs, sum(len(token_ids))::BIGINT AS n_tokens, round(avg(len(token_ids)), 4) AS mean_tokens FROM tok"
 SQL["report_split"] = f"""WITH {TOK}, t AS (SELECT split, count(*) AS k, sum(coalesce(len(token_ids), 0))::BIGINT AS n FROM tok GROUP BY 1)
 SELECT split, coalesce(k, 0) AS n_docs, coalesce(n, 0) AS n_tokens, round(coalesce(n, 0)::DOUBLE / sum(coalesce(n, 0)) OVER (), 6) AS share, c.share AS target FROM (SELECT DISTINCT split, share FROM split_config) c FULL JOIN t USING (split)"""
+SQL["input_files"] = "SELECT 'documents.parquet' AS file, count(*) AS n_rows FROM documents"

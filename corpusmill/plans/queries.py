@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 #: Words of the bounded scan over all sources, and of the pools and quotas.
-SCAN_WORDS, POOL_WORDS = 20_000, 60_000
+SCAN_WORDS, POOL_WORDS, FULL_WORDS = 20_000, 60_000, 3_000_000_000
 SHARES = {"validation": 0.04, "test": 0.04, "trajectory_holdout": 0.02}
 VOCAB = 32_768
 #: Ends and titles that queries plant into documents, by the id, so that every rule has something to find.
@@ -158,6 +158,28 @@ def bounded_scan_counters(spark, d):
     return ingest.scan_counters(_scanned(spark, d))
 
 
+def _scanned_full(spark, d):
+    """The scan with the limits of a run of three billion tokens."""
+    src = docs(spark, d).withColumn("source", F.lower(F.trim("source")))
+    return ingest.bounded_scan(src, shares(spark, d), FULL_WORDS, idx="doc_id")
+
+
+@query
+def bounded_scan_full(spark, d):
+    return _scanned_full(spark, d).select("doc_id", "source", "n_tokens", "status")
+
+
+@query
+def bounded_scan_full_counters(spark, d):
+    return ingest.scan_counters(_scanned_full(spark, d))
+
+
+@query
+def select_pool_full(spark, d):
+    src = with_priority(docs(spark, d)).withColumn("source", F.lower(F.trim("source"))).withColumn("n_tokens", X.word_count("text").cast("long"))
+    return ingest.select_pool(src, identity.quotas(config(spark, d), FULL_WORDS), tie="doc_id").select("doc_id", "source", "priority", "before")
+
+
 def _pooled(spark, d):
     src = with_priority(docs(spark, d)).withColumn("source", F.lower(F.trim("source"))).withColumn("n_tokens", X.word_count("text").cast("long"))
     return ingest.select_pool(src, identity.quotas(config(spark, d), POOL_WORDS), tie="doc_id")
@@ -510,6 +532,18 @@ def paragraph_df(spark, d):
     return dedup.paragraph_frequency(_texts(spark, d), "document_id", "text", "\n", 5, 10)
 
 
+@query
+def paragraph_df_long(spark, d):
+    """Paragraphs of fifty words in ten documents."""
+    return dedup.paragraph_frequency(_texts(spark, d), "document_id", "text")
+
+
+@query
+def paragraph_strip_long(spark, d):
+    s = dedup.strip_frequent_paragraphs(_texts(spark, d), "document_id", "text")
+    return s.select("document_id", F.md5("stripped_text").alias("text_md5"), "paragraphs_removed", "too_short")
+
+
 @query
 def paragraph_strip(spark, d):
     s = dedup.strip_frequent_paragraphs(_texts(spark, d), "document_id", "text", "\n", 5, 10)
@@ -612,7 +646,7 @@ def split_metrics(spark, d):
 
 @query
 def tokenizer_sample(spark, d):
-    return tokens.sample_per_source(docs(spark, d), "source", "doc_id", 20).select("doc_id", "source")
+    return tokens.sample_per_source(docs(spark, d), "source", "doc_id").select("doc_id", "source")
 
 
 @query
