@@ -40,7 +40,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return repeated_lines.without_repeated_lines(table(spark, d, "canonical_docs"))
+    return repeated_lines.without_repeated_lines(table(spark, d, "canonical_docs")).withColumn("lines_removed", F.col("lines_removed").cast("long"))
 
 
 def p3_templates(spark: SparkSession, d: str) -> DataFrame:
@@ -151,6 +151,13 @@ WITH l AS (SELECT document_id, source, unnest(string_split(normalized_text, chr(
 w AS (SELECT document_id, source, line_no, lower(array_to_string(regexp_extract_all(line, '\p{L}+'), ' ')) AS t, len(regexp_extract_all(line, '\p{L}+')) AS n FROM l),
 r AS (SELECT source, t FROM w WHERE n >= 4 GROUP BY ALL HAVING count(DISTINCT document_id) >= 6)
 SELECT DISTINCT document_id, line_no::BIGINT AS line_no FROM w JOIN r USING (source, t)""",
+    "p3_cleaned": r"""
+WITH d AS (SELECT DISTINCT document_id, source, normalized_text AS t FROM canonical_docs),
+l AS (SELECT document_id, source, t, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
+w AS (SELECT *, lower(array_to_string(regexp_extract_all(line, '\p{L}+'), ' ')) AS x, len(regexp_extract_all(line, '\p{L}+')) AS n FROM l),
+r AS (SELECT source, x FROM w WHERE n >= 4 AND source IS NOT NULL AND document_id IS NOT NULL GROUP BY ALL HAVING count(DISTINCT document_id) >= 6),
+c AS (SELECT document_id, w.source AS source, t, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (r.x IS NULL), '') AS clean_text, count(r.x) AS lines_removed FROM w LEFT JOIN r ON r.source = w.source AND r.x = w.x AND n >= 4 GROUP BY ALL)
+SELECT document_id, source, clean_text, lines_removed FROM c UNION ALL SELECT document_id, source, NULL, 0 FROM d WHERE t IS NULL""",
     "p5_found": rf"""
 WITH c AS (SELECT {_norm('name')} AS source, min(coalesce(share, quota_3b_tokens / 3000000000.0)) AS share, min(coalesce(max_repeats, 1)) AS r FROM source_config GROUP BY 1),
 d AS (SELECT document_id, {_norm('source')} AS source, max(coalesce(len(regexp_extract_all(normalized_text, '[^\t-\r\x1c-\x1f \x85\p{{Z}}]+')), 0)) AS n FROM canonical_docs GROUP BY ALL),
