@@ -6,7 +6,8 @@ stays whole.
 
 Scale: only (id, size) pairs are packed. They are dealt by hash into groups of a bounded number of items per
 split; each group is one task-local search, so no split is ever one task, and a group loses about a record.
-Token ids are joined back by record, and a record is bounded by its capacity.
+Token ids stay where they are until the records are known: copies are told apart by a hash, and each array then moves to
+its record, which is bounded by its capacity.
 
 Search: the largest remaining document opens a record; its undominated completions are enumerated, those
 with the least waste first; a branch is cut when its waste exceeds what still beats the incumbent. The
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.related_splits import split_label
-from corpusmill.session import blank_to_null, written
+from corpusmill.session import blank_to_null, broadcast_if_small, written
 
 CAPACITY, BOS, EOS, DOC = 512, 0, 1, 2
 #: Ids that every document in a record costs besides its own.
@@ -182,26 +183,29 @@ def bin_completion(item_sizes: list[int], capacity: int = CAPACITY, max_nodes: i
     return [[by_size[s].pop() for s in rec] for rec in best]
 
 
+def _rows(df: DataFrame) -> DataFrame:
+    """(item, document_id, split, token_ids, n, h) of the rows that have ids. Null ids within become -1. item is the document_id; rows
+    without one are told apart by their token ids, so none is lost."""
+    ids = F.transform("token_ids", lambda x: F.coalesce(x, F.lit(-1)))
+    d = df.select(F.col("document_id").cast("string").alias("document_id"), F.coalesce(split_label("split"), F.lit("none")).alias("split"), ids.alias("token_ids")).where(F.size("token_ids") > 0)
+    h = F.xxhash64("token_ids")
+    return d.select(F.coalesce("document_id", F.concat(F.lit("null:"), F.md5(F.array_join("token_ids", ",")))).alias("item"), "document_id", "split", "token_ids", F.size("token_ids").alias("n"), h.alias("h"))
+
+
 def items(df: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(item, document_id, split, piece, pieces, n, token_ids): what is to be packed, once per document_id.
+    """(item, document_id, split, h, piece, pieces, n): what is to be packed, once per document_id, without the ids.
 
-    Empty and null token_ids give no item; null ids within become -1. Rows written twice count once; where
-    copies differ, the smallest is taken. item is the document_id; rows without one are told apart by their
-    token ids, so none is lost.
+    Empty and null token_ids give no item. Rows written twice count once; where copies differ, the first by split, length and
+    hash h is taken.
     """
     room = capacity - FRAME
-    one = df.select(F.col("document_id").cast("string").alias("document_id"), F.coalesce(split_label("split"), F.lit("none")).alias("split"), F.transform("token_ids", lambda x: F.coalesce(x, F.lit(-1))).alias("token_ids"))
-    one = one.where(F.size("token_ids") > 0)
-    one = one.withColumn("item", F.coalesce("document_id", F.concat(F.lit("null:"), F.md5(F.array_join("token_ids", ",")))))
-    one = one.groupBy("item", "document_id").agg(F.min(F.struct("split", "token_ids")).alias("x")).select("item", "document_id", "x.*")
-    pieces = F.ceil(F.size("token_ids") / room).cast("int")
-    cut = one.withColumn("pieces", pieces).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    cut = cut.withColumn("token_ids", F.slice("token_ids", F.col("piece") * room + 1, F.lit(room)))
-    return cut.select("item", "document_id", "split", "piece", "pieces", F.size("token_ids").alias("n"), "token_ids")
+    one = _rows(df).groupBy("item", "document_id").agg(F.min(F.struct("split", "n", "h")).alias("x")).select("item", "document_id", "x.split", "x.h", F.col("x.n").alias("all"))
+    cut = one.withColumn("pieces", F.ceil(F.col("all") / room).cast("int")).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    return cut.select("item", "document_id", "split", "h", "piece", "pieces", F.least(F.lit(room), F.col("all") - F.col("piece") * room).alias("n"))
 
 
 def pack(df: DataFrame, capacity: int = CAPACITY, group_items: int = 4000, max_nodes: int = 12_000) -> DataFrame:
-    """(item, document_id, split, piece, pieces, n, token_ids, record, place): the record of each item and its place there.
+    """(item, document_id, split, h, piece, pieces, n, record, place): the record of each item and its place there.
 
     group_items is about the number of items that are packed together in one task. An empty df gives no rows.
     """
@@ -223,13 +227,22 @@ def pack(df: DataFrame, capacity: int = CAPACITY, group_items: int = 4000, max_n
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = keyed.repartition(tasks, "split", "group")
     placed = keyed.groupBy("split", "group").applyInPandas(solve, "item string, piece int, record string, place int")
-    return it.join(placed, ["item", "piece"]).select(it["*"], "record", "place")
+    return written(it.join(placed, ["item", "piece"]).select(it["*"], "record", "place"), "placed")
+
+
+def placed_ids(df: DataFrame, placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The placements with token_ids, those of the piece; a row that df has twice comes twice."""
+    room = capacity - FRAME
+    d = _rows(df).select("item", "h", F.col("token_ids").alias("ids")).join(broadcast_if_small(placed), ["item", "h"])
+    whole = F.when(F.col("pieces") == 1, F.col("ids")).otherwise(F.slice("ids", F.col("piece") * room + 1, F.lit(room)))
+    return d.select(*placed.columns, whole.alias("token_ids"))
 
 
-def records(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The packed items as view records: view_id, split, source_document_ids, input_token_ids, target_token_ids,
+def records(df: DataFrame, placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The items of df as they were packed, as view records: view_id, split, source_document_ids, input_token_ids, target_token_ids,
     loss_mask, attention_mask, pieces (the piece number of each document), padding. All arrays have `capacity` entries."""
-    rec = packed.groupBy("record", "split").agg(F.sort_array(F.collect_list(F.struct("place", "document_id", "piece", "token_ids"))).alias("x"))
+    packed = placed_ids(df, placed, capacity)
+    rec = packed.groupBy("record", "split").agg(F.sort_array(F.collect_set(F.struct("place", "document_id", "piece", "token_ids"))).alias("x"))  # a row written twice is one
     body = F.flatten(F.transform("x", lambda x: F.concat(F.array(F.when(x["place"] == 0, BOS).otherwise(DOC)), x["token_ids"], F.array(F.lit(EOS)))))
     rec = rec.select(F.col("record").alias("view_id"), "split", F.transform("x", lambda x: x["document_id"]).alias("source_document_ids"), F.transform("x", lambda x: x["piece"]).alias("pieces"), body.alias("seq"))
     n = F.size("seq")
@@ -248,14 +261,14 @@ def _text(ids: Column) -> Column:
     return F.concat(F.lit(","), F.array_join(ids, ",", "-1"), F.lit(","))
 
 
-def broken_items(views: DataFrame, packed: DataFrame) -> DataFrame:
-    """(view_id, document_id): documents that an earlier run lists in a view although they fit one record whole,
-    as the packer shows, but that do not stand there in order and without a gap.
+def broken_items(views: DataFrame, df: DataFrame, placed: DataFrame) -> DataFrame:
+    """(view_id, document_id): documents that an earlier run lists in a view although the packing of df keeps them whole
+    in one record, but that do not stand there in order and without a gap.
 
-    Ids are compared as packed: surrounding blanks and case do not matter. A document that views list but
+    Document ids are compared with case and surrounding blanks aside. A document that views list but
     nothing packed (empty, unknown) is no case.
     """
-    whole = packed.where("pieces = 1").select(blank_to_null("document_id").alias("key"), _text(F.col("token_ids")).alias("ids"))
+    whole = placed_ids(df, placed.where("pieces = 1 and record is not null")).select(blank_to_null("document_id").alias("key"), "token_ids")
     listed = views.select("view_id", "input_token_ids", F.explode(F.array_distinct("source_document_ids")).alias("document_id"))
-    listed = listed.select("view_id", "document_id", blank_to_null("document_id").alias("key"), _text(F.col("input_token_ids")).alias("input"))
-    return listed.join(whole, "key").where(~F.contains("input", "ids")).select("view_id", "document_id").distinct()
+    listed = listed.select("view_id", "document_id", blank_to_null("document_id").alias("key"), "input_token_ids")
+    return listed.join(whole, "key").where(~F.contains(_text(F.col("input_token_ids")), _text(F.col("token_ids")))).select("view_id", "document_id").distinct()

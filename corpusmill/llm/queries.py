@@ -28,11 +28,13 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return packing.broken_items(table(spark, d, "view_records"), packing.pack(table(spark, d, "tokenized_docs")))
+    docs = table(spark, d, "tokenized_docs")
+    return packing.broken_items(table(spark, d, "view_records"), docs, packing.pack(docs))
 
 
 def p2_records(spark: SparkSession, d: str) -> DataFrame:
-    return packing.records(packing.pack(table(spark, d, "tokenized_docs")))
+    docs = table(spark, d, "tokenized_docs")
+    return packing.records(docs, packing.pack(docs))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusmill.llm.packing import best_fit_decreasing, bin_completion, broken_items, lower_bound, pack, records
+from corpusmill.llm.packing import best_fit_decreasing, bin_completion, broken_items, lower_bound, pack, placed_ids, records
 
 SCHEMA = "document_id string, split string, token_ids array<int>, token_count int, record string, place int, item string"
 
@@ -63,8 +63,8 @@ def test_records_hold_every_token_in_order(spark):
     docs = {f"d{i}": [rng.randint(3, 999) for _ in range(rng.choice([1, 5, 100, 300, 510, 511, 1300]))] for i in range(60)}
     rows = [(d, rng.choice(["train", " TRAIN", "val", None, ""]), t) for d, t in docs.items()]
     rows += rows[:7] + [("empty", "train", []), ("null", "train", None)]
-    packed = pack(frame(spark, rows), group_items=20)
-    recs = records(packed).collect()
+    df = frame(spark, rows)
+    recs = records(df, pack(df, group_items=20)).collect()
     seen: dict = {}
     for r in recs:
         assert len(r["input_token_ids"]) == len(r["target_token_ids"]) == len(r["loss_mask"]) == len(r["attention_mask"]) == 512
@@ -81,12 +81,13 @@ def test_records_hold_every_token_in_order(spark):
 
 
 def test_rows_without_id_are_kept_and_splits_stay_apart(spark):
-    packed = pack(frame(spark, [(None, "train", [5, 6]), (None, "train", [7]), (None, "test", [7]), ("a", "test", [9, None])])).collect()
+    df = frame(spark, [(None, "train", [5, 6]), (None, "train", [7]), (None, "test", [7]), ("a", "test", [9, None])])
+    packed = placed_ids(df, pack(df)).dropDuplicates(["item"]).collect()
     assert len(packed) == 3 and {tuple(r["token_ids"]) for r in packed} == {(5, 6), (7,), (9, -1)}
-    assert pack(frame(spark, [])).count() == 0 and records(pack(frame(spark, []))).count() == 0
+    assert pack(frame(spark, [])).count() == 0 and records(frame(spark, []), pack(frame(spark, []))).count() == 0
 
 
 def test_broken_items(spark):
     docs = frame(spark, [("a", "train", [5, 6, 7]), ("b", "train", [8]), ("long", "train", list(range(600))), ("none", "train", [])])
     views = spark.createDataFrame([("v1", ["a", "b"], [0, 5, 6, 7, 1, 2, 8, 1]), ("v2", ["a", "b", "long"], [0, 5, 6, 1, 2, 18, 1]), ("v3", ["none", "zz"], [0]), ("v4", None, [0]), ("v1", ["a", "b"], [0, 5, 6, 7, 1, 2, 8, 1])], "view_id string, source_document_ids array<string>, input_token_ids array<int>")
-    assert {tuple(r) for r in broken_items(views, pack(docs)).collect()} == {("v2", "a"), ("v2", "b")}
+    assert {tuple(r) for r in broken_items(views, docs, pack(docs)).collect()} == {("v2", "a"), ("v2", "b")}
