@@ -110,44 +110,100 @@ def shingle_classes(df: DataFrame, id_col: str, text: str, n: int = SHINGLE) ->
     return written(sets, "sets"), written(members, "members")
 
 
-def similar_pairs(sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(a, b, similarity) of all pairs of representatives, a < b, with similarity of at least `least`; exact.
+def prefixes(sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(rep, n, s, i): the shingles s of each set's prefix, with the size n of the set and the place i among its shingles by rarity.
 
-    Prefix filtering: with shingles ordered by rarity, two sets that similar share one of their first
-    size - ceil(least x size) + 1. Common shingles come last, so those of boilerplate hardly ever make a
-    pair; sizes and the places of the shared shingle bound the overlap, and what is left is verified.
+    With shingles ordered by rarity, two similar sets share one of their first size - ceil(least x size) + 1. Common shingles
+    come last, so those of boilerplate hardly ever make a pair. Shingles of one set only come first in the order and match
+    nothing; they only shift the places of the others.
     """
     one = sets.select("rep", F.size("sh").alias("n"), F.explode("sh").alias("s"))
     freq = one.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
     ranked = one.join(freq, "s").where("f > 1").select("rep", "n", F.struct("f", "s").alias("x"))
-    # shingles of one set only come first in the order and match nothing; they only shift the places of the others
     ranked = ranked.groupBy("rep", "n").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     lone = F.col("n") - F.size("xs")
-    prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1 - lone
-    cand = ranked.where(prefix > 0).select("rep", "n", F.posexplode(F.transform(F.slice("xs", F.lit(1), prefix), lambda x: x["s"])).alias("i", "s"), lone.alias("lone"))
-    cand = written(cand.select("rep", "n", "s", (F.col("i") + F.col("lone")).alias("i")), "prefixes")
-    a, b = cand.select(*(F.col(c).alias(f"{c}_a") for c in cand.columns)), cand.select(*(F.col(c).alias(f"{c}_b") for c in cand.columns))
+    size = F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1 - lone
+    cand = ranked.where(size > 0).select("rep", "n", F.posexplode(F.transform(F.slice("xs", F.lit(1), size), lambda x: x["s"])).alias("i", "s"), lone.alias("lone"))
+    return written(cand.select("rep", "n", "s", (F.col("i") + F.col("lone")).alias("i")), "prefixes")
+
+
+def _sides(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return cand.select(*(F.col(c).alias(f"{c}_a") for c in cand.columns)), cand.select(*(F.col(c).alias(f"{c}_b") for c in cand.columns))
+
+
+def _may_be_similar(least: float) -> Column:
+    """Whether the sizes, and the places of the shared shingle, leave room for the similarity."""
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     rest = F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))  # the most they can share from here on
     need = (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-9
-    pairs = a.join(b, (F.col("s_a") == F.col("s_b")) & (F.col("rep_a") < F.col("rep_b")) & (small >= large * least - 1e-9))
-    pairs = pairs.where(F.least(F.col("i_a"), F.col("i_b")) + rest >= need).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+    return (small >= large * least - 1e-9) & (F.least(F.col("i_a"), F.col("i_b")) + rest >= need)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(a, b, similarity) of the pairs (a, b) whose sets are similar."""
     full = sets.select(F.col("rep").alias("a"), F.col("sh").alias("sa"))
     other = sets.select(F.col("rep").alias("b"), F.col("sh").alias("sb"))
     out = pairs.join(full, "a").join(other, "b").withColumn("similarity", jaccard(F.col("sa"), F.col("sb")))
     return out.where(F.col("similarity") >= least).select("a", "b", "similarity")
 
 
+def similar_pairs(sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(a, b, similarity) of all pairs of representatives, a < b, with similarity of at least `least`; exact, by prefix filtering.
+
+    This is the similarity join: k texts that are all similar to each other give all their pairs. near_duplicates does without them.
+    """
+    a, b = _sides(prefixes(sets, least))
+    pairs = a.join(b, (F.col("s_a") == F.col("s_b")) & (F.col("rep_a") < F.col("rep_b")) & _may_be_similar(least))
+    return verified(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), sets, least)
+
+
+def similar_clusters(sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(rep, cluster) of the sets that are connected by similarity with another; exact, without all pairs of a cluster.
+
+    First each set is compared with one hub per shingle of its prefix, the smallest set that has it: a star, not all pairs. What
+    these links connect is one part. Then sets of different parts are compared, where they share a shingle of their prefixes:
+    parts that share one are joined first, and then their members, so members of one part never meet.
+    """
+    cand = prefixes(sets, least)
+    hub = cand.groupBy("s").agg(F.min(F.struct("rep", "n", "i")).alias("x"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("s").alias("s_a"), F.col("x.rep").alias("rep_a"), F.col("x.n").alias("n_a"), F.col("x.i").alias("i_a"))
+    star = hub.join(_sides(cand)[1], (F.col("s_a") == F.col("s_b")) & (F.col("rep_a") < F.col("rep_b")) & _may_be_similar(least))
+    links = written(verified(star.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), sets, least).select("a", "b"), "stars")
+    part = written(connected_components(links, "a", "b"), "parts")
+    marked = cand.join(part.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("part", F.coalesce("component", "rep")).drop("component")
+    mixed = marked.groupBy("s").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("s")
+    marked = written(marked.join(mixed, "s", "left_semi"), "marked")
+    there = marked.select("s", "part").distinct()
+    pa, pb = _sides(there)
+    met = pa.join(pb, (F.col("s_a") == F.col("s_b")) & (F.col("part_a") < F.col("part_b"))).select(F.col("s_a").alias("s"), "part_a", "part_b")
+    a, b = _sides(marked)
+    pairs = met.join(a, (F.col("s") == F.col("s_a")) & (met["part_a"] == a["part_a"])).drop(a["part_a"]).join(b, (F.col("s") == F.col("s_b")) & (met["part_b"] == b["part_b"]))
+    pairs = pairs.where(_may_be_similar(least)).select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+    more = written(verified(pairs, sets, least).select("a", "b"), "links")
+    if not more.isEmpty():
+        # parts as nodes: what the later links connect
+        name = lambda c, as_: part.select(F.col("node").alias(c), F.col("component").alias(as_))
+        edges = more.join(name("a", "pa"), "a", "left").join(name("b", "pb"), "b", "left").select(F.coalesce("pa", "a").alias("a"), F.coalesce("pb", "b").alias("b"))
+        last = written(connected_components(edges, "a", "b"), "joined")
+        alone = more.select(F.col("a").alias("rep")).unionByName(more.select(F.col("b").alias("rep"))).distinct().join(part.select(F.col("node").alias("rep")), "rep", "left_anti")
+        ends = part.select(F.col("node").alias("rep"), F.col("component").alias("part")).unionByName(alone.select("rep", F.col("rep").alias("part")))
+        return ends.join(last.select(F.col("node").alias("part"), "component"), "part", "left").select("rep", F.coalesce("component", "part").alias("cluster"))
+    return part.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+
+
 def near_duplicates(df: DataFrame, id_col: str, text: str, n: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
-    """(document_id, class_id, links, cluster): one row per document with its copies' class, the number of other classes
-    similar to that, and the smallest document of all those connected."""
+    """(document_id, class_id, cluster): one row per document with its copies' class, and the smallest document of all those
+    connected by similarity."""
     sets, members = shingle_classes(df, id_col, text, n)
-    pairs = written(similar_pairs(sets, least), "pairs")
-    ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a")))
-    links = ends.groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
-    comp = connected_components(pairs, "a", "b").select(F.col("node").alias("rep"), "component")
-    out = members.join(links, "rep", "left").join(comp, "rep", "left")
-    return out.select("document_id", F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("cluster"))
+    out = members.join(similar_clusters(sets, least), "rep", "left")
+    return out.select("document_id", F.col("rep").alias("class_id"), F.coalesce("cluster", "rep").alias("cluster"))
+
+
+def class_links(df: DataFrame, id_col: str, text: str, n: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
+    """(class_id, links): the number of other classes similar to each class."""
+    sets, members = shingle_classes(df, id_col, text, n)
+    pairs = written(similar_pairs(sets, least).select("a", "b"), "pairs")
+    links = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("rep")).agg(F.count(F.lit(1)).alias("links"))
+    return members.select("rep").distinct().join(links, "rep", "left").select(F.col("rep").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
 # --- MinHash, for candidates where an approximate answer will do
@@ -180,14 +236,35 @@ def minhash(df: DataFrame, id_col: str, text: str, n: int = SHINGLE, permutation
     return d.mapInArrow(run, f"document_id {id_type}, signature array<bigint>")
 
 
+def band_keys(signatures: DataFrame, bands: int = BANDS) -> DataFrame:
+    """(document_id, band, key): the bucket of each document in each band."""
+    rows = F.size("signature") / bands
+    return signatures.select("document_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.md5(F.array_join(F.transform(F.slice("signature", (i * rows + 1).cast("int"), rows.cast("int")), lambda x: x.cast("string")), ",")))).alias("band", "key"))
+
+
 def band_links(signatures: DataFrame, bands: int = BANDS) -> DataFrame:
     """(a, b): each document of a band's bucket linked to the smallest there; a star per bucket, never all its pairs."""
-    rows = F.size("signature") / bands
-    d = signatures.select("document_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.slice("signature", (i * rows + 1).cast("int"), rows.cast("int"))))).alias("band", "key"))
+    d = band_keys(signatures, bands)
     hub = d.groupBy("band", "key").agg(F.min("document_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return d.join(hub, ["band", "key"]).where("document_id <> a").select("a", F.col("document_id").alias("b")).distinct()
 
 
+def lsh_links(df: DataFrame, id_col: str, text: str, n: int = 20, least: float = 0.90, rounds: int = 3) -> DataFrame:
+    """(a, b, similarity) of links found by MinHash and verified: in each bucket of a band all are compared with its smallest; those
+    that are not similar to it are put together again, up to `rounds` times. Approximate; exact is similar_pairs."""
+    sets, members = shingle_classes(df, id_col, text, n)
+    d = df.join(sets.select(F.col("rep").alias(id_col)), id_col, "left_semi")  # one document of each class
+    left = written(band_keys(minhash(d, id_col, text, n)), "bands")
+    out = None
+    for _ in range(rounds):
+        hub = left.groupBy("band", "key").agg(F.min("document_id").alias("a"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+        met = written(left.join(hub, ["band", "key"]).where("document_id <> a"), "met")
+        good = written(verified(met.select("a", F.col("document_id").alias("b")).distinct(), sets, least), "verified")
+        out = good if out is None else out.unionByName(good)
+        left = written(met.join(good.select("a", F.col("b").alias("document_id")), ["a", "document_id"], "left_anti").drop("a"), "bands")
+    return out.distinct()
+
+
 def family_groups(members: DataFrame, group: str, edge_key: str) -> DataFrame:
     """(group, family): groups that share a value of edge_key belong to one family, named by its smallest group."""
     hub = members.groupBy(edge_key).agg(F.min(group).alias("hub"))

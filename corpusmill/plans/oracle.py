@@ -345,7 +345,8 @@ _CLUST = f"""RECURSIVE {_SHING}, ed AS (SELECT a, b FROM pr UNION SELECT b, a FR
 mem AS (SELECT d.doc_id, coalesce(rp.rep, d.doc_id) AS class_id FROM documents d LEFT JOIN ss ON ss.doc_id = d.doc_id LEFT JOIN rp ON rp.s = ss.s),
 lk AS (SELECT a, count(*) AS links FROM ed GROUP BY 1), cp AS (SELECT a, least(a, min(b)) AS c FROM rc GROUP BY 1),
 near AS (SELECT mem.doc_id AS document_id, class_id, coalesce(links, 0) AS links, coalesce(c, class_id) AS cluster FROM mem LEFT JOIN lk ON lk.a = class_id LEFT JOIN cp ON cp.a = class_id)"""
-SQL["fuzzy_clusters"] = f"WITH {_CLUST} SELECT document_id, class_id, links, cluster FROM near"
+SQL["fuzzy_clusters"] = f"WITH {_CLUST} SELECT document_id, class_id, cluster FROM near"
+SQL["fuzzy_links"] = f"WITH {_CLUST} SELECT DISTINCT class_id, links FROM near"
 SQL["fuzzy_dedup"] = f"""WITH {_CLUST}, {CONF}, s AS (SELECT doc_id AS document_id, {_SCORE} AS score, {priority('source', 'doc_id')} AS priority FROM cat)
 SELECT cluster, document_id AS winner, n AS n_docs FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, priority, document_id) AS r, count(*) OVER (PARTITION BY cluster) AS n FROM near JOIN s USING (document_id)) WHERE r = 1"""
 SQL["family_groups"] = """WITH RECURSIVE m AS (SELECT DISTINCT lower(trim(split_group_id)) AS g, md5(normalized_text) AS h FROM canonical_docs WHERE normalized_text IS NOT NULL AND split_group_id IS NOT NULL),

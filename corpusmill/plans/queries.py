@@ -570,6 +570,26 @@ def fuzzy_clusters(spark, d):
     return _near(spark, d)
 
 
+@query
+def fuzzy_links(spark, d):
+    return dedup.class_links(docs(spark, d), "doc_id", "text")
+
+
+@query
+def lsh_links(spark, d):
+    """Links of twenty-word shingles at a similarity of 0.9, by 16 bands of 8 rows."""
+    return dedup.lsh_links(docs(spark, d), "doc_id", "text").select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+@query
+def family_near(spark, d):
+    """Split groups that share near-duplicate texts are one family."""
+    c = _texts(spark, d)
+    near = written(dedup.near_duplicates(c, "document_id", "text"), "near")
+    g = table(spark, d, "canonical_docs").where("split_group_id is not null").select("document_id", F.lower(F.trim("split_group_id")).alias("g")).distinct()
+    return dedup.family_groups(near.join(g, "document_id").select("g", "cluster"), "g", "cluster")
+
+
 @query
 def fuzzy_dedup(spark, d):
     """The winner of each cluster, by category score, priority and id."""

@@ -131,8 +131,12 @@ def test_near_duplicates_against_all_pairs(spark):
     out = {r["document_id"]: r for r in dedup.near_duplicates(df, "id", "t").collect()}
     assert {d: r["class_id"] for d, r in out.items()} == cls
     deg = Counter(x for p in want for x in p)
-    assert all(r["links"] == deg[r["class_id"]] for r in out.values())
-    assert all(out[a]["cluster"] == out[b]["cluster"] for a, b in want) and out["none"]["cluster"] == "none"
+    assert {r["class_id"]: r["links"] for r in dedup.class_links(df, "id", "t").collect()} == {r: deg[r] for r in reps}
+    group = {r: r for r in reps}
+    for _ in reps:  # the smallest of all that are connected
+        for a, b in want:
+            group[a] = group[b] = min(group[a], group[b])
+    assert {d: r["cluster"] for d, r in out.items()} == {d: group[c] for d, c in cls.items()}
     assert dedup.near_duplicates(df.limit(0), "id", "t").count() == 0
 
 
@@ -145,6 +149,42 @@ def test_minhash_links_similar_documents(spark):
     assert all(a < b for a, b in links) and links
 
 
+def test_a_large_cluster_of_near_copies(spark):
+    """Copies that all differ, of one template, and two chains through it: no step has their pairs."""
+    own = F.concat_ws(" ", *(F.concat(F.lit(f"t{j}_"), F.lit("x")) for j in range(120)))
+    d = spark.range(20_000).select(F.col("id"), F.concat(own, F.lit(" own"), F.col("id")).alias("t"))
+    other = spark.range(20_000, 20_050).select(F.col("id"), F.concat_ws(" ", *(F.concat(F.lit(f"o{j}_"), (F.col("id") * 7 + j).cast("string")) for j in range(60))).alias("t"))
+    out = dedup.near_duplicates(d.unionByName(other), "id", "t")
+    assert [tuple(r) for r in out.groupBy("cluster").count().where("count > 1").collect()] == [(0, 20_000)] and out.count() == 20_050
+
+
+def test_lsh_links_are_similar_and_most_are_met(spark):
+    rng = random.Random(3)
+    docs = {}
+    for i in range(60):
+        w = [f"v{rng.randrange(500)}" for _ in range(200)]
+        for j in range(4):
+            v = list(w)
+            for _ in range(j % 2):
+                v[rng.randrange(len(v))] = "edit"
+            docs[i * 10 + j] = " ".join(v[: 200 - 2 * j])
+    df = spark.createDataFrame(list(docs.items()), "id long, t string")
+    sh = {d: {tuple(t.split()[k : k + 20]) for k in range(len(t.split()) - 19)} for d, t in docs.items()}
+    sim = lambda a, b: len(sh[a] & sh[b]) / len(sh[a] | sh[b])
+    got = {(r["a"], r["b"]): r["similarity"] for r in dedup.lsh_links(df, "id", "t").collect()}
+    assert all(abs(sim(a, b) - s) < 1e-9 and s >= 0.9 for (a, b), s in got.items())
+
+    def clusters(pairs):
+        g = {d: d for d in docs}
+        for _ in range(5):
+            for a, b in pairs:
+                g[a] = g[b] = min(g[a], g[b])
+        return {(a, b) for a in g for b in g if a < b and g[a] == g[b]}
+
+    want = clusters([(a, b) for a in docs for b in docs if a < b and sim(a, b) >= 0.9])
+    assert len(clusters(got) & want) >= 0.9 * len(want) and want
+
+
 def test_paragraphs_are_stripped_by_place(spark):
     para = words(50, "notice")
     df = spark.createDataFrame([(i, f"{para}\n\n{words(70, f'own{i}')}\n\n{para}") for i in range(10)] + [(99, words(70, "x"))], "id long, t string")
