@@ -91,3 +91,9 @@ def first_of(*cs: Column) -> Column:
 def ratio(a: Column, b: Column) -> Column:
     """a / b as a double; 0 where b is 0."""
     return F.when(b == 0, F.lit(0.0)).otherwise(a / b)
+
+
+def run_hashes(words: Column, n: int) -> Column:
+    """The hash of each n neighbouring elements of an array of strings, in order; none for a shorter array."""
+    run = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(n))))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.when(F.size(h) >= n, run(h)).otherwise(F.array().cast("array<bigint>")))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import let, strip
+from corpusmill.functions.text import let, run_hashes, strip
 from corpusmill.session import broadcast_if_small, written
 
 #: Words per shingle, least share of an item's shingles, least words of an item.
@@ -24,9 +24,8 @@ def _words(text: Column) -> Column:
 
 def shingle_hashes(text: Column, n: int = SHINGLE) -> Column:
     """Distinct hashes of the n-word shingles; a text of fewer words has one of all its words, one without words none."""
-    last = lambda ws: F.greatest(F.size(ws) - n + 1, F.lit(1))
-    cut = lambda ws: F.transform(F.sequence(F.lit(1), last(ws)), lambda i: F.xxhash64(F.array_join(F.slice(ws, i, n), " ")))
-    return let(_words(text), lambda ws: F.when(F.size(ws) > 0, F.array_distinct(cut(ws))).otherwise(F.array().cast("array<bigint>")))
+    short = lambda ws: F.when(F.size(ws) > 0, F.array(F.xxhash64(ws))).otherwise(F.array().cast("array<bigint>"))
+    return let(_words(text), lambda ws: F.when(F.size(ws) >= n, F.array_distinct(run_hashes(ws, n))).otherwise(short(ws)))
 
 
 def registry(benchmark: DataFrame) -> DataFrame:

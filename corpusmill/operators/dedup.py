@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import let, strip, word_count
+from corpusmill.functions.text import let, run_hashes, strip, word_count
 from corpusmill.operators.components import connected_components
 from corpusmill.session import broadcast_if_small, written
 
@@ -83,8 +83,9 @@ def shingles(text: Column, n: int = SHINGLE) -> Column:
 
 
 def shingle_hashes(text: Column, n: int = SHINGLE) -> Column:
-    """shingles as 64-bit hashes, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(shingles(text, n), lambda s: F.xxhash64(s))))
+    """shingles as 64-bit hashes of the hashes of their words, sorted."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_LETTERS), F.lit(0))
+    return F.sort_array(F.array_distinct(run_hashes(found, n)))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -869,4 +869,4 @@ def report_benchmark(spark, d):
 
 @query
 def input_files(spark, d):
-    return files.shards(table(spark, d, "documents"))
+    return files.shards(spark.read.parquet(f"{d}/documents.parquet"))

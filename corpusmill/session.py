@@ -15,9 +15,22 @@ from pyspark.sql import functions as F
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
+#: A table under this size is read as it is.
+SPREAD_BYTES = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of a data folder, read lazily (column pruning and filters reach the scan)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One table of a data folder, read lazily (column pruning and filters reach the scan), spread if need be."""
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if it is read in at most half as many parts: a file of one row group is else one task for all that
+    follows. A table of as many files as a cluster has cores is never shuffled by this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if is_small(df, SPREAD_BYTES) or 2 * df._jdf.rdd().getNumPartitions() > cores:
+        return df
+    return df.repartition(cores)
 
 
 def shared_dir(spark: SparkSession) -> str:
