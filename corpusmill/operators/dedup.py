@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import let, run_hashes, strip, word_count
+from corpusmill.functions.text import let, once, run_hashes, strip, word_count
 from corpusmill.operators.components import connected_components
 from corpusmill.session import broadcast_if_small, written
 
@@ -57,7 +57,7 @@ def paragraph_frequency(df: DataFrame, id_col: str, text: str, gap: str = "\n\n"
 
 def _paragraphs(df: DataFrame, id_col: str, text: str, gap: str, min_words: int) -> DataFrame:
     d = df.select(id_col, F.posexplode(F.split(text, gap)).alias("pos", "p")).withColumn("p", strip("p"))
-    return d.select(id_col, "pos", F.when(word_count("p") >= min_words, F.md5("p")).alias("paragraph_hash"))
+    return d.select(id_col, "pos", once(F.when(word_count("p") >= min_words, F.md5("p"))).alias("paragraph_hash"))
 
 
 def strip_frequent_paragraphs(df: DataFrame, id_col: str, text: str, gap: str = "\n\n", min_words: int = 50, min_docs: int = 10, least_words: int = 64) -> DataFrame:

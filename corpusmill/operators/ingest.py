@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.text import word_count
 from corpusmill.operators.running import even_buckets, running
+from corpusmill.session import broadcast_if_small, written
 
 OVERSAMPLE = 1.35
 LEAST_CAP = 2048
@@ -16,15 +17,17 @@ def bounded_scan(df: DataFrame, config: DataFrame, total: int, source: str = "so
     """df (only sources of config) with n_tokens, status, scanned and stop_reason, up to the row where each source stops.
 
     config: (source, share). Each source has a budget of total x share x 1.35 words and a cap on a single
-    text. Texts are taken in order of idx. status: blank, balanced, probe (the first text over the cap, kept apart) or oversized
+    text. Texts are taken in order of idx, which is unique within a source. status: blank, balanced, probe (the first text over the cap, kept apart) or oversized
     (skipped). A source stops after max_records balanced texts, at its budget, after max_scanned rows or after
     max_oversized skips without a balanced text between; stop_reason is set on that last row only.
     """
     budget = F.floor(F.col("share") * total * OVERSAMPLE).cast("long")
     cap = F.least(F.col("_budget"), F.greatest(F.lit(LEAST_CAP).cast("long"), F.floor(F.col("_budget") * 0.5).cast("long")))
     c = config.select(F.col("source").alias(source), budget.alias("_budget"))
+    # the texts stay out of the running sums: what they need is a few numbers a row
     d = df.join(F.broadcast(c), source).withColumn("_cap", cap).withColumn("n_tokens", word_count(text).cast("long"))  # a row per configured source
-    n, bucket = F.col("n_tokens"), even_buckets(df, idx)
+    d = written(d.select(source, idx, "n_tokens", "_budget", "_cap"), "sizes")
+    n, bucket = F.col("n_tokens"), even_buckets(d, idx)
     good, over = (n > 0) & (n <= F.col("_cap")), n > F.col("_cap")
     flag = lambda c: c.cast("long")
     d = running(d, source, bucket, [idx], {"_scan": ("sum", F.lit(1).cast("long")), "_over": ("sum", flag(over)), "_tok": ("sum", F.when(good, n).otherwise(0)), "_acc": ("sum", flag(good))})
@@ -46,8 +49,9 @@ def bounded_scan(df: DataFrame, config: DataFrame, total: int, source: str = "so
     d = d.withColumn("stop_reason", why)
     ends = d.where("stop_reason is not null").groupBy(F.col(source).alias("_s")).agg(F.min(idx).alias("_end"))
     d = d.join(F.broadcast(ends), F.col(source) == F.col("_s"), "left")
-    d = d.where(F.col("_end").isNull() | (F.col(idx) <= F.col("_end")))
-    return d.drop("_budget", "_cap", "_scan", "_over", "_tok", "_acc", "_skips", "_base", "_s", "_end")
+    d = d.where(F.col("_end").isNull() | (F.col(idx) <= F.col("_end"))).select(source, idx, "n_tokens", "status", "scanned", "stop_reason")
+    rest = df.select(*dict.fromkeys([source, idx, *(c for c in df.columns if c not in d.columns)]))
+    return rest.join(broadcast_if_small(written(d, "scanned")), [source, idx])
 
 
 def scan_counters(scanned: DataFrame, source: str = "source") -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import word_count
+from corpusmill.functions.text import once, word_count
 
 #: In Python's patterns \s is the white space of functions.text.SPACE.
 SENTENCE_GAP = r"(?<=[.!?])\s+(?=[A-Z0-9<])"
@@ -127,9 +127,9 @@ def segments(df: DataFrame, id_col: str = "doc_id", text: str = "text", most: in
 
     A text of at most `most` words is one segment, unchanged. Null and blank texts give none.
     """
-    d = df.withColumn("_n", word_count(text)).where("_n > 0")
+    d = df.withColumn("_n", once(word_count(text))).where("_n > 0")
     d = d.withColumn("_cut", packed_paragraphs(F.when(F.col("_n") > most, F.col(text)), target, least))  # only long texts leave the JVM
-    d = d.withColumn("_segs", F.when(F.col("_n") <= most, F.array(F.col(text))).otherwise(F.col("_cut")))
+    d = d.withColumn("_segs", once(F.when(F.col("_n") <= most, F.array(F.col(text))).otherwise(F.col("_cut"))))  # else a filter inferred from the explode runs it twice
     d = d.withColumn("segment_count", F.size("_segs")).select(*df.columns, "segment_count", F.posexplode("_segs").alias("segment_index", "segment_text"))
     name = lambda i: F.concat(F.col(id_col).cast("string"), F.lit("_seg"), i.cast("string"))
     i = F.col("segment_index")
