@@ -10,6 +10,7 @@ from corpusmill.operators.running import even_buckets, running
 
 # The patterns of what is stripped or rejected.
 WIKI_NAMESPACE = r"(?i)^(?:talk|user|wikipedia|file|mediawiki|template|help|category|portal|draft|timedtext|module|talk_page|disambiguation):"
+WIKI_PROJECTS = ("wikipedia", "wikibooks", "wikiversity", "wikivoyage", "wikinews")
 WIKI_TAIL = rf"(?is)\n==+[{SPACE}]*(?:References|External[{SPACE}]+links|Further[{SPACE}]+reading|Bibliography|Sources|See[{SPACE}]+also)[{SPACE}]*==+.*\z"
 BOOK_START = r"(?i)\*\*\*\s*START OF (?:THIS|THE) PROJECT GUTENBERG EBOOK[^\n]*?\*\*\*"
 BOOK_END = r"(?i)\*\*\*\s*END OF (?:THIS|THE) PROJECT GUTENBERG EBOOK[^\n]*?\*\*\*"
@@ -89,6 +90,11 @@ def wiki_title_rule(title: Column) -> Column:
     return F.when(strip(t).rlike(WIKI_NAMESPACE), "disallowed_namespace").when(F.contains(low, F.lit("disambiguation")) | low.startswith("list of "), "list_or_disambiguation")
 
 
+def wiki_project_rule(project: Column) -> Column:
+    """Breaks disallowed_project unless the project, case aside, is one of the kept ones; null counts as the encyclopedia."""
+    return F.when(~F.lower(F.coalesce(project, F.lit(WIKI_PROJECTS[0]))).isin(*WIKI_PROJECTS), "disallowed_project")
+
+
 def wiki_strip(text: Column) -> Column:
     """Without everything from the first heading of references, links or further reading on."""
     return strip(F.regexp_replace(text, WIKI_TAIL, ""))

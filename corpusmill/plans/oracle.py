@@ -187,7 +187,7 @@ SQL["web_rules"] = f"""WITH {_WEB}, w3 AS (SELECT *, CASE WHEN prose_paragraphs
 w4 AS (SELECT *, coalesce(sum(CASE WHEN r IS NULL AND t <> '' THEN len(w) ELSE 0 END) OVER (PARTITION BY host ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 1500 AS o FROM w3)
 SELECT doc_id, host, CASE WHEN t = '' THEN 'empty_text' WHEN o THEN 'hostname_quota_exceeded' ELSE r END AS rule FROM w4"""
 _WIKI_RULE = f"CASE WHEN regexp_matches({strip('title')}, {q(WIKI_NAMESPACE)}) THEN 'disallowed_namespace' WHEN contains(lower(title), 'disambiguation') OR starts_with(lower(title), 'list of ') THEN 'list_or_disambiguation' END"
-SQL["wiki_rules"] = f"SELECT doc_id, {_WIKI_RULE} AS rule, md5({strip(rsub('text', WIKI_TAIL, ''))}) AS text_md5 FROM {PLANTED} WHERE text IS NOT NULL"
+SQL["wiki_rules"] = f"SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN 'disallowed_project' ELSE {_WIKI_RULE} END AS rule, md5({strip(rsub('text', WIKI_TAIL, ''))}) AS text_md5 FROM {PLANTED} WHERE text IS NOT NULL"
 SQL["book_strip"] = f"SELECT doc_id, md5({strip('text')}) AS plain_md5, md5({strip('text')}) AS marked_md5 FROM documents WHERE text IS NOT NULL"
 _OCR = f"regexp_replace(text, {q(BROKEN_WORD)}, '\\1\\2', 'g')"
 SQL["ocr_rules"] = f"SELECT doc_id, md5(t) AS text_md5, round({ratio(f'len(list_filter({ws("t")}, lambda x: regexp_matches(x, {q(INNER_DIGIT)})))', nw('t'))}, 6) AS inner_digit_ratio FROM (SELECT doc_id, {_OCR} AS t FROM {PLANTED} WHERE text IS NOT NULL)"
@@ -442,8 +442,13 @@ _PS = f"ps0 AS (SELECT document_id, split, token_ids, [256, 512, 1024][{pick('pr
 SQL["prefix_suffix"] = f"WITH {TOK}, {_PS} SELECT document_id, prefix_len::BIGINT AS prefix_len, horizon::BIGINT AS horizon, md5({join_ids('token_ids[1:prefix_len]')}) AS input_md5, md5({join_ids('token_ids[prefix_len + 1:prefix_len + horizon]')}) AS target_md5 FROM ps"
 _BR = f"br0 AS (SELECT *, {pick('bridge', 'greatest(len(paragraph_token_spans) - 2, 1)')} + 1 AS p_idx FROM tok WHERE len(paragraph_token_spans) >= 3), br AS (SELECT *, paragraph_token_spans[p_idx + 1] AS p FROM br0)"
 SQL["bridge_mask"] = f"""WITH {TOK}, {_BR} SELECT document_id, p_idx::BIGINT AS p_idx, md5({join_ids("list_concat(token_ids[1:p.start], [11], token_ids[p.\"end\" + 1:])[1:512]")}) AS input_md5, md5({join_ids('token_ids[p.start + 1:p."end"]')}) AS target_md5 FROM br"""
-SQL["view_union"] = f"""WITH {TOK}, {_CROP}, {_PS}, {_BR}, u AS (SELECT 'causal_single_doc' AS view_type, split FROM crop WHERE len(s) >= 64 UNION ALL SELECT 'prefix_suffix', split FROM ps UNION ALL SELECT 'bridge_masked_span', split FROM br)
-SELECT view_type, split, CASE WHEN split = 'train' THEN 'pretraining' ELSE 'evaluation' END AS usage, count(*) AS n_views FROM u GROUP BY ALL"""
+_CROP512 = _CROP.replace(">= 255", ">= 511").replace("n >= 257", "n >= 513").replace("n - 256", "n - 512").replace("start_idx + 257", "start_idx + 513")
+_HEAD_V = SQL["causal_packing"][: SQL["causal_packing"].index("SELECT split, view, n_docs, md5(")].rstrip()
+SQL["view_union"] = f"""{_HEAD_V}, {_CROP512}, {_PS}, {_BR}, u AS (SELECT 'causal_packed' AS view_type, split, n_docs AS k, 512 AS a, 512 AS b FROM v
+  UNION ALL SELECT 'causal_single_doc', split, 1, 512, 512 FROM crop WHERE len(s) >= 64
+  UNION ALL SELECT 'prefix_suffix', split, 1, prefix_len, len(token_ids[prefix_len + 1:prefix_len + horizon]) FROM ps
+  UNION ALL SELECT 'bridge_masked_span', split, 1, len(list_concat(token_ids[1:p.start], [11], token_ids[p."end" + 1:])[1:512]), len(token_ids[p.start + 1:p."end"]) FROM br)
+SELECT view_type, split, CASE WHEN split = 'train' THEN 'pretraining' ELSE 'evaluation' END AS usage, count(*) AS n_views, sum(k)::BIGINT AS n_docs, sum(a)::BIGINT AS n_input, sum(b)::BIGINT AS n_target FROM u GROUP BY ALL"""
 
 # --- statistics and reports
 _CNT = f"tk AS (SELECT coalesce(source, '') AS scope, unnest(token_ids) AS token_id FROM tok WHERE split = 'train'), cnt AS (SELECT scope, token_id::BIGINT AS token_id, count(*) AS n FROM tk WHERE token_id BETWEEN 0 AND {VOCAB - 1} GROUP BY GROUPING SETS ((scope, token_id), (token_id)))"

@@ -44,6 +44,7 @@ PIECES = (
     "\ncall" + " +1 555 010 0199," * 40,
 )
 TITLES = ("", "Talk: ", "List of ", "", "Template:", "Disambiguation of ", "")
+PROJECTS = ("wikipedia", "Wikibooks", "wiktionary", None, "wikinews")
 #: The split of documents without one.
 NO_SPLIT = "none"
 
@@ -318,8 +319,10 @@ def web_rules(spark, d):
 
 @query
 def wiki_rules(spark, d):
-    t = F.col("text")
-    return planted(spark, d).where("text is not null").select("doc_id", cleaners.wiki_title_rule(F.col("title")).alias("rule"), F.md5(cleaners.wiki_strip(t)).alias("text_md5"))
+    t, n = F.col("text"), len(PROJECTS)
+    project = F.element_at(F.array(*map(F.lit, PROJECTS)), F.pmod("doc_id", F.lit(n)).cast("int") + 1)
+    rule = F.coalesce(cleaners.wiki_project_rule(project), cleaners.wiki_title_rule(F.col("title")))
+    return planted(spark, d).where("text is not null").select("doc_id", rule.alias("rule"), F.md5(cleaners.wiki_strip(t)).alias("text_md5"))
 
 
 @query
@@ -794,13 +797,8 @@ def bridge_mask(spark, d):
 
 @query
 def view_union(spark, d):
-    t = tokenized(spark, d)
-    kinds = {"causal_single_doc": views.crops(t, 256), "prefix_suffix": views.prefix_suffix(t), "bridge_masked_span": views.bridges(t, 512)}
-    out = None
-    for name, v in kinds.items():
-        v = v.groupBy("split").agg(F.count(F.lit(1)).alias("n_views")).select(F.lit(name).alias("view_type"), "split", views.usage(F.col("split")).alias("usage"), "n_views")
-        out = v if out is None else out.unionByName(v)
-    return out
+    u = views.union(tokenized(spark, d), 512).groupBy("view_type", "split", "usage")
+    return u.agg(F.count(F.lit(1)).alias("n_views"), F.sum(F.size("source_document_ids")).alias("n_docs"), F.sum(F.size("input_token_ids")).alias("n_input"), F.sum(F.size("target_token_ids")).alias("n_target"))
 
 
 # --- statistics and reports
