@@ -10,7 +10,6 @@ character; its torn bytes come out as U+FFFD, or are held back on request.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -19,22 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.words import parts
-
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
-#: Texts and characters that are encoded at once, which bounds the memory of their encodings.
-AT_ONCE, CHARS_AT_ONCE = 128, 1_000_000
-
-
-@lru_cache(maxsize=4)
-def tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    os.environ.setdefault("RAYON_NUM_THREADS", "1")
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
-    return t
+from corpusmill.operators.layers import TOKENIZER, encodings, tokenizer
 
 
 def byte_table() -> dict[str, int]:
@@ -72,12 +56,6 @@ def decode(ids: Iterable[int], path: str = TOKENIZER, whole_characters: bool = F
     return raw.decode("utf-8", "replace")
 
 
-def _encodings(texts: list[str | None], path: str) -> Iterator[list]:
-    t = tokenizer(path)
-    for i, e in parts(texts, AT_ONCE, CHARS_AT_ONCE):
-        yield t.encode_batch([x or "" for x in texts[i:e]], add_special_tokens=False)
-
-
 def encode(df: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = TOKENIZER, offsets: bool = False) -> DataFrame:
     """(doc_id, ids), and `spans`, an array of struct<start, end> in code points per token, if offsets.
 
@@ -91,13 +69,12 @@ def encode(df: DataFrame, id_col: str = "doc_id", text: str = "text", path: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flat, ends, pos = [], [0], []
-            for group in _encodings(b.column("text").to_pylist(), path):
-                for e in group:
-                    ids = e.ids
-                    flat.append(np.array(ids, dtype=np.int32))
-                    ends.append(ends[-1] + len(ids))
-                    if offsets:
-                        pos.append(np.array(e.offsets, dtype=np.int32).reshape(-1, 2))
+            for e in encodings(b.column("text").to_pylist(), path):
+                ids = e.ids
+                flat.append(np.array(ids, dtype=np.int32))
+                ends.append(ends[-1] + len(ids))
+                if offsets:
+                    pos.append(np.array(e.offsets, dtype=np.int32).reshape(-1, 2))
             values = np.concatenate(flat) if flat else np.empty(0, np.int32)
             at = pa.array(ends, i32)
             cols, names = [b.column("doc_id"), pa.ListArray.from_arrays(at, pa.array(values, i32))], ["doc_id", "ids"]
@@ -120,14 +97,11 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text: str = "text", path:
         for b in batches:
             texts = b.column("text").to_pylist()
             n, size, same = [], [], []
-            k = 0
-            for group in _encodings(texts, path):
-                for e in group:
-                    x = texts[k] or ""
-                    k += 1
-                    n.append(len(e.ids))
-                    size.append(len(x.encode()))
-                    same.append(decode(e.ids, path) == x)
+            for x, e in zip(texts, encodings(texts, path), strict=True):
+                x = x or ""
+                n.append(len(e.ids))
+                size.append(len(x.encode()))
+                same.append(decode(e.ids, path) == x)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int32()), pa.array(size, pa.int32()), pa.array(same, pa.bool_())], names=["doc_id", "n_tokens", "n_bytes", "same"])
 
     return d.mapInArrow(run, f"doc_id {id_type}, n_tokens int, n_bytes int, same boolean")

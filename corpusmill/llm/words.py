@@ -4,25 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
 
-_ASCII = re.compile(r"[a-z0-9]+")
-
-
-def parts(texts: list[str | None], most_rows: int, most_chars: int) -> Iterator[tuple[int, int]]:
-    """(from, to) of consecutive texts, in parts of at most so many rows and characters; a longer text is a part of its own.
+from corpusmill.operators.layers import parts
 
-    What is made of a part at once (words, encodings) takes many times its size, so this bounds a worker's memory.
-    """
-    start = size = 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
-        if i > start and (i - start == most_rows or size + n > most_chars):
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
+__all__ = ["parts", "words"]
+_ASCII = re.compile(r"[a-z0-9]+")
 
 
 class _Unicode:
