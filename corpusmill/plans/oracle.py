@@ -422,7 +422,7 @@ def shifted(seq: str, c: int) -> tuple[str, str]:
 _A, _B = shifted("s", 512)
 SQL["causal_shift_mask"] = f"""WITH {TOK}, v0 AS (SELECT document_id, list_concat([0], token_ids, [1]) AS q FROM tok WHERE len(token_ids) > 0),
 v1 AS (SELECT document_id, q, unnest(range(0, (len(q) + 510) // 512)) AS w FROM v0), v AS (SELECT document_id, w, q[w * 512 + 1:w * 512 + 513] AS s FROM v1)
-SELECT document_id, w::BIGINT AS "window", md5({join_ids(_A)}) AS input_md5, md5({join_ids(_B)}) AS target_md5, len(s) - 1 AS n_loss, least(len(s), 512)::BIGINT AS n_attention FROM v"""
+SELECT document_id, w::BIGINT AS window_index, md5({join_ids(_A)}) AS input_md5, md5({join_ids(_B)}) AS target_md5, len(s) - 1 AS n_loss, least(len(s), 512)::BIGINT AS n_attention FROM v"""
 _P, _ = shifted("s", 512)
 SQL["causal_packing"] = f"""WITH RECURSIVE {TOK}, k0 AS (SELECT document_id, split, token_ids, len(token_ids) AS n FROM tok WHERE len(token_ids) BETWEEN 1 AND 510),
 kg AS (SELECT split, greatest(1, ceil(count(*) / 4096.0))::BIGINT AS g FROM k0 GROUP BY 1),

@@ -768,7 +768,7 @@ def causal_shift_mask(spark, d):
     t = tokenized(spark, d).where(F.size("token_ids") > 0)
     w = views.windows(t.withColumn("seq", F.concat(F.array(F.lit(views.BOS)), "token_ids", F.array(F.lit(views.EOS)))), "seq", 512)
     total = lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b).alias
-    return w.select("document_id", "window", F.md5(ids_text(F.col("input_token_ids"))).alias("input_md5"), F.md5(ids_text(F.col("target_token_ids"))).alias("target_md5"), total("loss_mask")("n_loss"), total("attention_mask")("n_attention"))
+    return w.select("document_id", F.col("window").alias("window_index"), F.md5(ids_text(F.col("input_token_ids"))).alias("input_md5"), F.md5(ids_text(F.col("target_token_ids"))).alias("target_md5"), total("loss_mask")("n_loss"), total("attention_mask")("n_attention"))
 
 
 @query
