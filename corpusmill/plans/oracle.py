@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from corpusmill.plans.queries import PIECES, POOL_WORDS, SCAN_WORDS, SOURCE_NAMES, TITLES, VOCAB
 
 SP = r"\t-\r\x1c-\x1f \x85\p{Z}"
@@ -345,6 +347,15 @@ _CLUST = f"""RECURSIVE {_SHING}, ed AS (SELECT a, b FROM pr UNION SELECT b, a FR
 mem AS (SELECT d.doc_id, coalesce(rp.rep, d.doc_id) AS class_id FROM documents d LEFT JOIN ss ON ss.doc_id = d.doc_id LEFT JOIN rp ON rp.s = ss.s),
 lk AS (SELECT a, count(*) AS links FROM ed GROUP BY 1), cp AS (SELECT a, least(a, min(b)) AS c FROM rc GROUP BY 1),
 near AS (SELECT mem.doc_id AS document_id, class_id, coalesce(links, 0) AS links, coalesce(c, class_id) AS cluster FROM mem LEFT JOIN lk ON lk.a = class_id LEFT JOIN cp ON cp.a = class_id)"""
+_R = np.random.RandomState(42)
+_COEF = ", ".join(f"({k}, {a}::HUGEINT, {b}::HUGEINT)" for k, (a, b) in enumerate(zip(_R.randint(1, 4294967295, size=128, dtype=np.uint64).tolist(), _R.randint(0, 4294967295, size=128, dtype=np.uint64).tolist(), strict=True)))
+SQL["minhash_links"] = f"""WITH w0 AS (SELECT doc_id, {_LW} AS w FROM documents),
+sh AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM w0 WHERE len(w) >= 5),
+h AS (SELECT doc_id, ('0x' || substr(md5(s), 1, 8))::BIGINT AS h FROM sh),
+sg AS (SELECT doc_id, k, min((a * h + b) % 4294967311) AS m FROM h CROSS JOIN (VALUES {_COEF}) c(k, a, b) GROUP BY 1, 2),
+bd AS (SELECT doc_id, k // 8 AS band, md5(string_agg(m::VARCHAR, ',' ORDER BY k)) AS key FROM sg GROUP BY 1, 2),
+hub AS (SELECT band, key, min(doc_id) AS a FROM bd GROUP BY 1, 2 HAVING count(*) > 1)
+SELECT DISTINCT a, doc_id AS b FROM bd JOIN hub USING (band, key) WHERE doc_id <> a"""
 SQL["fuzzy_clusters"] = f"WITH {_CLUST} SELECT document_id, class_id, cluster FROM near"
 SQL["fuzzy_links"] = f"WITH {_CLUST} SELECT DISTINCT class_id, links FROM near"
 SQL["fuzzy_dedup"] = f"""WITH {_CLUST}, {CONF}, s AS (SELECT doc_id AS document_id, {_SCORE} AS score, {priority('source', 'doc_id')} AS priority FROM cat)
