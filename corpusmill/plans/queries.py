@@ -198,8 +198,9 @@ def pool_counters(spark, d):
 
 @query
 def raw_text_fallback(spark, d):
-    c = table(spark, d, "canonical_docs")
-    return c.select("document_id", X.first_of(F.col("source_record_id"), F.col("document_id")).alias("record_id"), F.md5(X.first_of(F.col("normalized_text"), F.col("title"), F.lit("-"))).alias("text_md5")).distinct()
+    """canonical_docs as records of any source: the text, else the title; the record's id, else the document's."""
+    c = table(spark, d, "canonical_docs").select(F.nullif("source_record_id", F.lit("")).alias("id"), "document_id", F.col("normalized_text").alias("text"), F.col("title").alias("content"))
+    return files.raw_records(c, "canonical", ("id", "document_id")).select("doc_id", "source", F.md5("text").alias("text_md5")).distinct()
 
 
 # --- normalisation
@@ -461,6 +462,32 @@ def web_records(spark, d):
     return _adapted(docs(spark, d), "web", ("url", "title"))
 
 
+@query
+def paper_records(spark, d):
+    """Papers: every fourth has no text but an abstract, every sixth names its field, the others their family of fields."""
+    x, every = docs(spark, d), lambda n: F.pmod("doc_id", F.lit(n)) == 0
+    x = x.withColumn("abstract", F.concat(F.lit("Abstract. "), "text")).withColumn("text", F.when(every(4), "").otherwise(F.col("text")))
+    x = x.withColumn("field", F.when(every(6), "physics")).withColumn("arxiv_id", F.col("doc_id").cast("string")).drop("url")
+    return _adapted(x, "scientific", ("title", "url", "field_family"))
+
+
+@query
+def book_records(spark, d):
+    x = docs(spark, d).withColumn("id", F.concat(F.lit("b"), F.col("doc_id"))).withColumnRenamed("license", "licence")
+    return _adapted(x, "books", ("title", "book_id"))
+
+
+@query
+def wiki_records(spark, d):
+    x = docs(spark, d).withColumnRenamed("text", "content").withColumn("wiki", F.col("lang"))
+    return _adapted(x, "wikimedia", ("title", "subproject"))
+
+
+@query
+def lesson_records(spark, d):
+    return _adapted(docs(spark, d).drop("license"), "educational", ("title",))
+
+
 # --- segments
 
 
