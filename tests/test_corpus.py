@@ -18,7 +18,10 @@ def words(n, w="w"):
 
 def test_components_of_chains_stars_and_cycles(spark):
     edges = [(f"a{i:03}", f"a{i + 1:03}") for i in range(120)] + [("hub", f"leaf{i}") for i in range(300)] + [("x", "y"), ("y", "z"), ("z", "x"), ("y", "x"), ("s", "s"), (None, "q")]
-    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "src string, dst string")).collect()}
+    df = spark.createDataFrame(edges, "src string, dst string")
+    got = {r["node"]: r["component"] for r in connected_components(df).collect()}
+    for last in (0, 50):  # by contraction alone, and with a rest for one task
+        assert got == {r["node"]: r["component"] for r in connected_components(df, last=last).collect()}
     assert {got[f"a{i:03}"] for i in range(121)} == {"a000"} and {got[f"leaf{i}"] for i in range(300)} == {"hub"} and got["z"] == "x" and "s" not in got and "q" not in got
     assert connected_components(spark.createDataFrame([], "src string, dst string")).count() == 0
 
