@@ -121,7 +121,7 @@ def prefixes(sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
     one = sets.select("rep", F.size("sh").alias("n"), F.explode("sh").alias("s"))
     freq = one.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
     ranked = one.join(freq, "s").where("f > 1").select("rep", "n", F.struct("f", "s").alias("x"))
-    ranked = ranked.groupBy("rep", "n").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    ranked = ranked.groupBy("rep", "n").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     lone = F.col("n") - F.size("xs")
     size = F.col("n") - F.ceil(F.col("n") * least - 1e-9).cast("int") + 1 - lone
     cand = ranked.where(size > 0).select("rep", "n", F.posexplode(F.transform(F.slice("xs", F.lit(1), size), lambda x: x["s"])).alias("i", "s"), lone.alias("lone"))
