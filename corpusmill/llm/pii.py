@@ -83,7 +83,9 @@ _PHONE = re.compile(
 _NOT_PHONE = re.compile(r"(?<![a-z])(?:isbn|issn|catalogue|catalog|docket|grant|invoice|order|version|(?<!phone )(?<!fax )(?<!mobile )(?:no\.|nr\.|number)|#|doi|id|ref\.?|serial|host|ip)[\s:]*$", re.I)
 
 #: Signs that stand within or right before a phone number.
-_PHONE_SIGNS = frozenset("0123456789+()/.- \u00a0\u2009\u202f\t\u2010\u2011\u2012\u2013")
+_PHONE_SIGNS = frozenset("0123456789+()/.") | {c for c in map(chr, range(0x3001)) if re.fullmatch(rf"{_S}|{_D}", c)}
+#: No extension after a number is longer.
+_EXT_CHARS = 24
 #: Words before a number of seven or eight digits that is a phone.
 PHONE_CUES = ("phone", "telephone", "tel", "call", "fax", "mobile", "cell", "dial", "ring", "telefon", "tel\u00e9fono", "t\u00e9l\u00e9phone", "anruf", "llame")
 _LOCAL_PHONE = re.compile(rf"\.?:?(?:{_S}(?:number|no\.?|me|us|at|on|is|him|her|them|now|nummer)){{0,3}}:?{_S}{{0,3}}(\d{{3,4}}(?:{_S}|{_D})\d{{4}}|\d{{7,8}})(?![\w\-/])(?!{_P}\d)", re.I)
@@ -218,7 +220,7 @@ class Finder:
                 s -= 1
             while e < n and text[e] in _PHONE_SIGNS:
                 e += 1
-            for m in _PHONE.finditer(text, s, n):
+            for m in _PHONE.finditer(text, s, min(n, e + _EXT_CHARS)):
                 if m.start() >= e:
                     break
                 body = re.split(r"(?i)ext|x|#|durchwahl|poste", m[0])[0]
